@@ -367,14 +367,14 @@ def sort_desc(t: Tables):
 @query(
     "O03",
     """
-    SELECT c_custkey, CASE WHEN c_nationkey % 3 = 0 THEN NULL ELSE c_mktsegment END AS city, n_name
+    SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_mktsegment END AS city, n_name
     FROM customer JOIN nation ON c_nationkey = n_nationkey
     ORDER BY CASE WHEN city IS NULL THEN n_name ELSE city END, c_custkey
     """,
 )
 def sort_case(t: Tables):
     """Sorted by city, or by country where the city is unknown."""
-    city = F.when(F.col("c_nationkey") % 3 != 0, F.col("c_mktsegment"))
+    city = F.when(F.col("c_acctbal") >= 0, F.col("c_mktsegment"))
     joined = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
     rows = joined.select("c_custkey", city.alias("city"), "n_name")
     return rows.orderBy(F.coalesce("city", "n_name"), "c_custkey")

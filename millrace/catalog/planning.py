@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
-from millrace.catalog.sqlparts import half_up
-from millrace.functions.numbers import round_half_up
+from millrace.catalog.sqlparts import half_up, mean_round as mean_round_sql
+from millrace.functions.numbers import mean_round, round_half_up
 from millrace.operators import planning as ops
 from millrace.operators.joins import lookup
 from millrace.plans import procurement
@@ -17,24 +17,19 @@ def schedule(t: Tables) -> DataFrame:
     """Lines per part and month as supply, the retail price as base price."""
     month = (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("idx")
     monthly = t.lineitem.groupBy(F.col("l_partkey").alias("scenario"), month).agg(
-        F.count(F.lit(1)).alias("supply")
+        F.count(F.lit(1)).alias("supply"),
+        (mean_round("l_tax", 4) - 0.04).alias("noise"),
+        F.count_if(F.col("l_returnflag") == "R").alias("returned"),
     )
     priced = lookup(monthly, t.part, "scenario", "p_partkey", {"p_retailprice": "base_price"})
-    return priced.withColumns(
-        {
-            "target": F.lit(TARGET).cast("bigint"),
-            "noise": (F.col("idx") % 7 - 3) / 100,
-        }
-    )
+    return priced.withColumn("target", F.lit(TARGET).cast("bigint"))
 
 
 def actuals(t: Tables) -> DataFrame:
-    """Purchases entered by hand: some periods missing, some above the supply."""
-    return (
-        schedule(t)
-        .filter("idx % 5 <> 0")
-        .select("scenario", "idx", (F.col("idx") % (F.col("supply") + 2)).alias("bought"))
-    )
+    """Purchases entered by hand, two per returned line: some periods have no
+    entry and some entries exceed the supply."""
+    entered = schedule(t).filter("returned > 0")
+    return entered.select("scenario", "idx", (F.col("returned") * 2).alias("bought"))
 
 
 def _price(base: str, supply: str, peak: str, noise: str) -> str:
@@ -47,11 +42,12 @@ _MULTIPLIER = """CASE WHEN fill_ratio < 0.45 THEN 0.97::DOUBLE WHEN fill_ratio <
 
 SCHEDULE = f"""
     WITH monthly AS (
-      SELECT l_partkey AS scenario, CAST(year(l_shipdate) * 12 + month(l_shipdate) AS INTEGER) AS idx, count(*) AS supply
+      SELECT l_partkey AS scenario, CAST(year(l_shipdate) * 12 + month(l_shipdate) AS INTEGER) AS idx, count(*) AS supply,
+             {mean_round_sql('l_tax', 4)} - 0.04::DOUBLE AS noise, count(*) FILTER (l_returnflag = 'R') AS returned
       FROM lineitem GROUP BY 1, 2),
     schedule AS (
       SELECT scenario, idx, supply, p_retailprice AS base_price, CAST({TARGET} AS BIGINT) AS target,
-             CAST(idx % 7 - 3 AS DOUBLE) / 100 AS noise
+             noise, returned
       FROM monthly LEFT JOIN part ON scenario = p_partkey),
     peaked AS (SELECT *, max(supply) OVER (PARTITION BY scenario) AS peak,
                       CAST(target AS DOUBLE) / sum(supply) OVER (PARTITION BY scenario) AS fill_ratio FROM schedule),
@@ -66,7 +62,7 @@ SCHEDULE = f"""
     filled AS (SELECT *, sum(supply) OVER (PARTITION BY scenario ORDER BY exp_price, idx ROWS UNBOUNDED PRECEDING) AS upto
                FROM costed),
     plan AS (SELECT *, CAST(greatest(0, least(supply, target - (upto - supply))) AS BIGINT) AS buy FROM filled),
-    actuals AS (SELECT scenario, idx, idx % (supply + 2) AS entered FROM schedule WHERE idx % 5 <> 0),
+    actuals AS (SELECT scenario, idx, returned * 2 AS entered FROM schedule WHERE returned > 0),
     valid AS (SELECT s.*, CASE WHEN entered BETWEEN 0 AND supply THEN CAST(entered AS BIGINT) ELSE 0 END AS bought
               FROM schedule s LEFT JOIN actuals a ON s.scenario = a.scenario AND s.idx = a.idx),
     state AS (SELECT *, greatest(0, target - coalesce(sum(bought) OVER (PARTITION BY scenario ORDER BY idx

@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
-from millrace.functions.numbers import map_codes, to_number
+from millrace.functions import numbers
+from millrace.functions.numbers import to_number
 from millrace.operators.joins import membership_flags
 
 
@@ -89,10 +90,10 @@ def clean_numeric(t: Tables):
     FROM orders
     """,
 )
-def map_code_labels(t: Tables):
+def map_codes(t: Tables):
     """Code to label; an unmapped code is null."""
     labels = {"F": "finished", "O": "open"}
-    return t.orders.select("o_orderkey", map_codes("o_orderstatus", labels).alias("status"))
+    return t.orders.select("o_orderkey", numbers.map_codes("o_orderstatus", labels).alias("status"))
 
 
 @query(
@@ -101,25 +102,26 @@ def map_code_labels(t: Tables):
     WITH bridge AS (
       SELECT n_nationkey, r_name AS grp FROM nation JOIN region ON n_regionkey = r_regionkey
       UNION ALL
-      SELECT n_nationkey, 'EVEN' FROM nation WHERE n_nationkey % 2 = 0),
+      SELECT n_nationkey, 'OLD WORLD' FROM nation JOIN region ON n_regionkey = r_regionkey WHERE r_name <> 'AMERICA'),
     flags AS (
       SELECT n_nationkey,
              max(CASE WHEN grp = 'ASIA' THEN 1 ELSE 0 END) AS asia,
              max(CASE WHEN grp = 'EUROPE' THEN 1 ELSE 0 END) AS europe,
-             max(CASE WHEN grp = 'EVEN' THEN 1 ELSE 0 END) AS even_key
+             max(CASE WHEN grp = 'OLD WORLD' THEN 1 ELSE 0 END) AS old_world
       FROM bridge GROUP BY n_nationkey)
     SELECT c_custkey, c_nationkey, coalesce(asia, 0) AS asia, coalesce(europe, 0) AS europe,
-           coalesce(even_key, 0) AS even_key
+           coalesce(old_world, 0) AS old_world
     FROM customer LEFT JOIN flags ON c_nationkey = n_nationkey
     """,
 )
 def membership_onehot(t: Tables):
     """Flags from overlapping groups; the bridge is pivoted before it is joined."""
     by_region = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    old = by_region.filter("r_name <> 'AMERICA'")
     bridge = by_region.select("n_nationkey", F.col("r_name").alias("grp")).unionByName(
-        t.nation.filter("n_nationkey % 2 = 0").select("n_nationkey", F.lit("EVEN").alias("grp"))
+        old.select("n_nationkey", F.lit("OLD WORLD").alias("grp"))
     )
-    groups = {"ASIA": "asia", "EUROPE": "europe", "EVEN": "even_key"}
+    groups = {"ASIA": "asia", "EUROPE": "europe", "OLD WORLD": "old_world"}
     customers = t.customer.select("c_custkey", "c_nationkey")
     return membership_flags(customers, bridge, "c_nationkey", "n_nationkey", "grp", groups)
 

@@ -141,12 +141,8 @@ _TFIDF = f"""
     f"{_TFIDF} SELECT quality, doc_id, term, tf, {half_up('weight', 6)} AS weight FROM weights",
 )
 def tfidf(t: Tables):
-    docs = _classed(t)
-    terms = keywords.kept_terms(
-        docs, fn.clean_review("text"), ["quality", "doc_id"], fn.ENGLISH_STOP_WORDS
-    )
-    weights = ops.tfidf(terms, docs, ["quality"], "doc_id", 1000)
-    return weights.withColumn("weight", round_half_up("weight", 6))
+    out = keywords.weights(_classed(t), "doc_id", "text", ["quality"])
+    return out.withColumn("weight", round_half_up("weight", 6))
 
 
 @query(

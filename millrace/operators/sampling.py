@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.windows import top_n
+from millrace.storage import materialize
 
 # Leading hex digits of the hash used as a number: 7 digits fit an int.
 _DIGITS = 7
@@ -54,6 +54,9 @@ def sample_per_class(
             (n - F.min(F.col("_seen")) + F.min_by("_rows", "_slice")).alias("_need"),
         )
     )
+    # One row per class.  As a written table its size is known, so Catalyst
+    # broadcasts it when it is small and shuffles when there are many classes.
+    cut = materialize(cut, "sample-cut")
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in classes]
     placed = hashed.join(cut, same, "left")
     below = placed.filter(F.col("_cut").isNull() | (F.col("_slice") < F.col("_cut")))
@@ -65,11 +68,3 @@ def sample_per_class(
         .filter(F.col("_rank") <= F.col("_need"))
     )
     return below.select(*df.columns).unionByName(edge.select(*df.columns))
-
-
-def preview(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
-    """First ``n`` rows in a given order."""
-    return df.orderBy(*order).limit(n)
-
-
-__all__ = ["bernoulli_sample", "hash_order", "preview", "sample_per_class", "top_n"]

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.numbers import round_half_up
 from millrace.operators.windows import top_n
+from millrace.storage import materialize
 
 
 def explode_tokens(
@@ -34,29 +35,59 @@ def without_stop_words(terms: DataFrame, stop_words: DataFrame, name: str = "ter
     return terms.join(side, F.col(name) == F.col("_stop"), "left_anti")
 
 
-def tfidf(terms: DataFrame, docs: DataFrame, classes: Sequence[str], doc: str, vocabulary: int) -> DataFrame:
-    """L2-normalised TF-IDF weight per class, document and term.
+def vocabulary(
+    docs: DataFrame, pieces: Column, keep: Column, classes: Sequence[str], size: int
+) -> DataFrame:
+    """The ``size`` most frequent terms per class with their idf.
 
-    The vocabulary of a class is its ``vocabulary`` most frequent terms (ties
-    in term order), idf is ``ln((1 + docs) / (1 + docs with term)) + 1``, and a
-    document's weights are scaled to unit length.  ``docs`` holds all documents
-    of the classes, those without any term included.
+    Ties are broken in term order; idf is ``ln((1 + docs) / (1 + docs with
+    term)) + 1``.  A document's pieces are sorted inside its row, which marks
+    the first occurrence of every term; total and document frequency are then
+    two sums that combine per task, and no row per document and term is
+    shuffled.
     """
-    tf = terms.groupBy(*classes, doc, "term").agg(F.count(F.lit(1)).alias("tf"))
-    spread = tf.groupBy(*classes, "term").agg(
-        F.sum("tf").alias("_total"), F.count(F.lit(1)).alias("df")
+    ordered = docs.select(*classes, F.sort_array(F.transform(pieces, F.lower)).alias("_all"))
+    marked = F.transform(
+        "_all",
+        lambda w, i: F.struct(
+            w.alias("term"),
+            F.when((i == 0) | (w != F.get(F.col("_all"), i - 1)), 1).otherwise(0).alias("first"),
+        ),
     )
-    chosen = top_n(spread, classes, [F.col("_total").desc(), F.col("term")], vocabulary)
-    sizes = docs.groupBy(*classes).agg(F.count(F.lit(1)).alias("_docs"))
-    idf = chosen.join(sizes, list(classes)).select(
-        *classes,
-        "term",
-        (F.log((1 + F.col("_docs")) / (1 + F.col("df"))) + 1).alias("_idf"),
+    spread = (
+        ordered.select(*classes, F.inline(marked))
+        .filter(keep)
+        .groupBy(*classes, "term")
+        .agg(F.count(F.lit(1)).alias("total"), F.sum("first").alias("df"))
     )
-    # No hint: the vocabulary has at most `vocabulary` rows per class, which
-    # AQE sees at run time and turns into a broadcast when it is small.
-    raw = tf.join(idf, [*classes, "term"]).withColumn("_raw", F.col("tf") * F.col("_idf"))
-    # At most `vocabulary` rows per document, so the window stays small.
+    sizes = docs.groupBy(*classes).agg(F.count(F.lit(1)).alias("_docs"))
+    chosen = top_n(spread, classes, [F.col("total").desc(), F.col("term")], size)
+    idf = F.log((1 + F.col("_docs")) / (1 + F.col("df"))) + 1
+    return chosen.join(sizes, list(classes)).select(*classes, "term", "df", idf.alias("idf"))
+
+
+def tfidf(
+    docs: DataFrame,
+    pieces: Column,
+    keep: Column,
+    classes: Sequence[str],
+    doc: str,
+    size: int,
+) -> DataFrame:
+    """L2-normalised TF-IDF weight per class, document and term.
+
+    ``docs`` has one row per document, ``pieces`` is the array of its words and
+    ``keep`` a condition on ``term``.  Documents without a vocabulary term have
+    no row, but count for the idf.
+    """
+    # Written first: its known size lets Catalyst broadcast it, and then words
+    # outside the vocabulary are dropped before anything is shuffled.
+    known = materialize(vocabulary(docs, pieces, keep, classes, size), "vocabulary")
+    terms = explode_tokens(docs, pieces, [*classes, doc]).filter(keep)
+    kept = terms.join(known.select(*classes, "term", "idf"), [*classes, "term"])
+    tf = kept.groupBy(*classes, doc, "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
+    raw = tf.withColumn("_raw", F.col("tf") * F.col("idf"))
+    # At most `size` rows per document, so the window stays small.
     length = F.sqrt(F.sum(F.col("_raw") * F.col("_raw")).over(Window.partitionBy(*classes, doc)))
     return raw.select(*classes, doc, "term", "tf", (F.col("_raw") / length).alias("weight"))
 

@@ -46,30 +46,29 @@ def running_total(
     )
     rows = materialize(spread.withColumn("_chunk", F.spark_partition_id()), "running")
 
-    parts = [F.col(k) for k in keys]
-    before = (
-        Window.partitionBy(*parts).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per group and chunk: what the earlier chunks of the group add up to.
+    totals = rows.groupBy(*keys, "_chunk").agg(F.sum(value).alias("_value"))
+    earlier = (
+        Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    )
+    starts = totals.withColumn("_value", F.sum("_value").over(earlier)).filter(
+        F.col("_value").isNotNull()
+    )
+    # The starting value goes in front of the chunk's rows as a row of its own,
+    # so one window adds it up and no join is needed.
+    kind = totals.schema["_value"].dataType
+    marked = rows.withColumn("_value", F.col(value).cast(kind)).withColumn("_row", F.lit(1))
+    both = marked.unionByName(
+        starts.withColumn("_value", F.col("_value").cast(kind)).withColumn("_row", F.lit(0)),
+        allowMissingColumns=True,
     )
-    totals = rows.groupBy(*parts, "_chunk").agg(F.sum(value).alias("_total"))
-    starts = totals.select(
-        *[F.col(k).alias(f"_{k}") for k in keys],
-        F.col("_chunk").alias("_at"),
-        F.sum("_total").over(before).alias("_start"),
-    ).filter("_start IS NOT NULL")
-
     inside = (
-        Window.partitionBy(*parts, "_chunk")
-        .orderBy(*[F.col(c).asc_nulls_first() for c in order])
+        Window.partitionBy(*keys, "_chunk")
+        .orderBy("_row", *[F.col(c).asc_nulls_first() for c in order])
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    summed = rows.withColumn("_inside", F.sum(value).over(inside))
-    same = F.col("_chunk") == F.col("_at")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_{k}"))
-    out = summed.join(starts, same, "left")
-    zero = F.lit(0).cast(summed.schema["_inside"].dataType)
-    total = F.coalesce(F.col("_start"), zero) + F.coalesce(F.col("_inside"), zero)
-    return out.select(*[F.col(c) for c in df.columns], total.alias(name))
+    total = F.coalesce(F.sum("_value").over(inside).cast(kind), F.lit(0).cast(kind))
+    return both.withColumn(name, total).filter("_row = 1").select(*df.columns, name)
 
 
 def running_by_period(

@@ -30,22 +30,34 @@ def label_scores(reviews: DataFrame, score: str, threshold: float = 3.0) -> Data
     )
 
 
-def kept_terms(
-    docs: DataFrame, cleaned: Column, keep: Sequence[str], stop_words: Sequence[str]
-) -> DataFrame:
-    """One row per token of three letters or more that is no stop word.
+def kept(stop_words: Sequence[str], term: str = "term") -> Column:
+    """Three letters or more and no stop word.
 
     The list is compared inside the scan stage; a list of thousands belongs
     into a table and :func:`millrace.operators.text.without_stop_words`.
     """
-    terms = explode_tokens(docs, split_words(cleaned), keep, MIN_LENGTH)
-    return terms.filter(~F.col("term").isin(sorted(w for w in set(stop_words) if len(w) >= MIN_LENGTH)))
+    listed = sorted(w for w in set(stop_words) if len(w) >= MIN_LENGTH)
+    return (F.char_length(term) >= MIN_LENGTH) & ~F.col(term).isin(listed)
 
 
 def term_frequencies(docs: DataFrame, text: str, classes: Sequence[str]) -> DataFrame:
     """Occurrences per class and term of short messages."""
     stop = [*ENGLISH_STOP_WORDS, *SOCIAL_STOP_WORDS]
-    return term_counts(kept_terms(docs, clean_social(text), classes, stop), classes)
+    terms = explode_tokens(docs, split_words(clean_social(text)), classes)
+    return term_counts(terms.filter(kept(stop)), classes)
+
+
+def weights(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    classes: Sequence[str],
+    size: int = 1000,
+    extra_stop_words: Sequence[str] = (),
+) -> DataFrame:
+    """TF-IDF weights of long texts, one corpus per class."""
+    keep = kept([*ENGLISH_STOP_WORDS, *extra_stop_words])
+    return tfidf(docs, split_words(clean_review(text)), keep, classes, key, size)
 
 
 def keywords(
@@ -53,12 +65,9 @@ def keywords(
     key: str,
     text: str,
     classes: Sequence[str],
-    vocabulary: int = 1000,
+    size: int = 1000,
     n: int = 200,
     extra_stop_words: Sequence[str] = (),
 ) -> DataFrame:
     """The ``n`` terms per class with the highest TF-IDF weight in a document."""
-    stop = [*ENGLISH_STOP_WORDS, *extra_stop_words]
-    terms = kept_terms(docs, clean_review(text), [*classes, key], stop)
-    # Scored are words of two or more letters, as all kept terms are.
-    return top_terms(tfidf(terms, docs, classes, key, vocabulary), classes, n)
+    return top_terms(weights(docs, key, text, classes, size, extra_stop_words), classes, n)

@@ -87,6 +87,8 @@ def clean(
 
 def with_boroughs(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """Borough of both ends; trips with an unknown or 'N/A' end are dropped."""
+    # The zone file is text; an id that is no number matches nothing.
+    zones = zones.withColumn("LocationID", F.col("LocationID").try_cast("bigint"))
     out = lookup(trips, zones, "PULocationID", "LocationID", {"Borough": "PULocation"})
     out = lookup(out, zones, "DOLocationID", "LocationID", {"Borough": "DOLocation"})
     return out.filter((F.col("PULocation") != "N/A") & (F.col("DOLocation") != "N/A")).drop(
