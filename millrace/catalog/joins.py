@@ -19,11 +19,12 @@ from millrace.operators import joins
 )
 def join_role_playing(t: Tables):
     """The nation table once as origin and once as destination."""
+    orders = t.orders.select("o_orderkey", "o_custkey")
+    orders = joins.lookup(orders, t.customer, "o_custkey", "c_custkey", {"c_nationkey": "_do"})
     rows = t.lineitem.select("l_orderkey", "l_linenumber", "l_suppkey").join(
-        t.orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")
+        orders, F.col("l_orderkey") == F.col("o_orderkey")
     )
     rows = joins.lookup(rows, t.supplier, "l_suppkey", "s_suppkey", {"s_nationkey": "_pu"})
-    rows = joins.lookup(rows, t.customer, "o_custkey", "c_custkey", {"c_nationkey": "_do"})
     rows = joins.lookup(rows, t.nation, "_pu", "n_nationkey", {"n_name": "pu_nation"})
     rows = joins.lookup(rows, t.nation, "_do", "n_nationkey", {"n_name": "do_nation"})
     return rows.select("l_orderkey", "l_linenumber", "l_suppkey", "pu_nation", "do_nation")

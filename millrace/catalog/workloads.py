@@ -13,15 +13,17 @@ from millrace.catalog.sqlparts import half_up, mean, mean_round, total
 from millrace.functions.numbers import map_codes
 from millrace.operators.joins import lookup
 from millrace.plans import economies, fares, trips
+from millrace.sources.readers import all_text, read_csv
+from millrace.sources.sinks import write_csv
+from millrace.storage import fresh_path
 
 
 def trip_rows(t: Tables) -> DataFrame:
-    lines = t.lineitem.join(
-        t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate"),
-        F.col("l_orderkey") == F.col("o_orderkey"),
-    )
+    # The customer goes to the orders first, so the lines are shuffled once.
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    orders = lookup(orders, t.customer, "o_custkey", "c_custkey", {"c_nationkey": "DOLocationID"})
+    lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     lines = lookup(lines, t.supplier, "l_suppkey", "s_suppkey", {"s_nationkey": "PULocationID"})
-    lines = lookup(lines, t.customer, "o_custkey", "c_custkey", {"c_nationkey": "DOLocationID"})
     license = {"F": "HV0003", "O": "HV0005", "P": "HV0004"}
     asked = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
     waited = F.make_dt_interval(secs=(F.col("l_linenumber") - 1) * 100)
@@ -51,12 +53,17 @@ def zone_rows(t: Tables) -> DataFrame:
 
 
 def weather_rows(t: Tables) -> DataFrame:
-    """Text columns year, month, day, max, min, precipitation1..3; T is a trace."""
+    """The weather file: a CSV with one row per day, read as text.
+
+    Columns year, month, day, max, min, precipitation1..3; T is a trace, M is
+    missing.  Its size is known from the file, so Catalyst decides on the
+    broadcast itself.
+    """
     daily = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("q")
     )
     rain = (F.col("q") % 8 / 10).cast("string")
-    return daily.select(
+    text = daily.select(
         F.year("d").cast("string").alias("year"),
         F.date_format("d", "MM").alias("month"),
         F.date_format("d", "dd").alias("day"),
@@ -66,15 +73,14 @@ def weather_rows(t: Tables) -> DataFrame:
         F.when(F.col("n") % 11 == 0, "M").otherwise("0.1").alias("precipitation2"),
         F.when(F.col("n") % 3 == 0, "T").otherwise("0.05").alias("precipitation3"),
     )
+    path = fresh_path(t.spark, "weather")
+    write_csv(text, path)
+    return read_csv(t.spark, path, all_text(text.columns))
 
 
 def trip_cells(t: Tables) -> DataFrame:
-    """The cube all trip results are taken from.
-
-    The zone side is one row per nation and the weather side one row per day;
-    both are bounded by the calendar and the map, not by the trips.
-    """
-    weather = F.broadcast(trips.daily_weather(weather_rows(t)))
+    """The cube all trip results are taken from."""
+    weather = trips.daily_weather(weather_rows(t))
     return trips.cube(trips.detail(trip_rows(t), zone_rows(t), weather))
 
 
@@ -258,7 +264,9 @@ _ECONOMIES = f"""
 )
 def economy_table(t: Tables):
     """Stored pages to figures with region flags, largest first."""
-    return economies.transform(economy_rows(t), economy_membership(t), _GROUPS)
+    return economies.largest_first(
+        economies.transform(economy_rows(t), economy_membership(t), _GROUPS)
+    )
 
 
 @query(

@@ -29,14 +29,18 @@ def extract(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataF
 def transform(
     rows: DataFrame, membership: DataFrame, regions: Mapping[str, str] = REGIONS
 ) -> DataFrame:
-    """Figures in billions with one flag per region, largest first.
+    """Figures in billions with one flag per region.
 
     ``membership`` has one row per (Country, region); a country may be in
     several regions or in none.
     """
     figures = rows.select("Country", parse_thousands("gdp_text").alias("GDP_USD_billion"))
-    flagged = membership_flags(figures, membership, "Country", "Country", "region", regions)
-    return flagged.orderBy(F.desc_nulls_last("GDP_USD_billion"), "Country")
+    return membership_flags(figures, membership, "Country", "Country", "region", regions)
+
+
+def largest_first(df: DataFrame) -> DataFrame:
+    """Sorted for the report; countries without a figure come last."""
+    return df.orderBy(F.desc_nulls_last("GDP_USD_billion"), "Country")
 
 
 def load(df: DataFrame, folder: str, table: str, taken: date) -> None:

@@ -69,8 +69,10 @@ def clean(
 ) -> DataFrame:
     """Plausible trips of the seasons with minutes, calendar fields and service."""
     waited = seconds_between("request_datetime", "on_scene_datetime")
+    in_season = F.month("request_datetime").isin(sorted(seasons))
     return (
         plausible(trips.drop(*UNUSED))
+        .filter(in_season)
         .withColumns(
             {
                 "scene_time": minutes(waited),
@@ -81,7 +83,6 @@ def clean(
                 "service_type": map_codes("hvfhs_license_num", services),
             }
         )
-        .filter(F.col("season").isNotNull())
     )
 
 
