@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
 from millrace.catalog.sqlparts import half_up, mean, mean_round, total
-from millrace.functions.numbers import exact_mean, exact_sum, floor_bin, mean_round as rounded_mean
+from millrace.functions.numbers import exact_mean, exact_sum, exact_total, floor_bin
+from millrace.functions.numbers import mean_round as rounded_mean
 from millrace.functions.times import day_type
 from millrace.operators import aggregates as agg
 from millrace.operators.joins import count_by_dimension
@@ -337,7 +338,7 @@ def remaining_target(t: Tables):
     bounded by the calendar.
     """
     daily = t.orders.groupBy("o_custkey", F.to_date("o_orderdate").alias("day")).agg(
-        F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("bought")
+        exact_total("o_totalprice").alias("bought")
     )
     upto = running_by_period(daily, ["o_custkey"], "day", "bought", "upto")
     done = F.col("upto").cast("double")

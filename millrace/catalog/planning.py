@@ -9,6 +9,7 @@ from millrace.functions.numbers import mean_round, round_half_up
 from millrace.operators import planning as ops
 from millrace.operators.joins import lookup
 from millrace.plans import procurement
+from millrace.storage import materialize
 
 TARGET = 10
 
@@ -25,13 +26,18 @@ def schedule(t: Tables) -> DataFrame:
     return priced.withColumn("target", F.lit(TARGET).cast("bigint"))
 
 
-def actuals(t: Tables) -> DataFrame:
+def actuals(known: DataFrame) -> DataFrame:
     """Purchases entered by hand, two per returned line: some periods have no
     entry and some entries exceed the supply."""
-    entered = schedule(t).filter("returned > 0")
+    entered = known.filter("returned > 0")
     return entered.select("scenario", "idx", (F.col("returned") * 2).alias("bought"))
 
 
+def written_schedule(t: Tables) -> DataFrame:
+    """The schedule as a table, for plans that look at it more than once."""
+    return materialize(schedule(t), "schedule")
+
+
 def _price(base: str, supply: str, peak: str, noise: str) -> str:
     share = f"CASE WHEN ln(1 + {peak}) > 0 THEN ln(1 + {supply}) / ln(1 + {peak}) ELSE 0.0 END"
     return half_up(f"({base} * (1 - 0.08::DOUBLE * ({share})) * (1 + {noise}))", 1)
@@ -200,7 +206,8 @@ _TODAY_PROFIT = half_up(
     """,
 )
 def plan_vs_actual(t: Tables):
-    return procurement.compare(schedule(t), actuals(t))
+    known = written_schedule(t)
+    return procurement.compare(known, actuals(known))
 
 
 @query(
@@ -210,7 +217,8 @@ def plan_vs_actual(t: Tables):
 )
 def rolling_replan(t: Tables):
     """The decision at the start of every month, given the purchases so far."""
-    day = ops.rolling_replan(ops.with_actuals(schedule(t), actuals(t)))
+    known = written_schedule(t)
+    day = ops.rolling_replan(ops.with_actuals(known, actuals(known)))
     return day.select(
         "scenario", "idx", F.col("remaining_target").cast("bigint").alias("remaining_target"),
         "remaining_supply", "days_left", "exp_price", "multiplier",
@@ -233,8 +241,8 @@ def rolling_replan(t: Tables):
 )
 def replan_from_month(t: Tables):
     """The remaining schedule from January 1998 on, planned anew."""
-    known = ops.with_actuals(schedule(t), actuals(t))
-    plan = ops.replan_from(known, 1998 * 12)
+    known = written_schedule(t)
+    plan = ops.replan_from(ops.with_actuals(known, actuals(known)), 1998 * 12)
     return plan.select("scenario", "idx", "exp_price", F.col("buy").cast("bigint").alias("buy"))
 
 
@@ -246,11 +254,13 @@ def replan_from_month(t: Tables):
         FROM today""",
 )
 def risk_band(t: Tables):
-    day = ops.rolling_replan(ops.with_actuals(schedule(t), actuals(t)))
+    known = written_schedule(t)
+    day = ops.rolling_replan(ops.with_actuals(known, actuals(known)))
     return day.select("scenario", "idx", "days_left", "risk")
 
 
 @query("G09", f"{SCHEDULE} SELECT scenario, idx, supply, bought FROM valid")
 def validated_actuals(t: Tables):
     """Purchases outside 0..supply and missing periods count as 0."""
-    return ops.with_actuals(schedule(t), actuals(t)).select("scenario", "idx", "supply", "bought")
+    known = written_schedule(t)
+    return ops.with_actuals(known, actuals(known)).select("scenario", "idx", "supply", "bought")

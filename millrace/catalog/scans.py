@@ -136,7 +136,7 @@ def delimited_fields(t: Tables):
 )
 def html_cells(t: Tables):
     """Lists of the stored pages as rows, their items as cells."""
-    return html.cells(t.pages, "page_id", "html", row_tag="ul", cell_tag="li")
+    return html.cells(t.spread("pages"), "page_id", "html", row_tag="ul", cell_tag="li")
 
 
 @query(
@@ -152,7 +152,7 @@ def html_cells(t: Tables):
 def html_links(t: Tables):
     """Distinct absolute addresses of the site-relative links."""
     base = F.regexp_extract("url", "^(https?://[^/]+)", 1)
-    return html.matching_links(t.pages, "html", "^/[^/]+$", base)
+    return html.matching_links(t.spread("pages"), "html", "^/[^/]+$", base)
 
 
 @query(

@@ -20,7 +20,7 @@ def _pieces(cleaned: str) -> str:
 
 def _classed(t: Tables):
     """Documents with their quality class; labels cover some documents."""
-    return t.documents.join(t.labels, "doc_id").select("doc_id", "quality", "text")
+    return t.spread("documents").join(t.labels, "doc_id").select("doc_id", "quality", "text")
 
 
 @query(
@@ -32,7 +32,7 @@ def _classed(t: Tables):
 )
 def text_clean(t: Tables):
     cleaned = fn.collapse_spaces(fn.clean_social("text"))
-    return t.documents.select("doc_id", cleaned.alias("cleaned"))
+    return t.spread("documents").select("doc_id", cleaned.alias("cleaned"))
 
 
 @query(
@@ -48,7 +48,7 @@ def text_clean_b(t: Tables):
     kept = fn.drop_short_and_stop(
         fn.split_words(fn.clean_review("text")), fn.ENGLISH_STOP_WORDS
     )
-    return t.documents.select("doc_id", F.array_join(kept, " ").alias("cleaned"))
+    return t.spread("documents").select("doc_id", F.array_join(kept, " ").alias("cleaned"))
 
 
 @query(
@@ -61,7 +61,7 @@ def text_clean_b(t: Tables):
 )
 def wordcount_lower(t: Tables):
     """Runs of word characters, lower-cased, over whole texts."""
-    return line_jobs.word_count(t.documents.select(F.col("text").alias("value")))
+    return line_jobs.word_count(t.spread("documents").select(F.col("text").alias("value")))
 
 
 @query(
@@ -73,7 +73,7 @@ def wordcount_lower(t: Tables):
 )
 def wordcount_raw(t: Tables):
     """Pieces between single blanks, empty ones included."""
-    return line_jobs.word_count_raw(t.documents.select(F.col("text").alias("value")))
+    return line_jobs.word_count_raw(t.spread("documents").select(F.col("text").alias("value")))
 
 
 @query(
@@ -102,7 +102,7 @@ def label_count(t: Tables):
 def tokens_clean(t: Tables):
     """Stop words removed by an anti join with a table."""
     stop = t.spark.createDataFrame([(w,) for w in _STOP], "word string")
-    terms = ops.explode_tokens(t.documents, fn.split_words(fn.clean_social("text")), [], 3)
+    terms = ops.explode_tokens(t.spread("documents"), fn.split_words(fn.clean_social("text")), [], 3)
     return ops.term_counts(ops.without_stop_words(terms, stop))
 
 
@@ -169,7 +169,7 @@ def tfidf_top_terms(t: Tables):
 def label_from_score(t: Tables):
     """Stars to a label; rows with an unreadable score are dropped."""
     stars = F.col("n_chars") % 6
-    scored = t.documents.select(
+    scored = t.spread("documents").select(
         "doc_id", "text", F.when(stars == 5, "?").otherwise(stars.cast("string")).alias("score")
     )
     return keywords.label_scores(scored, "score").select("doc_id", "sentiment")

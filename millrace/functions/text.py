@@ -75,10 +75,8 @@ def drop_short_and_stop(tokens: Column, stop_words: list[str], min_length: int =
     The list is a literal in the plan, hence for lists a person writes; a stop
     word table of any size goes through an anti join instead.
     """
-    stop = F.array(*[F.lit(w) for w in sorted(set(stop_words)) if len(w) >= min_length])
-    return F.filter(
-        tokens, lambda w: (F.char_length(w) >= min_length) & ~F.array_contains(stop, w)
-    )
+    stop = sorted(w for w in set(stop_words) if len(w) >= min_length)
+    return F.filter(tokens, lambda w: (F.char_length(w) >= min_length) & ~w.isin(stop))
 
 
 def first_number(c: Column | str) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_sum, mean_round, ratio_or_zero, round_half_up
+from millrace.functions.numbers import exact_sum, exact_total, mean_round, ratio_or_zero, round_half_up
 from millrace.operators.windows import top_n
 
 
@@ -35,7 +35,7 @@ def with_total_row(
     """
     grouped = df.groupBy(key).agg(
         F.count(F.lit(1)).alias(count_name),
-        *[F.sum(F.col(c).cast("decimal(18,2)")).alias(new) for c, new in sums.items()],
+        *[exact_total(c).alias(new) for c, new in sums.items()],
     )
     rolled = grouped.rollup(key).agg(
         F.grouping(key).alias("_total"),

@@ -68,9 +68,14 @@ def expected_price(
     terms: Terms = DEFAULT_TERMS,
 ) -> Column:
     """Price falls with the logarithm of the supply, relative to its peak."""
-    scale = F.log(1 + _c(max_supply))
-    share = F.when(scale > 0, F.log(1 + _c(supply)) / scale).otherwise(F.lit(0.0))
-    return round_half_up(_c(base) * (1 - terms.sensitivity * share) * (1 + _c(noise)), 1)
+    return _price(
+        _c(base), F.log(1 + _c(supply)), F.log(1 + _c(max_supply)), _c(noise), terms
+    )
+
+
+def _price(base: Column, scaled: Column, peak: Column, noise: Column, terms: Terms) -> Column:
+    share = F.when(peak > 0, scaled / peak).otherwise(F.lit(0.0))
+    return round_half_up(base * (1 - terms.sensitivity * share) * (1 + noise), 1)
 
 
 def with_prices(schedule: DataFrame, terms: Terms = DEFAULT_TERMS) -> DataFrame:
@@ -205,18 +210,22 @@ def rolling_replan(schedule: DataFrame, terms: Terms = DEFAULT_TERMS) -> DataFra
         .orderBy("idx")
         .rowsBetween(Window.currentRow, Window.unboundedFollowing)
     )
-    state = remaining(schedule).withColumn(
-        "_rest", F.collect_list(F.struct("supply", "base_price", "noise")).over(rest)
-    )
-    now = state.withColumn(
-        "exp_price", expected_price("base_price", "supply", "peak_supply", "noise", terms)
+    # The logarithms are taken once per period, not once per pair of periods.
+    scaled = schedule.withColumn("_scaled", F.log(1 + F.col("supply")))
+    state = remaining(scaled).withColumns(
+        {
+            "_rest": F.collect_list(F.struct("supply", "base_price", "noise", "_scaled")).over(rest),
+            "_peak": F.log(1 + F.col("peak_supply")),
+        }
     )
+    today = _price(F.col("base_price"), F.col("_scaled"), F.col("_peak"), F.col("noise"), terms)
+    now = state.withColumn("exp_price", today)
     cheaper = F.aggregate(
         "_rest",
         F.lit(0).cast("bigint"),
         lambda total, d: total
         + F.when(
-            expected_price(d["base_price"], d["supply"], F.col("peak_supply"), d["noise"], terms)
+            _price(d["base_price"], d["_scaled"], F.col("_peak"), d["noise"], terms)
             < F.col("exp_price"),
             d["supply"],
         ).otherwise(F.lit(0).cast("bigint")),
@@ -234,7 +243,7 @@ def rolling_replan(schedule: DataFrame, terms: Terms = DEFAULT_TERMS) -> DataFra
             ),
         )
         .withColumn("risk", risk_band("fill_ratio"))
-        .drop("_rest", "_cheaper", "peak_supply")
+        .drop("_rest", "_cheaper", "_scaled", "_peak", "peak_supply")
     )
 
 

@@ -158,11 +158,9 @@ def density_curve(df: DataFrame, column: str, points: int) -> DataFrame:
     ).scalar()
     lo, hi, h, total = shape["lo"], shape["hi"], shape["h"], shape["n"]
     at = [lo + (hi - lo) * i / (points - 1) for i in range(points)]
+    steps = [(F.col("x") - g) / h for g in at]
     sums = values.agg(
-        *[
-            F.sum(F.col("n") * F.exp(-F.pow((F.col("x") - g) / h, 2) / 2)).alias(f"s{i}")
-            for i, g in enumerate(at)
-        ]
+        *[F.sum(F.col("n") * F.exp(-(z * z) / 2)).alias(f"s{i}") for i, z in enumerate(steps)]
     )
     scale = total * h * F.sqrt(F.lit(2) * F.pi())
     cells = [

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_mean, exact_sum, floor_bin, mean_round, round_half_up
+from millrace.functions.numbers import exact_mean, exact_sum, exact_total, floor_bin, mean_round, round_half_up
 from millrace.functions.times import day_type, month_range, year_range
 
 
@@ -40,9 +40,9 @@ def by_temperature(fares: DataFrame, weather: DataFrame, width: int = 5) -> Data
     """
     daily = fares.groupBy("date").agg(
         F.count(F.lit(1)).alias("_n"),
-        F.sum(F.col("trip_miles").cast("decimal(18,2)")).alias("_miles"),
+        exact_total("trip_miles").alias("_miles"),
         F.count("trip_miles").alias("_miles_n"),
-        F.sum(F.col("base_passenger_fare").cast("decimal(18,2)")).alias("_fare"),
+        exact_total("base_passenger_fare").alias("_fare"),
         F.count("base_passenger_fare").alias("_fare_n"),
     )
     band = floor_bin("max", width).cast("double").alias("temp_group")

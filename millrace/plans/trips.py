@@ -17,6 +17,7 @@ from millrace.functions.numbers import (
     bucket_rank,
     bucketize,
     exact_mean,
+    exact_total,
     fahrenheit_to_celsius,
     map_codes,
     round_half_up,
@@ -144,7 +145,7 @@ def cube(rows: DataFrame) -> DataFrame:
     """Counts and exact sums per combination of the categories."""
     sums = []
     for m in MEASURES:
-        sums.append(F.sum(F.col(m).cast("decimal(18,2)")).alias(f"{m}_sum"))
+        sums.append(exact_total(m).alias(f"{m}_sum"))
         sums.append(F.count(m).alias(f"{m}_n"))
     return rows.groupBy(*CUBE_KEYS).agg(
         F.count(F.lit(1)).alias("trips"), F.count("service_type").alias("users"), *sums

@@ -17,6 +17,16 @@ def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in paths])
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than there are cores.
+
+    For tables whose rows are costly to process (long texts, pages).  A table
+    with enough splits, as any large one, is returned as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_csv(
     spark: SparkSession,
     path: str | list[str],
