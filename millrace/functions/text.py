@@ -49,7 +49,7 @@ def clean_review(c: Column | str) -> Column:
     """Drop links, mentions, hash signs, digits and punctuation, then lower-case."""
     c = F.regexp_replace(_c(c), f"(http|www)[^{SPACE}]+", "")
     c = F.regexp_replace(c, f"@[{WORD}]+", "")
-    c = F.regexp_replace(c, r"(#|\p{Nd})+", "")
+    c = F.regexp_replace(c, r"[#\p{Nd}]+", "")
     c = F.regexp_replace(c, f"[^{WORD}{SPACE}]+", "")
     return F.lower(c)
 
