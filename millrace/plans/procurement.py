@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.aggregates import spend_summary
@@ -18,6 +18,25 @@ from millrace.operators.planning import (
 )
 
 
+def schedule_from(
+    days: DataFrame, target: int, base_price: float, noise: str | None = None
+) -> DataFrame:
+    """Schedule from rows (scenario, date, supply) with one target for all.
+
+    Dates of a scenario are unique, so its group is bounded by the calendar.
+    """
+    order = Window.partitionBy("scenario").orderBy("date")
+    return days.select(
+        "scenario",
+        "date",
+        (F.row_number().over(order) - 1).alias("idx"),
+        F.col("supply").cast("bigint").alias("supply"),
+        F.lit(float(base_price)).alias("base_price"),
+        F.lit(target).cast("bigint").alias("target"),
+        (F.col(noise) if noise else F.lit(0.0)).cast("double").alias("noise"),
+    )
+
+
 def baseline(schedule: DataFrame, terms: Terms = DEFAULT_TERMS) -> DataFrame:
     """Cheapest-first plan over the whole schedule."""
     return greedy_plan(with_bids(schedule, terms))

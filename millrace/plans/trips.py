@@ -213,15 +213,23 @@ def location_analysis(cells: DataFrame) -> DataFrame:
     )
 
 
-def reports(
-    trips: DataFrame, zones: DataFrame, weather: DataFrame, **options
-) -> dict[str, DataFrame]:
-    """All result tables.  The cube is written once and read by four of them."""
-    cells = materialize(cube(detail(trips, zones, weather, **options)), "trip-cube")
+def reports_from(rows: DataFrame) -> dict[str, DataFrame]:
+    """The grouped results of :func:`detail` rows.
+
+    The cube is written once and read by all four of them.
+    """
+    cells = materialize(cube(rows), "trip-cube")
     return {
-        "metrics": global_means(trips),
         "peak_hours": peak_hours(cells),
         "weather_analysis": weather_analysis(cells),
         "distance_analysis": distance_analysis(cells),
         "location_analysis": location_analysis(cells),
     }
+
+
+def reports(
+    trips: DataFrame, zones: DataFrame, weather: DataFrame, **options
+) -> dict[str, DataFrame]:
+    """All result tables without keeping the detail."""
+    rows = detail(trips, zones, weather, **options)
+    return {"metrics": global_means(trips), **reports_from(rows)}
