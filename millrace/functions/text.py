@@ -49,9 +49,9 @@ def clean_review(c: Column | str) -> Column:
     """Drop links, mentions, hash signs, digits and punctuation, then lower-case."""
     c = F.regexp_replace(_c(c), f"(http|www)[^{SPACE}]+", "")
     c = F.regexp_replace(c, f"@[{WORD}]+", "")
-    c = F.regexp_replace(c, r"[#\p{Nd}]+", "")
-    c = F.regexp_replace(c, f"[^{WORD}{SPACE}]+", "")
-    return F.lower(c)
+    # Hash signs, decimal digits and punctuation in one pass: all that is kept
+    # are letters, other numerals, the underscore and blanks.
+    return F.lower(F.regexp_replace(c, f"[^\\p{{L}}\\p{{Nl}}\\p{{No}}_{SPACE}]+", ""))
 
 
 def collapse_spaces(c: Column | str) -> Column:

@@ -118,7 +118,7 @@ def run_procurement(spark: SparkSession, args) -> None:
     sinks.write_parquet(procurement.plan_summary(plan), f"{args.out}/plan_summary")
     if args.actuals:
         entered = readers.read_csv(
-            spark, args.actuals, "scenario string, date string, bought bigint"
+            spark, args.actuals, "scenario string, date date, bought bigint"
         )
         numbered = schedule.select("scenario", "date", "idx")
         bought = entered.join(numbered, ["scenario", "date"]).select("scenario", "idx", "bought")

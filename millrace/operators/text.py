@@ -15,12 +15,12 @@ from millrace.storage import materialize
 def explode_tokens(
     df: DataFrame, pieces: Column, keep: Sequence[str], min_length: int = 1, name: str = "term"
 ) -> DataFrame:
-    """One lower-cased row per piece of at least ``min_length`` characters.
+    """One row per piece of at least ``min_length`` characters.
 
-    Lower-casing and filtering follow the explode, where they are compiled
-    together with it; lambdas over arrays are not.
+    The filter follows the explode, where it is compiled together with it;
+    lambdas over arrays are not.
     """
-    rows = df.select(*keep, F.explode(pieces).alias(name)).withColumn(name, F.lower(name))
+    rows = df.select(*keep, F.explode(pieces).alias(name))
     return rows.filter(F.char_length(name) >= min_length)
 
 
@@ -46,7 +46,7 @@ def vocabulary(
     two sums that combine per task, and no row per document and term is
     shuffled.
     """
-    ordered = docs.select(*classes, F.sort_array(F.transform(pieces, F.lower)).alias("_all"))
+    ordered = docs.select(*classes, F.sort_array(pieces).alias("_all"))
     marked = F.transform(
         "_all",
         lambda w, i: F.struct(

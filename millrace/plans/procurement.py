@@ -23,17 +23,22 @@ def schedule_from(
 ) -> DataFrame:
     """Schedule from rows (scenario, date, supply) with one target for all.
 
-    Dates of a scenario are unique, so its group is bounded by the calendar.
+    Supplies of the same day are added up, so a scenario has at most one row
+    per calendar day however many rows come in.
     """
+    deviation = F.max(noise) if noise else F.lit(0.0)
+    daily = days.groupBy("scenario", F.col("date").cast("date").alias("date")).agg(
+        F.sum("supply").cast("bigint").alias("supply"), deviation.cast("double").alias("noise")
+    )
     order = Window.partitionBy("scenario").orderBy("date")
-    return days.select(
+    return daily.select(
         "scenario",
         "date",
         (F.row_number().over(order) - 1).alias("idx"),
-        F.col("supply").cast("bigint").alias("supply"),
+        "supply",
         F.lit(float(base_price)).alias("base_price"),
         F.lit(target).cast("bigint").alias("target"),
-        (F.col(noise) if noise else F.lit(0.0)).cast("double").alias("noise"),
+        "noise",
     )
 
 

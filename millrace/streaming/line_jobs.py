@@ -22,7 +22,8 @@ POLARITY = {"0": "negative", "2": "neutral", "4": "positive"}
 
 def word_count(lines: DataFrame) -> DataFrame:
     """Runs of word characters, lower-cased."""
-    return _count(explode_tokens(lines, split_word_runs("value"), [], name="word"), "word")
+    words = explode_tokens(lines, split_word_runs("value"), [], name="word")
+    return _count(words.withColumn("word", F.lower("word")), "word")
 
 
 def word_count_raw(lines: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """The batch jobs from files to files."""
 
 import json
+from datetime import date
 
 from conftest import values
 from test_trips_fares import GOOD, SCHEMA, trip
@@ -72,7 +73,7 @@ def test_procurement(spark, tmp_path):
     run(spark, "procurement", "--schedule", tmp_path / "s.csv", "--actuals", tmp_path / "a.csv",
         "--out", f"{tmp_path}/out")
     plan = spark.read.parquet(f"{tmp_path}/out/plan").filter("buy > 0")
-    assert values(plan, "date", "buy") == [("2025-08-17", 6), ("2025-08-19", 4)]
+    assert values(plan, "date", "buy") == [(date(2025, 8, 17), 6), (date(2025, 8, 19), 4)]
     # Nine of five units is no valid entry.
     compared = spark.read.parquet(f"{tmp_path}/out/comparison").first()
     assert (compared["units"], compared["achieved"]) == (6.0, False)
