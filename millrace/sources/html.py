@@ -12,6 +12,12 @@ ENTITIES = [
     ("&apos;", "'"), ("&nbsp;", " "), ("&middot;", "·"), ("&amp;", "&"),
 ]
 
+# Elements whose end also ends a row, a cell or an item.
+CONTAINERS = {
+    "tr": ["tbody", "table"], "td": ["tr", "tbody", "table"], "th": ["tr", "tbody", "table"],
+    "li": ["ul", "ol"],
+}
+
 
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -26,8 +32,13 @@ def inner_text(fragment: Column | str) -> Column:
 
 
 def elements(html: Column | str, tag: str) -> Column:
-    """Array with the inside of each element, not nested ones."""
-    pattern = f"(?is)<{tag}(?:[ \\t\\n\\r][^>]*)?>(.*?)</{tag}[ \\t\\n\\r]*>"
+    """Array with the inside of each element, not nested ones.
+
+    An element also ends where the next one of its kind starts or where its
+    container ends, as closing tags of rows, cells and items may be left out.
+    """
+    ends = [f"</{tag}", f"<{tag}[ \\t\\n\\r>]", *[f"</{c}" for c in CONTAINERS.get(tag, [])]]
+    pattern = f"(?is)<{tag}(?:[ \\t\\n\\r][^>]*)?>(.*?)(?={'|'.join(ends)}|\\z)"
     return F.regexp_extract_all(_c(html), F.lit(pattern), F.lit(1))
 
 

@@ -120,6 +120,14 @@ def test_cells(spark):
     assert values(html.cells(pages, "id", "html", skip_rows=2)) == [(1, 2, 0, "C")]
 
 
+def test_cells_without_closing_tags(spark):
+    page = "<table><tr><td>a<td>b</td>\n<tr><th>h<td id=x>c</table><p>end</p>"
+    pages = spark.createDataFrame([(1, page), (2, "<ul><li>x<li>y</ul>z")], "id int, html string")
+    assert values(html.cells(pages, "id", "html")) == [(1, 0, 0, "a"), (1, 0, 1, "b"), (1, 1, 0, "c")]
+    items = html.cells(pages, "id", "html", row_tag="ul", cell_tag="li")
+    assert values(items) == [(2, 0, 0, "x"), (2, 0, 1, "y")]
+
+
 def test_links(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, PAGE)], "id int, html string")
     assert html.links(pages, "id", "html").count() == 6
