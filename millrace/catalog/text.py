@@ -8,6 +8,7 @@ from millrace.functions import text as fn
 from millrace.functions.numbers import round_half_up
 from millrace.operators import text as ops
 from millrace.plans import keywords
+from millrace.sources.readers import spread
 from millrace.streaming import line_jobs
 
 _STOP = sorted(w for w in {*fn.ENGLISH_STOP_WORDS, *fn.SOCIAL_STOP_WORDS} if len(w) > 2)
@@ -20,7 +21,8 @@ def _pieces(cleaned: str) -> str:
 
 def _classed(t: Tables):
     """Documents with their quality class; labels cover some documents."""
-    return t.spread("documents").join(t.labels, "doc_id").select("doc_id", "quality", "text")
+    joined = t.documents.join(t.labels, "doc_id").select("doc_id", "quality", "text")
+    return spread(joined, scan=t.documents)
 
 
 @query(

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from itertools import combinations_with_replacement
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.windows import running_total
 
+# The sketch misses a rank by at most 1 / _ACCURACY of the rows; the margin is
+# several times that.
+_ACCURACY = 10_000
+_MARGIN = 0.0005
+
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
     """Pearson correlation of every two columns in long form, from one scan."""
@@ -47,45 +54,131 @@ def long_form(df: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
     return df.select(F.inline(F.array(*cells))).filter("value IS NOT NULL")
 
 
+@dataclass
+class _Slice:
+    """Part of a column's values in which the ranks of some quantiles lie."""
+
+    column: str
+    number: int
+    probs: list[float]
+    low: float | None = None
+    high: float | None = None
+    below: int = 0
+    inside: int = 0
+
+    def holds(self, c: Column) -> Column:
+        return c.isNotNull() if self.low is None else c.between(self.low, self.high)
+
+
+def _ranks(count: int, p: float) -> tuple[int, int, float]:
+    """Neighbouring ranks of a quantile, from 0, and the share of the upper one."""
+    exact = (count - 1) * p
+    return math.floor(exact), math.ceil(exact), exact - math.floor(exact)
+
+
+def _slices(df: DataFrame, columns, probs, counts, sketches, small: int) -> list[_Slice]:
+    """Slices that provably contain the ranks, as narrow as the sketch allows."""
+    whole = [_Slice(c, 0, list(probs), inside=counts[c]) for c in columns if counts[c] <= small]
+    narrow = [
+        _Slice(c, i, [p], sketches[c][2 * i], sketches[c][2 * i + 1])
+        for c in columns
+        if counts[c] > small
+        for i, p in enumerate(probs)
+    ]
+    if narrow:
+        sizes = df.agg(
+            *[F.count_if(F.col(s.column) < s.low) for s in narrow],
+            *[F.count_if(s.holds(F.col(s.column))) for s in narrow],
+        ).first()
+        for i, s in enumerate(narrow):
+            s.below, s.inside = sizes[i], sizes[len(narrow) + i]
+            first, last, _ = _ranks(counts[s.column], s.probs[0])
+            if not s.below <= first <= last < s.below + s.inside:
+                s.low = s.high = None
+                s.below, s.inside = 0, counts[s.column]
+    return whole + narrow
+
+
 def describe_numeric(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float] = (0.25, 0.5, 0.75),
+    small: int = 100_000,
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column.
 
-    Quartiles interpolate between the neighbouring ranks.  The values are
-    counted per distinct value and the counts accumulated in value order over
-    many tasks, so no task or aggregation buffer holds a whole column.
+    A first pass takes the plain figures and a quantile sketch, whose error
+    bound gives a narrow range of values around each quartile; a second pass
+    counts what lies below and inside.  Only values inside the ranges are then
+    counted per distinct value and accumulated, so a large column is not
+    shuffled.  Columns of up to ``small`` values skip the ranges, a range that
+    misses its rank is widened to the whole column, and anything longer than
+    ``small`` is accumulated over many tasks.  Quartiles interpolate between
+    the neighbouring ranks.
     """
-    counted = long_form(df, columns, "double").groupBy("column_name", "value").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    ranked = running_total(counted, ["column_name"], ["value"], "n", "upto")
-    base = ranked.groupBy("column_name").agg(
-        F.sum("n").alias("count"),
-        F.sum(F.col("value") * F.col("n")).alias("_sum"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
+    around = [q for p in probs for q in (max(0.0, p - _MARGIN), min(1.0, p + _MARGIN))]
+    measures = []
+    for c in columns:
+        x = F.col(c).cast("double")
+        measures.append(
+            F.struct(
+                F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
+                F.min(x).alias("min"), F.max(x).alias("max"),
+                F.percentile_approx(x, around, _ACCURACY).alias("sketch"),
+            )
+        )
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    plain = dict(zip(columns, df.agg(*measures).first()))
+    counts = {c: plain[c]["count"] for c in columns}
+    sketches = {c: plain[c]["sketch"] for c in columns}
+    slices = _slices(numbers, columns, probs, counts, sketches, small)
+
+    cells = [
+        F.struct(
+            F.lit(s.column).alias("column_name"),
+            F.lit(s.number).alias("slice"),
+            F.when(s.holds(F.col(s.column)), F.col(s.column)).alias("value"),
+        )
+        for s in slices
+    ]
+    keys = ["column_name", "slice"]
+    counted = (
+        numbers.select(F.inline(F.array(*cells)))
+        .filter("value IS NOT NULL")
+        .groupBy(*keys, "value")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    base = base.withColumn("mean", F.col("_sum") / F.col("count"))
-    # One row per profiled column, so the broadcast is bounded by the call.
-    whole = F.broadcast(base.select("column_name", "count", "mean"))
-    on = ranked.join(whole, "column_name")
+    if max(s.inside for s in slices) > small:
+        ranked = running_total(counted, keys, ["value"], "n", "upto")
+    else:
+        upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        ranked = counted.withColumn("upto", F.sum("n").over(upto))
+
     picks = []
-    for i, p in enumerate(probs):
-        rank = (F.col("count") - 1) * p
-        for side, at in (("lo", F.floor(rank)), ("hi", F.ceil(rank))):
-            picks.append(F.min(F.when(F.col("upto") > at, F.col("value"))).alias(f"_{side}{i}"))
-    spread = F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2)).alias("_squares")
-    picked = on.groupBy("column_name").agg(spread, *picks)
-    quantiles = []
-    for i, p in enumerate(probs):
-        rank = (F.col("count") - 1) * p
-        low, high = F.col(f"_lo{i}"), F.col(f"_hi{i}")
-        quantiles.append((low + (high - low) * (rank - F.floor(rank))).alias(f"p{int(p * 100)}"))
-    deviation = F.sqrt(F.try_divide(F.col("_squares"), F.col("count") - 1))
-    return base.join(F.broadcast(picked), "column_name").select(
-        "column_name", "count", "mean", deviation.alias("std"), "min", *quantiles, "max"
-    )
+    quantiles: dict[tuple[str, float], Column] = {}
+    for s in slices:
+        here = (F.col("column_name") == s.column) & (F.col("slice") == s.number)
+        for p in s.probs:
+            first, last, share = _ranks(counts[s.column], p)
+            names = [f"q{len(picks)}", f"q{len(picks) + 1}"]
+            for rank, name in zip((first, last), names):
+                reached = here & (F.col("upto") + s.below > rank)
+                picks.append(F.min(F.when(reached, F.col("value"))).alias(name))
+            low, high = F.col(names[0]), F.col(names[1])
+            quantiles[s.column, p] = low + (high - low) * share
+    rows = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.lit(counts[c]).cast("bigint").alias("count"),
+            *[F.lit(plain[c][k]).cast("double").alias(k) for k in ("mean", "std", "min")],
+            *[quantiles[c, p].alias(f"p{int(p * 100)}") for p in probs],
+            F.lit(plain[c]["max"]).cast("double").alias("max"),
+        )
+        for c in columns
+    ]
+    return ranked.agg(*picks).select(F.inline(F.array(*rows)))
 
 
 def describe_categorical(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -21,8 +21,11 @@ def frame(spark, numbers):
     return spark.createDataFrame(rows, "a double, b double").repartition(6)
 
 
-def test_describe_numeric(frame, numbers):
-    got = {r["column_name"]: r for r in stats.describe_numeric(frame, ["a", "b"]).collect()}
+@pytest.mark.parametrize("small", [1_000_000, 300, 0])
+def test_describe_numeric(frame, numbers, small):
+    """All values in one slice, narrow slices, and slices over many tasks."""
+    out = stats.describe_numeric(frame, ["a", "b"], small=small)
+    got = {r["column_name"]: r for r in out.collect()}
     b = [float(i % 7) for i in range(997) if i % 5]
     for name, data in (("a", numbers), ("b", b)):
         r = got[name]
@@ -39,6 +42,25 @@ def test_describe_numeric_of_one_value(spark):
     assert (one["count"], one["p25"], one["p75"], one["std"]) == (1, 2.5, 2.5, None)
 
 
+def test_slices_are_narrow_and_checked(spark):
+    df = spark.range(200_000).selectExpr("cast(pmod(hash(id), 1000003) as double) AS x")
+    counts, probs = {"x": 200_000}, [0.25, 0.5]
+    sketch = df.agg(F.percentile_approx("x", [0.2495, 0.2505, 0.4995, 0.5005], 10_000)).first()[0]
+    narrow = stats._slices(df, ["x"], probs, counts, {"x": sketch}, small=1000)
+    assert all(s.low is not None and s.inside < 400 for s in narrow)
+    wrong = stats._slices(df, ["x"], probs, counts, {"x": [0.0, 1.0, 0.0, 1.0]}, small=1000)
+    assert all(s.low is None and s.inside == 200_000 for s in wrong)
+    got = stats.describe_numeric(df, ["x"], small=1000).first()
+    want = np.quantile(df.toPandas()["x"], [0.25, 0.5, 0.75])
+    assert [got["p25"], got["p50"], got["p75"]] == list(want)
+
+
+def test_describe_numeric_without_values(spark):
+    empty = spark.createDataFrame([(None,)], "x double")
+    got = stats.describe_numeric(empty, ["x"]).first()
+    assert (got["count"], got["mean"], got["p50"]) == (0, None, None)
+
+
 def test_describe_categorical(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), (None,)], "x string")
     got = stats.describe_categorical(df, ["x"]).first()
