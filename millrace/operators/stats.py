@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, Window
@@ -142,8 +143,11 @@ def describe_numeric(
         for s in slices
     ]
     keys = ["column_name", "slice"]
+    # Rows outside all slices are dropped by the scan.
+    touched = reduce(lambda a, b: a | b, [s.holds(F.col(s.column)) for s in slices])
     counted = (
-        numbers.select(F.inline(F.array(*cells)))
+        numbers.filter(touched)
+        .select(F.inline(F.array(*cells)))
         .filter("value IS NOT NULL")
         .groupBy(*keys, "value")
         .agg(F.count(F.lit(1)).alias("n"))
