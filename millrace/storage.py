@@ -16,7 +16,8 @@ def shared_dir(spark: SparkSession) -> str:
     lost together with its executor.
     """
     sc = spark.sparkContext
-    configured = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    configured = named or sc.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
     if not sc.master.startswith("local"):

@@ -91,11 +91,18 @@ def test_shared_folder_comes_from_the_cluster(spark, monkeypatch):
         def getConf(self):
             return Conf()
 
+    class Unset:
+        def get(self, key, default=None):
+            return default
+
     class Session:
         sparkContext = Context()
+        conf = Unset()
 
     assert storage.shared_dir(Session()) == "s3a://shared/ckpt"
-    Conf.get = lambda self, key, default=None: default
+    Session.conf = Conf()
+    assert storage.shared_dir(Session()) == "s3a://shared/ckpt"
+    Conf.get = Unset.get
     Context.getCheckpointDir = lambda self: None
     with pytest.raises(RuntimeError):
         storage.shared_dir(Session())
