@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
 from millrace.functions.times import month_range, seconds_between, within
+from millrace.operators.joins import outer_to_many
 
 
 @query(
@@ -148,7 +149,7 @@ def filter_glob(t: Tables):
 )
 def filter_null(t: Tables):
     big = t.orders.filter("o_totalprice > 450000").select("o_orderkey", "o_custkey")
-    joined = t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left")
+    joined = outer_to_many(t.customer, big, "c_custkey", "o_custkey")
     return joined.filter(F.col("o_orderkey").isNull() | (F.col("c_nationkey") == 7)).select(
         "c_custkey", F.col("o_orderkey").isNotNull().alias("ordered")
     )

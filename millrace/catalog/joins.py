@@ -89,7 +89,7 @@ def join_three(t: Tables):
     """,
 )
 def join_left(t: Tables):
-    joined = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    joined = joins.outer_to_many(t.customer, t.orders, "c_custkey", "o_custkey")
     return joined.select("c_name", "o_orderkey").orderBy("c_name", "o_orderkey")
 
 
@@ -101,8 +101,9 @@ def join_left(t: Tables):
     """,
 )
 def join_right(t: Tables):
+    """All customers, with their finished orders: the left join seen from orders."""
     done = t.orders.filter("o_orderstatus = 'F'")
-    joined = done.join(t.customer, F.col("o_custkey") == F.col("c_custkey"), "right")
+    joined = joins.outer_to_many(t.customer, done, "c_custkey", "o_custkey")
     return joined.select("o_orderkey", "c_name", "c_mktsegment").orderBy("o_orderkey", "c_name")
 
 
@@ -118,7 +119,7 @@ def join_full(t: Tables):
     """Either side may stay without a partner."""
     customers = t.customer.filter("c_acctbal > 0")
     orders = t.orders.filter("o_totalprice > 100000")
-    joined = customers.join(orders, F.col("c_custkey") == F.col("o_custkey"), "full")
+    joined = joins.outer_to_many(customers, orders, "c_custkey", "o_custkey", keep_many=True)
     return joined.select("c_name", "o_orderkey").orderBy("c_name", "o_orderkey")
 
 
@@ -168,7 +169,9 @@ def join_self_pairs(t: Tables):
     """,
 )
 def semi_exists(t: Tables):
+    """Distinct keys first, so that a hot supplier is one row in the join."""
     large = t.lineitem.filter("l_quantity = 50 AND l_discount > 0.09")
+    large = large.select("l_suppkey").distinct()
     return t.supplier.join(large, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi").select(
         "s_name"
     )
@@ -185,7 +188,7 @@ def semi_in(t: Tables):
     t.view("part", "lineitem")
     return t.spark.sql(
         "SELECT p_partkey, p_name FROM part"
-        " WHERE p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 49)"
+        " WHERE p_partkey IN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 49)"
     )
 
 
@@ -209,7 +212,7 @@ def scalar_subquery(t: Tables):
     """,
 )
 def anti_join(t: Tables):
-    big = t.orders.filter("o_totalprice > 300000")
+    big = t.orders.filter("o_totalprice > 300000").select("o_custkey").distinct()
     return t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select(
         "c_custkey", "c_name"
     )

@@ -6,6 +6,7 @@ from millrace.catalog.registry import Tables, query
 from millrace.catalog.sqlparts import half_up
 from millrace.functions.numbers import round_half_up
 from millrace.operators import stats
+from millrace.operators.joins import outer_to_many
 
 _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _PROFILED = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -87,7 +88,7 @@ _NULLS = ["c_custkey", "c_name", "o_orderkey", "o_totalprice"]
 )
 def null_counts(t: Tables):
     big = t.orders.filter("o_totalprice > 400000")
-    joined = t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left")
+    joined = outer_to_many(t.customer, big, "c_custkey", "o_custkey")
     return stats.null_counts(joined.select(*_NULLS))
 
 

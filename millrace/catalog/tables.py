@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
 from millrace.operators import tables
+from millrace.operators.joins import outer_to_many
 from millrace.sources.sinks import write_table
 from millrace.storage import fresh_path
 
@@ -51,7 +52,7 @@ def delete_rows(t: Tables):
 def ctas_copy(t: Tables):
     """A join stored as a table, replacing an older copy."""
     t.spark.sql("DROP TABLE IF EXISTS millrace_customer_orders")
-    joined = t.customer.join(t.orders, F.col("c_custkey") == F.col("o_custkey"), "left")
+    joined = outer_to_many(t.customer, t.orders, "c_custkey", "o_custkey")
     write_table(
         joined.select("c_name", "o_orderkey"),
         "millrace_customer_orders",

@@ -26,6 +26,25 @@ def lookup(
     return fact.join(side, F.col(fact_key) == F.col("_dim_key"), "left").drop("_dim_key")
 
 
+def outer_to_many(
+    one: DataFrame, many: DataFrame, one_key: str, many_key: str, keep_many: bool = False
+) -> DataFrame:
+    """``one LEFT JOIN many`` (or FULL JOIN) where a key may be hot in ``many``.
+
+    AQE can split a hot key only on the preserved side of an outer join.  So
+    the rows of ``many`` look up their partner, which can be split, and the rows
+    of ``one`` that nobody referred to are added from an anti join against the
+    distinct keys.
+    """
+    key = many.select(F.col(many_key).alias("_key")).distinct()
+    matched = many.join(
+        one, F.col(many_key) == F.col(one_key), "left" if keep_many else "inner"
+    )
+    alone = one.join(key, F.col(one_key) == F.col("_key"), "left_anti")
+    columns = [*one.columns, *many.columns]
+    return matched.select(*columns).unionByName(alone, allowMissingColumns=True)
+
+
 def count_by_dimension(
     fact: DataFrame,
     dim: DataFrame,

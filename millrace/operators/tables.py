@@ -45,9 +45,10 @@ def upsert_rows(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     be null.  Keys must be unique in ``changes``.
     """
     side = changes.select(*[F.col(c).alias(f"_new_{c}") for c in changes.columns])
-    joined = table.join(side, F.col(key) == F.col(f"_new_{key}"), "full")
+    # Two joins instead of a full one: AQE can split a hot key of the table.
+    old = table.join(side, F.col(key) == F.col(f"_new_{key}"), "left")
     changed = F.col(f"_new_{key}").isNotNull()
-    return joined.select(
+    updated = old.select(
         *[
             F.when(changed, F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c)
             if c in changes.columns
@@ -55,6 +56,9 @@ def upsert_rows(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
             for c in table.columns
         ]
     )
+    known = table.select(F.col(key).alias("_known")).distinct()
+    new = changes.join(known, F.col(key) == F.col("_known"), "left_anti")
+    return insert_rows(updated, new)
 
 
 def duplicate_keys(table: DataFrame, keys: Sequence[str]) -> DataFrame:

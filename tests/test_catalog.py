@@ -17,7 +17,11 @@ def con(folder):
 def test_matches_sql(spark, folder, con, key):
     q = REGISTRY[key]
     assert q.sql, "a query without SQL needs a test of its own"
-    assert oracle.differences(q.run(spark, folder), con, q.sql) is None
+    df = q.run(spark, folder)
+    assert oracle.differences(df, con, q.sql) is None
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    for node in ("EvalPython", "InPandas", "Cartesian", "BroadcastNestedLoop"):
+        assert node not in plan
 
 
 def test_survey_is_covered():
