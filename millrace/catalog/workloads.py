@@ -78,10 +78,8 @@ def weather_rows(t: Tables) -> DataFrame:
     return read_csv(t.spark, path, all_text(text.columns))
 
 
-def trip_cells(t: Tables) -> DataFrame:
-    """The cube all trip results are taken from."""
-    weather = trips.daily_weather(weather_rows(t))
-    return trips.cube(trips.detail(trip_rows(t), zone_rows(t), weather))
+def trip_detail(t: Tables) -> DataFrame:
+    return trips.detail(trip_rows(t), zone_rows(t), trips.daily_weather(weather_rows(t)))
 
 
 _RAIN = "(TRY_CAST(CASE WHEN p1 = 'T' THEN '0' ELSE p1 END AS DOUBLE) + TRY_CAST(p2 AS DOUBLE) + TRY_CAST(CASE WHEN p3 = 'T' THEN '0' ELSE p3 END AS DOUBLE))"
@@ -140,7 +138,7 @@ def trip_metrics(t: Tables):
     f"{TRIPS} SELECT hour, count(*) AS count FROM detail GROUP BY 1 ORDER BY count DESC, hour",
 )
 def trip_peak_hours(t: Tables):
-    return trips.peak_hours(trip_cells(t))
+    return trips.peak_hours(trips.cells(trip_detail(t), ["peak_hours"]))
 
 
 @query(
@@ -150,7 +148,7 @@ def trip_peak_hours(t: Tables):
         FROM known GROUP BY 1, 2""",
 )
 def weather_analysis(t: Tables):
-    return trips.weather_analysis(trip_cells(t))
+    return trips.weather_analysis(trips.cells(trip_detail(t), ["weather_analysis"]))
 
 
 @query(
@@ -161,7 +159,7 @@ def weather_analysis(t: Tables):
         FROM known GROUP BY 1""",
 )
 def distance_analysis(t: Tables):
-    return trips.distance_analysis(trip_cells(t))
+    return trips.distance_analysis(trips.cells(trip_detail(t), ["distance_analysis"]))
 
 
 @query(
@@ -172,7 +170,39 @@ def distance_analysis(t: Tables):
         FROM known GROUP BY 1, 2""",
 )
 def location_analysis(t: Tables):
-    return trips.location_analysis(trip_cells(t))
+    return trips.location_analysis(trips.cells(trip_detail(t), ["location_analysis"]))
+
+
+@query(
+    "A09 A10 A11 A12 X03",
+    f"""{TRIPS}
+        SELECT 'peak_hours' AS report, CAST(hour AS VARCHAR) AS first_key, NULL AS second_key, count(*) AS trips,
+               count(CASE WHEN weather_category <> 'Unknown' THEN service END) AS users FROM detail GROUP BY hour
+        UNION ALL
+        SELECT 'weather_analysis', temp_category, weather_category, count(*), count(service) FROM known GROUP BY ALL
+        UNION ALL
+        SELECT 'distance_analysis', distance_category, NULL, trips, users FROM (
+          SELECT distance_category, count(*) AS trips, count(CASE WHEN weather_category <> 'Unknown' THEN service END) AS users
+          FROM detail GROUP BY 1)
+        UNION ALL
+        SELECT 'location_analysis', pul, dol, trips, users FROM (
+          SELECT pul, dol, count(*) AS trips, count(CASE WHEN weather_category <> 'Unknown' THEN service END) AS users
+          FROM detail GROUP BY 1, 2)""",
+)
+def trip_reports(t: Tables):
+    """All grouped results from one aggregate, stacked."""
+    table = trips.cells(trip_detail(t))
+    bands = (F.col("report") != "weather_analysis") | (F.col("known") > 0)
+    first = F.coalesce(
+        F.col("hour").cast("string"), "temp_category", "distance_category", "PULocation"
+    )
+    return table.filter(bands).select(
+        "report",
+        first.alias("first_key"),
+        F.coalesce("weather_category", "DOLocation").alias("second_key"),
+        "trips",
+        "users",
+    )
 
 
 _JANUARY = """month_fares AS (SELECT CAST(request AS DATE) AS date, trip_miles, fare FROM raw

@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from millrace.operators.windows import running_total
 
-# The sketch misses a rank by at most 1 / _ACCURACY of the rows; the margin is
-# several times that.
-_ACCURACY = 10_000
-_MARGIN = 0.0005
+# Values sampled per column, and the margin around a quantile: five deviations
+# of the rank of a quantile in a sample of this size.
+_SAMPLE = 200_000
+_MARGIN = 0.006
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -77,27 +77,42 @@ def _ranks(count: int, p: float) -> tuple[int, int, float]:
     return math.floor(exact), math.ceil(exact), exact - math.floor(exact)
 
 
-def _slices(df: DataFrame, columns, probs, counts, sketches, small: int) -> list[_Slice]:
-    """Slices that provably contain the ranks, as narrow as the sketch allows."""
-    whole = [_Slice(c, 0, list(probs), inside=counts[c]) for c in columns if counts[c] <= small]
-    narrow = [
-        _Slice(c, i, [p], sketches[c][2 * i], sketches[c][2 * i + 1])
-        for c in columns
-        if counts[c] > small
-        for i, p in enumerate(probs)
-    ]
-    if narrow:
-        sizes = df.agg(
-            *[F.count_if(F.col(s.column) < s.low) for s in narrow],
-            *[F.count_if(s.holds(F.col(s.column))) for s in narrow],
-        ).first()
-        for i, s in enumerate(narrow):
-            s.below, s.inside = sizes[i], sizes[len(narrow) + i]
-            first, last, _ = _ranks(counts[s.column], s.probs[0])
-            if not s.below <= first <= last < s.below + s.inside:
-                s.low = s.high = None
-                s.below, s.inside = 0, counts[s.column]
-    return whole + narrow
+def _guess(df: DataFrame, column: str, count: int, probs: Sequence[float]) -> list[_Slice]:
+    """A range of values around each quantile, taken from a sample.
+
+    The sample has a bounded size, and so has the buffer its quantiles are
+    taken from; the ranges are checked against the whole column afterwards.
+    """
+    around = [q for p in probs for q in (max(0.0, p - _MARGIN), min(1.0, p + _MARGIN))]
+    some = df.select(column).filter(F.col(column).isNotNull())
+    some = some.sample(False, min(1.0, _SAMPLE / count), seed=1)
+    ends = some.agg(F.percentile(column, around)).first()[0] or [None] * len(around)
+    return [_Slice(column, i, [p], ends[2 * i], ends[2 * i + 1]) for i, p in enumerate(probs)]
+
+
+def _slices(df: DataFrame, counts: dict[str, int], probs, small: int) -> list[_Slice]:
+    """Slices that provably contain the ranks; short columns are one slice."""
+    whole = [_Slice(c, 0, list(probs), inside=n) for c, n in counts.items() if n <= small]
+    narrow = [s for c, n in counts.items() if n > small for s in _guess(df, c, n, probs)]
+    return whole + _checked(df, counts, narrow)
+
+
+def _checked(df: DataFrame, counts: dict[str, int], narrow: list[_Slice]) -> list[_Slice]:
+    """Count what lies below and inside; a slice that misses its ranks is widened
+    to the whole column."""
+    if not narrow:
+        return []
+    sizes = df.agg(
+        *[F.count_if(F.col(s.column) < F.lit(s.low)) for s in narrow],
+        *[F.count_if(s.holds(F.col(s.column))) for s in narrow],
+    ).first()
+    for i, s in enumerate(narrow):
+        s.below, s.inside = sizes[i], sizes[len(narrow) + i]
+        first, last, _ = _ranks(counts[s.column], s.probs[0])
+        if not s.below <= first <= last < s.below + s.inside:
+            s.low = s.high = None
+            s.below, s.inside = 0, counts[s.column]
+    return narrow
 
 
 def describe_numeric(
@@ -108,16 +123,15 @@ def describe_numeric(
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column.
 
-    A first pass takes the plain figures and a quantile sketch, whose error
-    bound gives a narrow range of values around each quartile; a second pass
-    counts what lies below and inside.  Only values inside the ranges are then
+    A first pass takes the plain figures.  A sample of bounded size then gives
+    a narrow range of values around each quartile, and a pass over all rows
+    counts what lies below and inside.  Only values inside the ranges are
     counted per distinct value and accumulated, so a large column is not
-    shuffled.  Columns of up to ``small`` values skip the ranges, a range that
+    shuffled; the sample decides where to look, not what the result is.  Columns of up to ``small`` values skip the ranges, a range that
     misses its rank is widened to the whole column, and anything longer than
     ``small`` is accumulated over many tasks.  Quartiles interpolate between
     the neighbouring ranks.
     """
-    around = [q for p in probs for q in (max(0.0, p - _MARGIN), min(1.0, p + _MARGIN))]
     measures = []
     for c in columns:
         x = F.col(c).cast("double")
@@ -125,14 +139,12 @@ def describe_numeric(
             F.struct(
                 F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
                 F.min(x).alias("min"), F.max(x).alias("max"),
-                F.percentile_approx(x, around, _ACCURACY).alias("sketch"),
             )
         )
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     plain = dict(zip(columns, df.agg(*measures).first()))
     counts = {c: plain[c]["count"] for c in columns}
-    sketches = {c: plain[c]["sketch"] for c in columns}
-    slices = _slices(numbers, columns, probs, counts, sketches, small)
+    slices = _slices(numbers, counts, probs, small)
 
     cells = [
         F.struct(

@@ -1,14 +1,13 @@
 """Ride-hail trips by hour, weather, distance and route.
 
-The five result tables come from one pass over the trips: the cleaned rows are
-first reduced to a cube whose cells are combinations of a few bounded
-categories, with counts and exact sums.  Every result is a second, tiny
-aggregate over that cube, so the large input is joined and shuffled once.
+The grouped result tables come from one pass over the trips: one aggregate with
+a grouping set per result.  A task sends at most one row per hour, weather band,
+distance band and route, so the large input is joined once and hardly shuffled.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -47,9 +46,13 @@ DISTANCE_LABELS = [
     "10-15 miles", "15-20 miles", "20-25 miles", "25-30 miles", "30+ miles",
 ]
 
-CUBE_KEYS = [
-    "hour", "temp_category", "weather_category", "distance_category", "PULocation", "DOLocation",
-]
+# Result name and its keys.
+GROUPINGS = {
+    "peak_hours": ["hour"],
+    "weather_analysis": ["temp_category", "weather_category"],
+    "distance_analysis": ["distance_category"],
+    "location_analysis": ["PULocation", "DOLocation"],
+}
 MEASURES = ["base_passenger_fare", "trip_time", "scene_time", "tips"]
 
 
@@ -141,41 +144,59 @@ def global_means(trips: DataFrame) -> DataFrame:
     )
 
 
-def cube(rows: DataFrame) -> DataFrame:
-    """Counts and exact sums per combination of the categories."""
-    sums = []
+def cells(rows: DataFrame, names: Sequence[str] = tuple(GROUPINGS)) -> DataFrame:
+    """Counts and means of the named results, stacked, from one aggregate.
+
+    ``report`` names the result a row belongs to.  ``trips`` counts all rows;
+    the other figures leave out days without known weather, and groups that
+    consist of such days only have ``known`` = 0.
+    """
+    known = F.col("weather_category") != "Unknown"
+    keys = [k for name in names for k in GROUPINGS[name]]
+    figures = [
+        F.count(F.lit(1)).alias("trips"),
+        F.count_if(known).alias("known"),
+        F.count(F.when(known, F.col("service_type"))).alias("users"),
+    ]
     for m in MEASURES:
-        sums.append(exact_total(m).alias(f"{m}_sum"))
-        sums.append(F.count(m).alias(f"{m}_n"))
-    return rows.groupBy(*CUBE_KEYS).agg(
-        F.count(F.lit(1)).alias("trips"), F.count("service_type").alias("users"), *sums
-    )
+        value = F.when(known, F.col(m))
+        figures += [exact_total(value).alias(f"{m}_sum"), F.count(value).alias(f"{m}_n")]
+    owner = map_grouping(names)
+    grouped = rows.groupingSets([[F.col(k) for k in GROUPINGS[n]] for n in names], *keys)
+    return grouped.agg(owner.alias("report"), *figures)
+
+
+def map_grouping(names: Sequence[str]) -> Column:
+    """Name of the grouping set a row of the aggregate belongs to."""
+    out = F.lit(None).cast("string")
+    for name in names:
+        out = F.when(F.grouping(GROUPINGS[name][0]) == 0, F.lit(name)).otherwise(out)
+    return out
 
 
 def _mean(measure: str, digits: int) -> Column:
-    total = F.sum(f"{measure}_sum").cast("double")
-    return round_half_up(F.try_divide(total, F.sum(f"{measure}_n")), digits)
+    total = F.col(f"{measure}_sum").cast("double")
+    return round_half_up(F.try_divide(total, F.col(f"{measure}_n")), digits)
 
 
-def _known_weather(cells: DataFrame) -> DataFrame:
-    return cells.filter(F.col("weather_category") != "Unknown")
+def _known(table: DataFrame, name: str) -> DataFrame:
+    """Rows of one result, without groups and days of unknown weather."""
+    return table.filter((F.col("report") == name) & (F.col("known") > 0))
 
 
-def peak_hours(cells: DataFrame) -> DataFrame:
+def peak_hours(table: DataFrame) -> DataFrame:
     """Trips per hour of the request, days without weather included."""
-    return (
-        cells.groupBy("hour")
-        .agg(F.sum("trips").alias("count"))
-        .orderBy(F.desc("count"), "hour")
-    )
+    hours = table.filter(F.col("report") == "peak_hours")
+    return hours.select("hour", F.col("trips").alias("count")).orderBy(F.desc("count"), "hour")
 
 
-def weather_analysis(cells: DataFrame) -> DataFrame:
+def weather_analysis(table: DataFrame) -> DataFrame:
     return (
-        _known_weather(cells)
-        .groupBy("temp_category", "weather_category")
-        .agg(
-            F.sum("users").alias("num_users"),
+        _known(table, "weather_analysis")
+        .select(
+            "temp_category",
+            "weather_category",
+            F.col("users").alias("num_users"),
             _mean("base_passenger_fare", 2).alias("avg_fare"),
             _mean("trip_time", 2).alias("avg_trip_time"),
         )
@@ -183,13 +204,13 @@ def weather_analysis(cells: DataFrame) -> DataFrame:
     )
 
 
-def distance_analysis(cells: DataFrame) -> DataFrame:
+def distance_analysis(table: DataFrame) -> DataFrame:
     """Means in whole units per distance band, shortest first, Unknown last."""
     return (
-        _known_weather(cells)
-        .groupBy("distance_category")
-        .agg(
-            F.sum("users").alias("num_users"),
+        _known(table, "distance_analysis")
+        .select(
+            "distance_category",
+            F.col("users").alias("num_users"),
             _mean("trip_time", 0).alias("avg_trip_time_minutes"),
             _mean("scene_time", 0).alias("avg_scene_time_minutes"),
             _mean("base_passenger_fare", 0).alias("avg_base_passenger_fare"),
@@ -199,12 +220,13 @@ def distance_analysis(cells: DataFrame) -> DataFrame:
     )
 
 
-def location_analysis(cells: DataFrame) -> DataFrame:
+def location_analysis(table: DataFrame) -> DataFrame:
     return (
-        _known_weather(cells)
-        .groupBy("PULocation", "DOLocation")
-        .agg(
-            F.sum("users").alias("num_users"),
+        _known(table, "location_analysis")
+        .select(
+            "PULocation",
+            "DOLocation",
+            F.col("users").alias("num_users"),
             _mean("base_passenger_fare", 2).alias("avg_fare"),
             _mean("trip_time", 2).alias("avg_trip_time"),
             _mean("scene_time", 2).alias("avg_scene_time"),
@@ -216,14 +238,14 @@ def location_analysis(cells: DataFrame) -> DataFrame:
 def reports_from(rows: DataFrame) -> dict[str, DataFrame]:
     """The grouped results of :func:`detail` rows.
 
-    The cube is written once and read by all four of them.
+    The aggregate is written once, a few hundred rows, and read by all four.
     """
-    cells = materialize(cube(rows), "trip-cube")
+    table = materialize(cells(rows), "trip-cells")
     return {
-        "peak_hours": peak_hours(cells),
-        "weather_analysis": weather_analysis(cells),
-        "distance_analysis": distance_analysis(cells),
-        "location_analysis": location_analysis(cells),
+        "peak_hours": peak_hours(table),
+        "weather_analysis": weather_analysis(table),
+        "distance_analysis": distance_analysis(table),
+        "location_analysis": location_analysis(table),
     }
 
 

@@ -43,13 +43,12 @@ def test_describe_numeric_of_one_value(spark):
 
 
 def test_slices_are_narrow_and_checked(spark):
-    df = spark.range(200_000).selectExpr("cast(pmod(hash(id), 1000003) as double) AS x")
-    counts, probs = {"x": 200_000}, [0.25, 0.5]
-    sketch = df.agg(F.percentile_approx("x", [0.2495, 0.2505, 0.4995, 0.5005], 10_000)).first()[0]
-    narrow = stats._slices(df, ["x"], probs, counts, {"x": sketch}, small=1000)
-    assert all(s.low is not None and s.inside < 400 for s in narrow)
-    wrong = stats._slices(df, ["x"], probs, counts, {"x": [0.0, 1.0, 0.0, 1.0]}, small=1000)
-    assert all(s.low is None and s.inside == 200_000 for s in wrong)
+    df = spark.range(300_000).selectExpr("cast(pmod(hash(id), 1000003) as double) AS x")
+    narrow = stats._slices(df, {"x": 300_000}, [0.25, 0.5], small=1000)
+    assert all(s.low is not None and s.inside < 300_000 * 0.02 for s in narrow)
+    wrong = [stats._Slice("x", 0, [0.25], 0.0, 1.0), stats._Slice("x", 1, [0.5], None, None)]
+    widened = stats._checked(df, {"x": 300_000}, wrong)
+    assert all(s.low is None and s.inside == 300_000 for s in widened)
     got = stats.describe_numeric(df, ["x"], small=1000).first()
     want = np.quantile(df.toPandas()["x"], [0.25, 0.5, 0.75])
     assert [got["p25"], got["p50"], got["p75"]] == list(want)

@@ -119,17 +119,18 @@ def test_reports(raw, zones, weather_text):
     assert values(out["location_analysis"]) == [("Queens", "Bronx", 2, 16.67, 20.0, 5.0)]
 
 
-def test_cube_gives_what_the_detail_gives(raw, zones, weather_text):
+def test_cells_give_what_the_detail_gives(raw, zones, weather_text):
     detail = trips.detail(raw, zones, trips.daily_weather(weather_text))
     direct = (
         detail.filter("weather_category <> 'Unknown'")
         .groupBy("PULocation", "DOLocation")
         .agg(F.count("service_type"), F.round(F.avg("base_passenger_fare"), 2))
     )
-    cells = trips.cube(detail)
-    assert values(direct) == values(
-        trips.location_analysis(cells), "PULocation", "DOLocation", "num_users", "avg_fare"
-    )
+    for cells in (trips.cells(detail), trips.cells(detail, ["location_analysis"])):
+        routes = trips.location_analysis(cells)
+        assert values(direct) == values(
+            routes, "PULocation", "DOLocation", "num_users", "avg_fare"
+        )
 
 
 def test_fares_by_day_and_temperature(raw, weather_text):
