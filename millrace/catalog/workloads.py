@@ -5,12 +5,14 @@ zones, and shipping statistics per day the weather file, written as text the
 way such files are.
 """
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
 from millrace.catalog.sqlparts import half_up, mean, mean_round, total
-from millrace.functions.numbers import map_codes
+from millrace.functions.numbers import map_codes, round_half_up
 from millrace.operators.joins import lookup
 from millrace.plans import economies, fares, trips
 from millrace.sources.readers import all_text, read_csv
@@ -19,15 +21,18 @@ from millrace.storage import fresh_path
 
 
 def trip_rows(t: Tables) -> DataFrame:
-    # The customer goes to the orders first, so the lines are shuffled once.
-    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    # Customer and request time go to the orders first, so the lines are
+    # shuffled once and the time is added up once per order.
+    asked = F.col("o_orderdate") + F.lit(timedelta(hours=1)) * (F.col("o_orderkey") % 24)
+    orders = t.orders.select(
+        "o_orderkey", "o_custkey", "o_orderstatus", asked.alias("request_datetime")
+    )
     orders = lookup(orders, t.customer, "o_custkey", "c_custkey", {"c_nationkey": "DOLocationID"})
     lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     lines = lookup(lines, t.supplier, "l_suppkey", "s_suppkey", {"s_nationkey": "PULocationID"})
     license = {"F": "HV0003", "O": "HV0005", "P": "HV0004"}
-    asked = F.col("o_orderdate") + F.make_dt_interval(hours=(F.col("l_orderkey") % 24).cast("int"))
-    waited = F.make_dt_interval(secs=(F.col("l_linenumber") - 1) * 100)
-    return lines.withColumn("request_datetime", asked).select(
+    waited = F.lit(timedelta(seconds=100)) * (F.col("l_linenumber") - 1)
+    return lines.select(
         "PULocationID",
         "DOLocationID",
         "request_datetime",
@@ -39,7 +44,7 @@ def trip_rows(t: Tables) -> DataFrame:
         F.when(F.col("l_linenumber") != 3, F.col("l_quantity")).alias("trip_miles"),
         F.col("l_extendedprice").alias("base_passenger_fare"),
         (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("driver_pay"),
-        F.round(F.col("l_tax") * 100).alias("tips"),
+        round_half_up(F.col("l_tax") * 100).alias("tips"),
         F.lit("N").alias("shared_request_flag"),
     )
 
