@@ -161,12 +161,12 @@ def cells(rows: DataFrame, names: Sequence[str] = tuple(GROUPINGS)) -> DataFrame
     for m in MEASURES:
         value = F.when(known, F.col(m))
         figures += [exact_total(value).alias(f"{m}_sum"), F.count(value).alias(f"{m}_n")]
-    owner = map_grouping(names)
+    owner = _owner(names)
     grouped = rows.groupingSets([[F.col(k) for k in GROUPINGS[n]] for n in names], *keys)
     return grouped.agg(owner.alias("report"), *figures)
 
 
-def map_grouping(names: Sequence[str]) -> Column:
+def _owner(names: Sequence[str]) -> Column:
     """Name of the grouping set a row of the aggregate belongs to."""
     out = F.lit(None).cast("string")
     for name in names:
