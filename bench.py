@@ -20,7 +20,7 @@ from millrace.session import local_session
 HEADLINE = [
     # trips: scan, joins in two roles, day dimension, categories, aggregates
     "trip_metrics", "trip_peak_hours", "weather_analysis", "distance_analysis",
-    "location_analysis",
+    "location_analysis", "trip_reports",
     # fares
     "fare_day_types", "fare_temperatures", "fare_revenue", "fare_daily",
     # relational
