@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, sharding
+from millrace.llm import mixing, privacy, secrets, sharding
 from millrace.llm.registry import QUERIES, SQL, query, table
 
 __all__ = ["QUERIES", "SQL"]
@@ -116,3 +116,77 @@ def op8(spark, folder):
         "target",
         (F.col("size") * F.col("copies")).cast("bigint").alias("taken"),
     )
+
+
+def _sql_spans(text: str, pattern: str, kind: str, rank: int, part: int = 0, ok: str = "true"):
+    """SQL list of ``{start, rank, stop, kind, val}`` of the matches that pass ``ok`` on ``v``."""
+    pattern = pattern.replace("'", "''")
+    found = f"regexp_extract_all({text}, '{pattern}')"
+    parts = f"regexp_extract_all({text}, '{pattern}', {part})"
+    gaps = f"string_split_regex({text}, '{pattern}')"
+    return f"""list_filter(list_transform(range(1, len({found}) + 1), lambda i: {{
+        'start': list_sum(list_transform({gaps}[1:i], lambda g: length(g)))
+          + coalesce(list_sum(list_transform({found}[1:i-1], lambda m: length(m))), 0),
+        'rank': {rank},
+        'stop': list_sum(list_transform({gaps}[1:i], lambda g: length(g)))
+          + list_sum(list_transform({found}[1:i], lambda m: length(m))),
+        'kind': '{kind}', 'val': {parts}[i]}}), lambda s: {ok})"""
+
+
+def _sql_joined(spans: str) -> str:
+    return f"""array_to_string(list_transform({spans}, lambda s:
+        s.kind || ':' || CAST(s.start AS BIGINT) || ':' || CAST(s.stop AS BIGINT)), ',')"""
+
+
+def _sql_count(kind: str) -> str:
+    return (
+        f"CAST(len(list_filter(base, lambda s: s.kind = '{kind}')) AS BIGINT) AS n_{kind}"
+    )
+
+
+# RE2 has no lookahead: the digit is asked for afterwards.
+_LOOSE_RE2 = "[A-Za-z0-9+/_-]{20,}"
+OP2_SQL = rf"""
+WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
+b AS (
+  SELECT doc_id, source, t, list_sort(
+    {_sql_spans("t", secrets.ASSIGN, "assign", 0, 1, "length(s.val) >= 6")}
+    || {_sql_spans("t", secrets.ACCESS, "access", 1)}
+    || {_sql_spans("t", secrets.HEX, "hex", 2)}) AS base,
+    {_sql_spans("t", _LOOSE_RE2, "loose", 3)} AS loose
+  FROM d),
+c AS (
+  SELECT *, list_distinct(list_filter(
+    list_transform(base || loose, lambda s:
+      {{'start': s.stop - length(s.val), 'stop': s.stop, 'val': s.val}}),
+    lambda s: regexp_matches(s.val, '[0-9]') AND regexp_matches(s.val, '[A-Za-z]')
+      AND len(list_distinct(string_split(s.val, ''))) >= 8)) AS places
+  FROM b),
+v AS (
+  SELECT val, count(DISTINCT coalesce(source, '')) AS owners
+  FROM (SELECT source, unnest(places).val AS val FROM c) GROUP BY val),
+m AS (
+  SELECT doc_id, list({{'start': p.start, 'rank': 3, 'stop': p.stop, 'kind': 'live', 'val': ''}})
+      FILTER (owners <= 1) AS live,
+    count(*) FILTER (owners <= 1) AS n_live, count(*) FILTER (owners >= 3) AS n_example
+  FROM (SELECT doc_id, unnest(places) AS p FROM c) x JOIN v ON v.val = x.p.val
+  GROUP BY doc_id)
+SELECT c.doc_id, {", ".join(_sql_count(k) for k in ("assign", "access", "hex"))},
+  sha256({_sql_joined("base")}) AS base_sha256,
+  {_sql_joined("list_sort(base || coalesce(live, []))")} AS spans,
+  CAST(coalesce(n_live, 0) AS BIGINT) AS n_live,
+  CAST(coalesce(n_example, 0) AS BIGINT) AS n_example
+FROM c LEFT JOIN m ON c.doc_id = m.doc_id
+"""
+
+
+@query("op2_secret_ownership", OP2_SQL)
+def op2(spark, folder):
+    """Secrets of each document; the owner of a document is its source."""
+    return secrets.digest(secrets.scan_secrets(table(spark, folder, "documents")))
+
+
+@query("op9_disclosure")
+def op9(spark, folder):
+    """Personal data of each document and the terms that reveal it."""
+    return privacy.digest(privacy.find_disclosures(table(spark, folder, "documents")))
