@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import mixing, privacy, secrets, sharding
+from millrace.llm import classifier, credentials, mixing, privacy, ratios, sharding
 from millrace.llm.registry import QUERIES, SQL, query, table
+from millrace.storage import materialize
 
 __all__ = ["QUERIES", "SQL"]
 
@@ -150,9 +151,9 @@ OP2_SQL = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 b AS (
   SELECT doc_id, source, t, list_sort(
-    {_sql_spans("t", secrets.ASSIGN, "assign", 0, 1, "length(s.val) >= 6")}
-    || {_sql_spans("t", secrets.ACCESS, "access", 1)}
-    || {_sql_spans("t", secrets.HEX, "hex", 2)}) AS base,
+    {_sql_spans("t", credentials.ASSIGN, "assign", 0, 1, "length(s.val) >= 6")}
+    || {_sql_spans("t", credentials.ACCESS, "access", 1)}
+    || {_sql_spans("t", credentials.HEX, "hex", 2)}) AS base,
     {_sql_spans("t", _LOOSE_RE2, "loose", 3)} AS loose
   FROM d),
 c AS (
@@ -183,10 +184,28 @@ FROM c LEFT JOIN m ON c.doc_id = m.doc_id
 @query("op2_secret_ownership", OP2_SQL)
 def op2(spark, folder):
     """Secrets of each document; the owner of a document is its source."""
-    return secrets.digest(secrets.scan_secrets(table(spark, folder, "documents")))
+    return credentials.digest(credentials.scan_secrets(table(spark, folder, "documents")))
 
 
 @query("op9_disclosure")
 def op9(spark, folder):
     """Personal data of each document and the terms that reveal it."""
     return privacy.digest(privacy.find_disclosures(table(spark, folder, "documents")))
+
+
+@query("op6_quality_fourier")
+def op6(spark, folder):
+    """Quality score of each document, learned from the labels outside the held-out fold."""
+    described = materialize(
+        classifier.describe(table(spark, folder, "documents")), "quality-statistics"
+    )
+    model = classifier.fit(described, table(spark, folder, "labels"))
+    return classifier.score(described, model)
+
+
+@query("op7_target_ratio")
+def op7(spark, folder):
+    """Base rules and target likelihood ratio; documents labelled good are the target."""
+    docs = table(spark, folder, "documents")
+    trusted = table(spark, folder, "labels").filter("quality = 1")
+    return ratios.judge(docs, ratios.log_ratios(docs, trusted))
