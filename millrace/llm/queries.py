@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import classifier, credentials, mixing, privacy, ratios, sharding
+from millrace.llm import classifier, credentials, mixing, ngram_join, privacy, ratios, sharding
 from millrace.llm.registry import QUERIES, SQL, query, table
 from millrace.storage import materialize
 
@@ -209,3 +209,9 @@ def op7(spark, folder):
     docs = table(spark, folder, "documents")
     trusted = table(spark, folder, "labels").filter("quality = 1")
     return ratios.judge(docs, ratios.log_ratios(docs, trusted))
+
+
+@query("op5_ngram_trie")
+def op5(spark, folder):
+    """Components of documents that share four fifths of their word shingles."""
+    return ngram_join.join_documents(table(spark, folder, "documents"))
