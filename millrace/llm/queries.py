@@ -4,7 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from millrace.llm import classifier, credentials, mixing, ngram_join, privacy, ratios, sharding
+from millrace.llm import (
+    classifier,
+    credentials,
+    mixing,
+    ngram_join,
+    phrases,
+    privacy,
+    ratios,
+    sharding,
+)
 from millrace.llm.registry import QUERIES, SQL, query, table
 from millrace.storage import materialize
 
@@ -215,3 +224,9 @@ def op7(spark, folder):
 def op5(spark, folder):
     """Components of documents that share four fifths of their word shingles."""
     return ngram_join.join_documents(table(spark, folder, "documents"))
+
+
+@query("op4_phrase_fingerprints")
+def op4(spark, folder):
+    """Phrase fingerprints of each document and of the text edited with the next one."""
+    return phrases.fingerprint_documents(table(spark, folder, "documents"))
