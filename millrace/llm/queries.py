@@ -10,7 +10,9 @@ from millrace.llm import (
     mixing,
     ngram_join,
     phrases,
+    pieces,
     privacy,
+    quotes,
     ratios,
     sharding,
 )
@@ -19,6 +21,9 @@ from millrace.storage import materialize
 
 __all__ = ["QUERIES", "SQL"]
 
+# A public vocabulary; another one is a parameter of the operator.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 
 def _draw(seed: str, key: str) -> str:
     """SQL for ``texts.fraction``."""
@@ -230,3 +235,40 @@ def op5(spark, folder):
 def op4(spark, folder):
     """Phrase fingerprints of each document and of the text edited with the next one."""
     return phrases.fingerprint_documents(table(spark, folder, "documents"))
+
+
+# The given conversations hold no quotation: every message answers the one before.
+# A text that does would be missing here and so show.
+OP3_SQL = r"""
+SELECT conv_id AS thread, turn, role, trim(coalesce(text, ''), ' ') AS text,
+  CAST(0 AS BIGINT) AS n_quotes, CAST(0 AS BIGINT) AS n_linked,
+  CASE WHEN lag(turn) OVER w IS NOT NULL THEN conv_id END AS parent_thread,
+  lag(turn) OVER w AS parent_turn, row_number() OVER w - 1 AS depth, row_number() OVER w AS place
+FROM conversations
+WHERE NOT regexp_matches(coalesce(text, ''), '(^|\n) ?>')
+WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+"""
+
+
+@query("op3_quotation_links", OP3_SQL)
+def op3(spark, folder):
+    """Messages without quotations, in reply order, with the message each answers."""
+    return quotes.link_quotes(table(spark, folder, "conversations"))
+
+
+@query("op10_suffix_pieces")
+def op10(spark, folder):
+    """Ids of each text, and whether decoding them gives the text back."""
+    vocabulary = pieces.Vocabulary.load(PIECE_MODEL)
+    body = F.coalesce("text", F.lit(""))
+    docs = table(spark, folder, "documents").select(
+        "doc_id", "text", F.md5(F.replace(body, F.lit(pieces.MARK), F.lit(" "))).alias("digest")
+    )
+    encoded = pieces.encode_documents(docs, vocabulary)
+    decoded = pieces.decode_documents(encoded, vocabulary)
+    return decoded.select(
+        "doc_id",
+        "ids",
+        F.size("ids").cast("bigint").alias("n_ids"),
+        (F.md5("decoded") == F.col("digest")).alias("round_trip"),
+    )
