@@ -69,7 +69,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; the last one is left to the caller to write."""
     sf_dir = sf_dir.rstrip("/")
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES, 1):
+    for k, (_, stage) in enumerate(STAGES, 1):
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES):
             docs = materialize(docs, f"stage-{k}")
