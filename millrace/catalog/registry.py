@@ -8,7 +8,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.session import configure
-from millrace.sources.readers import spread
 
 
 class Tables:
@@ -26,10 +25,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
-    def spread(self, name: str) -> DataFrame:
-        """A table of long texts, on all cores."""
-        return spread(getattr(self, name))
-
     def view(self, *names: str) -> None:
         for name in names:
             getattr(self, name).createOrReplaceTempView(name)

@@ -7,16 +7,17 @@ def half_up(x: str, digits: int = 0) -> str:
     return f"(sign({x}) * floor(abs({x}) * 1e{digits} + 0.5) / 1e{digits})"
 
 
-def total(x: str, scale: int = 2) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(18,{scale}))) AS DOUBLE)"
+def total(x: str) -> str:
+    """Order-free sum; the given amounts have at most six decimals."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(18,6))) AS DOUBLE)"
 
 
-def mean(x: str, scale: int = 2) -> str:
-    return f"({total(x, scale)} / count({x}))"
+def mean(x: str) -> str:
+    return f"({total(x)} / count({x}))"
 
 
-def mean_round(x: str, digits: int = 2, scale: int = 2) -> str:
-    return half_up(mean(x, scale), digits)
+def mean_round(x: str, digits: int = 2) -> str:
+    return half_up(mean(x), digits)
 
 
 WORD = r"\p{L}\p{N}_"

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
 from millrace.catalog.sqlparts import half_up
-from millrace.functions.numbers import round_half_up
+from millrace.functions.numbers import exact_sum, mean_round, round_half_up
 from millrace.operators import stats
 from millrace.operators.joins import outer_to_many
 
@@ -149,3 +149,20 @@ def kde_grid(t: Tables):
     return out.select(
         "point", round_half_up("x", 6).alias("x"), round_half_up("density", 9).alias("density")
     )
+
+
+@query(
+    "A04",
+    f"""
+    SELECT p_size, {half_up('avg(p_retailprice / 7)', 4)} AS mean_share,
+           {half_up('sum(p_retailprice / 7)', 3)} AS share
+    FROM part GROUP BY 1
+    """,
+)
+def mean_of_fractions(t: Tables):
+    """Means and sums of values with many decimals."""
+    share = F.col("p_retailprice") / 7
+    return t.part.groupBy("p_size").agg(
+        mean_round(share, 4).alias("mean_share"),
+        round_half_up(exact_sum(share), 3).alias("share"),
+    )

@@ -11,6 +11,12 @@ from pyspark.sql import functions as F
 
 MILES_TO_KM = 1.60934
 
+# Doubles below this hold every whole number.
+_WHOLE = float(2**53)
+# Sums keep so many decimals of values below so much.
+_DECIMALS = 6
+_MOST = 1e17
+
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -20,38 +26,64 @@ def round_half_up(c: Column | str, digits: int = 0) -> Column:
     """Round halves away from zero on the double itself.
 
     ``round`` goes through a decimal text form of the double, which other
-    engines do not; the floor form gives the same bits everywhere.
+    engines do not; the floor form gives the same bits everywhere.  A double
+    without digits to round, infinity and NaN are returned as they are.
     """
     c = _col(c).cast("double")
     factor = float(10**digits)
-    return F.signum(c) * F.floor(F.abs(c) * factor + 0.5).cast("double") / factor
+    rounded = F.signum(c) * F.floor(F.abs(c) * factor + 0.5).cast("double") / factor
+    return F.when(F.abs(c) * factor < _WHOLE, rounded).otherwise(c)
+
+
+def _parts(c: Column) -> tuple[Column, Column, Column]:
+    """Whole units, millionths, and what neither holds (huge, infinite, NaN)."""
+    plain = F.when(F.abs(c) < _MOST, c)
+    whole = F.floor(plain)
+    rest = F.floor((plain - whole) * float(10**_DECIMALS) + 0.5)
+    return whole, rest, F.when(plain.isNull(), c)
 
 
-def exact_total(c: Column | str, scale: int = 2) -> Column:
+def exact_total(c: Column | str) -> Column:
     """Decimal sum that does not depend on the order in which rows arrive.
 
-    Values count with ``scale`` decimals.  Whole units and the rest are summed
+    For amounts with up to six decimals.  Whole units and the rest are summed
     as two long integers, which stays exact far beyond a single long and is
     much cheaper than a decimal per row; the decimal is built once per group.
+    A sum that is no decimal (infinity, NaN, 1e17 and more) is
+    an error here; ``exact_sum`` returns it.
     """
-    c = _col(c).cast("double")
-    whole = F.floor(c)
-    rest = F.floor((c - whole) * float(10**scale) + 0.5)
-    step = F.lit(Decimal(1).scaleb(-scale))
-    return F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * step
+    whole, rest, other = _parts(_col(c).cast("double"))
+    step = F.lit(Decimal(1).scaleb(-_DECIMALS))
+    total = F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * step
+    # None of a group's values may be left out without a word.
+    return F.when(F.count(other) == 0, total).when(
+        F.raise_error(F.lit("a sum holds values that are no plain amounts")).isNull(), total
+    )
+
 
+def exact_sum(c: Column | str) -> Column:
+    """Double sum: order-free for amounts with up to six decimals.
 
-def exact_sum(c: Column | str, scale: int = 2) -> Column:
-    return exact_total(c, scale).cast("double")
+    Huge values, infinity and NaN are added as doubles, as ``sum`` does.
+    """
+    whole, rest, other = _parts(_col(c).cast("double"))
+    step = F.lit(Decimal(1).scaleb(-_DECIMALS))
+    total = F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * step
+    odd = F.sum(other)
+    return (
+        F.when(odd.isNull(), total.cast("double"))
+        .when(total.isNull(), odd)
+        .otherwise(total.cast("double") + odd)
+    )
 
 
-def exact_mean(c: Column | str, scale: int = 2) -> Column:
-    return exact_sum(c, scale) / F.count(_col(c))
+def exact_mean(c: Column | str) -> Column:
+    return exact_sum(c) / F.count(_col(c))
 
 
-def mean_round(c: Column | str, digits: int = 2, scale: int = 2) -> Column:
-    """Mean of a column with at most ``scale`` decimals, rounded half up."""
-    return round_half_up(exact_mean(c, scale), digits)
+def mean_round(c: Column | str, digits: int = 2) -> Column:
+    """Mean rounded half up; values are not rounded."""
+    return round_half_up(exact_mean(c), digits)
 
 
 def to_number(c: Column | str, marker: str | None = None, replacement: str = "0") -> Column:

@@ -99,7 +99,7 @@ def run_keywords(spark: SparkSession, args) -> None:
     """Term frequencies and TF-IDF keywords per class of JSON-lines texts."""
     key, cls = args.key, args.label
     docs = readers.read_json_lines(spark, args.texts, f"`{key}` string, `{cls}` string, text string")
-    docs = readers.spread(docs).dropna(subset=["text", cls])
+    docs = docs.dropna(subset=["text", cls])
     sinks.write_parquet(keywords.term_frequencies(docs, "text", [cls]), f"{args.out}/frequencies")
     top = keywords.keywords(docs, key, "text", [cls], args.vocabulary, args.top)
     sinks.write_parquet(top, f"{args.out}/keywords")

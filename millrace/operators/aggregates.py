@@ -55,8 +55,8 @@ def spend_summary(
     """
     sums = df.groupBy(*keys).agg(
         F.sum(F.col(units)).cast("double").alias("_units"),
-        exact_sum(F.col(units) * F.col(price), 4).alias("_spend"),
-        exact_sum(F.col(units) * F.col(unit_profit), 4).alias("_profit"),
+        exact_sum(F.col(units) * F.col(price)).alias("_spend"),
+        exact_sum(F.col(units) * F.col(unit_profit)).alias("_profit"),
     )
     u, s, p = (F.coalesce(F.col(c), F.lit(0.0)) for c in ("_units", "_spend", "_profit"))
     return sums.select(

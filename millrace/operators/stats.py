@@ -11,12 +11,10 @@ from itertools import combinations_with_replacement
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.windows import running_total
-
-# Values sampled per column, and the margin around a quantile: five deviations
-# of the rank of a quantile in a sample of this size.
-_SAMPLE = 200_000
-_MARGIN = 0.006
+# A quantile sketch misses a rank by one in so many; and the distinct values of
+# a range that one task may sort.
+_ACCURACY = 10_000
+_MOST_VALUES = 100_000
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str], digits: int = 6) -> DataFrame:
@@ -57,139 +55,145 @@ def long_form(df: DataFrame, columns: Sequence[str], as_type: str) -> DataFrame:
 
 @dataclass
 class _Slice:
-    """Part of a column's values in which the ranks of some quantiles lie."""
+    """Range of a column's values that holds both ranks of one quantile."""
 
     column: str
-    number: int
-    probs: list[float]
-    low: float | None = None
-    high: float | None = None
+    prob: float
+    count: int
+    low: float
+    high: float
     below: int = 0
     inside: int = 0
 
-    def holds(self, c: Column) -> Column:
-        return c.isNotNull() if self.low is None else c.between(self.low, self.high)
+    def ranks(self) -> tuple[int, int, float]:
+        """Neighbouring ranks, from 0, and the share of the upper one."""
+        exact = (self.count - 1) * self.prob
+        return math.floor(exact), math.ceil(exact), exact - math.floor(exact)
+
+    def holds(self) -> Column:
+        return F.col(self.column).between(self.low, self.high)
 
 
-def _ranks(count: int, p: float) -> tuple[int, int, float]:
-    """Neighbouring ranks of a quantile, from 0, and the share of the upper one."""
-    exact = (count - 1) * p
-    return math.floor(exact), math.ceil(exact), exact - math.floor(exact)
+def _around(shares: Sequence[float]) -> list[float]:
+    """Shares a little below and above each one, by twice the sketch's error."""
+    return [min(1.0, max(0.0, p + d)) for p in shares for d in (-2 / _ACCURACY, 2 / _ACCURACY)]
 
 
-def _guess(df: DataFrame, column: str, count: int, probs: Sequence[float]) -> list[_Slice]:
-    """A range of values around each quantile, taken from a sample.
+def _narrow(
+    numbers: DataFrame, slices: list[_Slice], extremes: dict[str, tuple[float, float]]
+) -> None:
+    """Count what lies below and inside; sketch again inside a slice of many values.
 
-    The sample has a bounded size, and so has the buffer its quantiles are
-    taken from; the ranges are checked against the whole column afterwards.
+    A sketch of bounded size misses a rank by 1 in ``_ACCURACY`` at most, so
+    each turn leaves a few thousandths of the values.
     """
-    around = [q for p in probs for q in (max(0.0, p - _MARGIN), min(1.0, p + _MARGIN))]
-    some = df.select(column).filter(F.col(column).isNotNull())
-    some = some.sample(False, min(1.0, _SAMPLE / count), seed=1)
-    ends = some.agg(F.percentile(column, around)).first()[0] or [None] * len(around)
-    return [_Slice(column, i, [p], ends[2 * i], ends[2 * i + 1]) for i, p in enumerate(probs)]
-
-
-def _slices(df: DataFrame, counts: dict[str, int], probs, small: int) -> list[_Slice]:
-    """Slices that provably contain the ranks; short columns are one slice."""
-    whole = [_Slice(c, 0, list(probs), inside=n) for c, n in counts.items() if n <= small]
-    narrow = [s for c, n in counts.items() if n > small for s in _guess(df, c, n, probs)]
-    return whole + _checked(df, counts, narrow)
-
-
-def _checked(df: DataFrame, counts: dict[str, int], narrow: list[_Slice]) -> list[_Slice]:
-    """Count what lies below and inside; a slice that misses its ranks is widened
-    to the whole column."""
-    if not narrow:
-        return []
-    sizes = df.agg(
-        *[F.count_if(F.col(s.column) < F.lit(s.low)) for s in narrow],
-        *[F.count_if(s.holds(F.col(s.column))) for s in narrow],
-    ).first()
-    for i, s in enumerate(narrow):
-        s.below, s.inside = sizes[i], sizes[len(narrow) + i]
-        first, last, _ = _ranks(counts[s.column], s.probs[0])
-        if not s.below <= first <= last < s.below + s.inside:
-            s.low = s.high = None
-            s.below, s.inside = 0, counts[s.column]
-    return narrow
+    while True:
+        sizes = numbers.agg(
+            *[
+                F.struct(
+                    F.count_if(F.col(s.column) < s.low),
+                    F.count_if(s.holds()),
+                    F.approx_count_distinct(F.when(s.holds(), F.col(s.column))),
+                )
+                for s in slices
+            ]
+        ).first()
+        wide, again = [], False
+        for s, (below, inside, distinct) in zip(slices, sizes):
+            s.below, s.inside = below, inside
+            first, last, _ = s.ranks()
+            if not below <= first <= last < below + inside:
+                # Two ranks of a short column are further apart than the range.
+                s.low, s.high = extremes[s.column]
+                again = True
+            elif distinct > _MOST_VALUES:
+                wide.append(s)
+        if not wide and not again:
+            return
+        if not wide:
+            continue
+        # Both ranks as shares of the inside.
+        shares = [[(r - s.below + 0.5) / s.inside for r in s.ranks()[:2]] for s in wide]
+        ends = numbers.agg(
+            *[
+                F.percentile_approx(
+                    F.when(s.holds(), F.col(s.column)), _around(x), _ACCURACY
+                )
+                for s, x in zip(wide, shares)
+            ]
+        ).first()
+        for s, found in zip(wide, ends):
+            s.low, s.high = found[0], found[-1]
 
 
 def describe_numeric(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float] = (0.25, 0.5, 0.75),
-    small: int = 100_000,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles per column.
 
-    A first pass takes the plain figures.  A sample of bounded size then gives
-    a narrow range of values around each quartile, and a pass over all rows
-    counts what lies below and inside.  Only values inside the ranges are
-    counted per distinct value and accumulated, so a large column is not
-    shuffled; the sample decides where to look, not what the result is.  Columns of up to ``small`` values skip the ranges, a range that
-    misses its rank is widened to the whole column, and anything longer than
-    ``small`` is accumulated over many tasks.  Quartiles interpolate between
-    the neighbouring ranks.
+    One scan takes the plain figures and a sketch of bounded size, whose error
+    bound gives a narrow range around each quartile; one counts what lies below
+    and inside the ranges; one counts the few distinct values inside and picks
+    the ranks.  A column of so many values that a range still holds very many
+    is sketched again inside it.  Values outside the ranges are never shuffled,
+    nothing is written, and every size takes the same way.  Quartiles
+    interpolate between the neighbouring ranks; a column of nulls has none.
     """
-    measures = []
-    for c in columns:
-        x = F.col(c).cast("double")
-        measures.append(
-            F.struct(
-                F.count(x).alias("count"), F.avg(x).alias("mean"), F.stddev_samp(x).alias("std"),
-                F.min(x).alias("min"), F.max(x).alias("max"),
-            )
-        )
     numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    plain = dict(zip(columns, df.agg(*measures).first()))
-    counts = {c: plain[c]["count"] for c in columns}
-    slices = _slices(numbers, counts, probs, small)
-
-    cells = [
+    measures = [
         F.struct(
-            F.lit(s.column).alias("column_name"),
-            F.lit(s.number).alias("slice"),
-            F.when(s.holds(F.col(s.column)), F.col(s.column)).alias("value"),
+            F.count(c).alias("count"),
+            F.avg(c).alias("mean"),
+            F.stddev_samp(c).alias("std"),
+            F.min(c).alias("min"),
+            F.max(c).alias("max"),
+            F.percentile_approx(c, _around(probs), _ACCURACY).alias("ends"),
         )
-        for s in slices
+        for c in columns
+    ]
+    plain = dict(zip(columns, numbers.agg(*measures).first()))
+    slices = [
+        _Slice(c, p, plain[c]["count"], *plain[c]["ends"][2 * i : 2 * i + 2])
+        for c in columns
+        if plain[c]["count"]
+        for i, p in enumerate(probs)
     ]
-    keys = ["column_name", "slice"]
+    if slices:
+        _narrow(numbers, slices, {c: (plain[c]["min"], plain[c]["max"]) for c in columns})
+    cells = [
+        F.struct(
+            F.lit(i).alias("slice"), F.when(s.holds(), F.col(s.column)).alias("value")
+        )
+        for i, s in enumerate(slices)
+    ] or [F.struct(F.lit(0).alias("slice"), F.lit(None).cast("double").alias("value"))]
     # Rows outside all slices are dropped by the scan.
-    touched = reduce(lambda a, b: a | b, [s.holds(F.col(s.column)) for s in slices])
+    touched = reduce(lambda a, b: a | b, [s.holds() for s in slices], F.lit(False))
     counted = (
         numbers.filter(touched)
         .select(F.inline(F.array(*cells)))
         .filter("value IS NOT NULL")
-        .groupBy(*keys, "value")
+        .groupBy("slice", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    if max(s.inside for s in slices) > small:
-        ranked = running_total(counted, keys, ["value"], "n", "upto")
-    else:
-        upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(
-            Window.unboundedPreceding, Window.currentRow
-        )
-        ranked = counted.withColumn("upto", F.sum("n").over(upto))
-
-    picks = []
+    # Bounded: the distinct values of one slice.
+    upto = Window.partitionBy("slice").orderBy("value")
+    ranked = counted.withColumn("upto", F.sum("n").over(upto))
+    picks = [F.count(F.lit(1)).alias("found")]
     quantiles: dict[tuple[str, float], Column] = {}
-    for s in slices:
-        here = (F.col("column_name") == s.column) & (F.col("slice") == s.number)
-        for p in s.probs:
-            first, last, share = _ranks(counts[s.column], p)
-            names = [f"q{len(picks)}", f"q{len(picks) + 1}"]
-            for rank, name in zip((first, last), names):
-                reached = here & (F.col("upto") + s.below > rank)
-                picks.append(F.min(F.when(reached, F.col("value"))).alias(name))
-            low, high = F.col(names[0]), F.col(names[1])
-            quantiles[s.column, p] = low + (high - low) * share
+    for i, s in enumerate(slices):
+        first, last, share = s.ranks()
+        for rank, name in ((first, f"low{i}"), (last, f"high{i}")):
+            reached = (F.col("slice") == i) & (F.col("upto") + s.below > rank)
+            picks.append(F.min(F.when(reached, F.col("value"))).alias(name))
+        low, high = F.col(f"low{i}"), F.col(f"high{i}")
+        quantiles[s.column, s.prob] = low + (high - low) * share
+    missing = F.lit(None).cast("double")
     rows = [
         F.struct(
             F.lit(c).alias("column_name"),
-            F.lit(counts[c]).cast("bigint").alias("count"),
+            F.lit(plain[c]["count"]).cast("bigint").alias("count"),
             *[F.lit(plain[c][k]).cast("double").alias(k) for k in ("mean", "std", "min")],
-            *[quantiles[c, p].alias(f"p{int(p * 100)}") for p in probs],
+            *[quantiles.get((c, p), missing).alias(f"p{int(p * 100)}") for p in probs],
             F.lit(plain[c]["max"]).cast("double").alias("max"),
         )
         for c in columns
@@ -248,23 +252,33 @@ def histogram(df: DataFrame, column: str, bins: int) -> DataFrame:
 def density_curve(df: DataFrame, column: str, points: int) -> DataFrame:
     """Gaussian kernel density at evenly spaced points between the extremes.
 
-    Bandwidth: sample deviation times n^(-1/5).  Every value is repeated for
-    the fixed number of points and summed per point inside its task, so only
-    ``points`` rows per task are shuffled.
+    Bandwidth: sample deviation times n^(-1/5).  One sum per point in one
+    aggregate: rows are not repeated and a task shuffles one row.
     """
     known = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
     shape = known.agg(
+        F.min("v").alias("lo"),
+        F.max("v").alias("hi"),
+        F.count("v").alias("n"),
+        (F.stddev_samp("v") * F.pow(F.count("v"), F.lit(-0.2))).alias("h"),
+    ).first()
+    if not shape["n"]:
+        return known.select(
+            F.lit(0).alias("point"), F.col("v").alias("x"), F.col("v").alias("density")
+        )
+    lo, hi, h = shape["lo"], shape["hi"], shape["h"] or float("nan")
+    at = [lo + (hi - lo) * i / max(1, points - 1) for i in range(points)]
+
+    def kernel(x: float) -> Column:
+        z = (F.col("v") - x) / h
+        return F.sum(F.exp(-(z * z) / 2))
+
+    sums = known.agg(*[kernel(x).alias(f"k{i}") for i, x in enumerate(at)])
+    scale = shape["n"] * h * math.sqrt(2 * math.pi)
+    cells = [
         F.struct(
-            F.min("v").alias("lo"),
-            F.max("v").alias("hi"),
-            F.count("v").alias("n"),
-            (F.stddev_samp("v") * F.pow(F.count("v"), F.lit(-0.2))).alias("h"),
+            F.lit(i).alias("point"), F.lit(x).alias("x"), (F.col(f"k{i}") / scale).alias("density")
         )
-    ).scalar()
-    lo, hi, h, total = shape["lo"], shape["hi"], shape["h"], shape["n"]
-    at = lo + (hi - lo) * F.col("point") / (points - 1)
-    spread = known.select("v", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point"))
-    z = (F.col("v") - at) / h
-    sums = spread.groupBy("point").agg(F.sum(F.exp(-(z * z) / 2)).alias("_sum"))
-    scale = total * h * F.sqrt(F.lit(2) * F.pi())
-    return sums.select("point", at.alias("x"), (F.col("_sum") / scale).alias("density"))
+        for i, x in enumerate(at)
+    ]
+    return sums.select(F.inline(F.array(*cells)))

@@ -17,18 +17,6 @@ def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     return reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in paths])
 
 
-def spread(df: DataFrame, scan: DataFrame | None = None) -> DataFrame:
-    """Use all cores where a scan has fewer splits than there are cores.
-
-    For tables whose rows are costly to process (long texts, pages).  A table
-    with enough splits, as any large one, is returned as it is.  ``scan`` is the
-    table ``df`` was selected from, when it is not ``df`` itself.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = (df if scan is None else scan).rdd.getNumPartitions()
-    return df.repartition(cores) if splits < cores else df
-
-
 def read_csv(
     spark: SparkSession,
     path: str | list[str],

@@ -94,3 +94,22 @@ def test_minutes(spark):
     df = column(spark, [89, 90, 119], "bigint")
     got = df.select(times.minutes("x"), times.minutes("x", truncate=True)).collect()
     assert [tuple(r) for r in got] == [(1.0, 1.0), (2.0, 1.0), (2.0, 1.0)]
+
+
+def test_values_are_not_rounded_before_they_are_summed(spark):
+    df = spark.createDataFrame([(0.005,), (0.004,), (1.234,), (1.234,), (None,)], "x double")
+    row = df.agg(n.exact_mean("x").alias("m"), n.mean_round("x", 3).alias("r")).first()
+    assert (row["m"], row["r"]) == (0.61925, 0.619)
+
+
+def test_odd_values_count_as_in_plain_sums(spark):
+    def mean(*values):
+        df = spark.createDataFrame([(float(v),) for v in values], "x double")
+        return df.agg(n.exact_mean("x").alias("m")).first()["m"]
+
+    assert str(mean(1, "nan", 3)) == "nan"
+    assert mean(1, "inf") == float("inf")
+    assert mean(1e300, 1) == 5e299
+    rounded = spark.createDataFrame([(1e17,), (float("inf"),), (-2.345,)], "x double")
+    got = [r[0] for r in rounded.select(n.round_half_up("x", 2)).collect()]
+    assert got == [1e17, float("inf"), -2.35]

@@ -39,14 +39,6 @@ def test_fields_by_position(spark):
     assert values(piped) == [("a", "b")]
 
 
-def test_spread_leaves_large_scans_alone(spark):
-    many = spark.range(0, 1000, 1, 64)
-    assert readers.spread(many).rdd.getNumPartitions() == 64
-    few = readers.spread(spark.range(0, 1000, 1, 2))
-    assert few.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert few.count() == 1000
-
-
 def test_csv_with_quotes_and_header(spark, tmp_path):
     df = spark.createDataFrame([("a,b", 1), ('say "x"', None)], "t string, n int")
     sinks.write_csv(df, f"{tmp_path}/c")

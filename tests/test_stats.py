@@ -21,10 +21,8 @@ def frame(spark, numbers):
     return spark.createDataFrame(rows, "a double, b double").repartition(6)
 
 
-@pytest.mark.parametrize("small", [1_000_000, 300, 0])
-def test_describe_numeric(frame, numbers, small):
-    """All values in one slice, narrow slices, and slices over many tasks."""
-    out = stats.describe_numeric(frame, ["a", "b"], small=small)
+def test_describe_numeric(frame, numbers):
+    out = stats.describe_numeric(frame, ["a", "b"])
     got = {r["column_name"]: r for r in out.collect()}
     b = [float(i % 7) for i in range(997) if i % 5]
     for name, data in (("a", numbers), ("b", b)):
@@ -42,18 +40,25 @@ def test_describe_numeric_of_one_value(spark):
     assert (one["count"], one["p25"], one["p75"], one["std"]) == (1, 2.5, 2.5, None)
 
 
-def test_slices_are_narrow_and_checked(spark):
+@pytest.mark.parametrize("most, accuracy", [(100_000, 10_000), (50, 10_000), (50, 100)])
+def test_ranges_are_narrowed_again(spark, monkeypatch, most, accuracy):
+    """The same quartiles however coarse the sketch and however small a range must be."""
+    monkeypatch.setattr(stats, "_MOST_VALUES", most)
+    monkeypatch.setattr(stats, "_ACCURACY", accuracy)
     df = spark.range(300_000).selectExpr("cast(pmod(hash(id), 1000003) as double) AS x")
-    narrow = stats._slices(df, {"x": 300_000}, [0.25, 0.5], small=1000)
-    assert all(s.low is not None and s.inside < 300_000 * 0.02 for s in narrow)
-    wrong = [stats._Slice("x", 0, [0.25], 0.0, 1.0), stats._Slice("x", 1, [0.5], None, None)]
-    widened = stats._checked(df, {"x": 300_000}, wrong)
-    assert all(s.low is None and s.inside == 300_000 for s in widened)
-    got = stats.describe_numeric(df, ["x"], small=1000).first()
+    got = stats.describe_numeric(df, ["x"]).first()
     want = np.quantile(df.toPandas()["x"], [0.25, 0.5, 0.75])
     assert [got["p25"], got["p50"], got["p75"]] == list(want)
 
 
+@pytest.mark.parametrize("n", [2, 3, 4, 5])
+def test_quartiles_of_few_values(spark, n):
+    data = [float(i * i) for i in range(n)]
+    got = stats.describe_numeric(spark.createDataFrame([(x,) for x in data], "x double"), ["x"])
+    r = got.first()
+    assert [r["p25"], r["p50"], r["p75"]] == list(np.quantile(data, [0.25, 0.5, 0.75]))
+
+
 def test_describe_numeric_without_values(spark):
     empty = spark.createDataFrame([(None,)], "x double")
     got = stats.describe_numeric(empty, ["x"]).first()
