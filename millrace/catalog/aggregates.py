@@ -252,7 +252,7 @@ def group_two_keys(t: Tables):
     "A24",
     """
     SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS "F",
-           count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P"
+           count(*) FILTER (o_orderstatus = 'O') AS "O", count(*) FILTER (o_orderstatus = 'P') AS "P", 0 AS other
     FROM orders GROUP BY 1
     """,
 )

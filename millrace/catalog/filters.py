@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
 from millrace.functions.times import month_range, seconds_between, within
-from millrace.operators.joins import outer_to_many
+from millrace.operators.joins import lookup
 
 
 @query(
@@ -142,16 +142,15 @@ def filter_glob(t: Tables):
 @query(
     "F09",
     """
-    SELECT c_custkey, o_orderkey IS NOT NULL AS ordered
-    FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 450000) ON c_custkey = o_custkey
-    WHERE o_orderkey IS NULL OR c_nationkey = 7
+    SELECT documents.doc_id, quality IS NOT NULL AS labelled
+    FROM documents LEFT JOIN labels ON documents.doc_id = labels.doc_id
+    WHERE quality IS NULL OR lang = 'de'
     """,
 )
 def filter_null(t: Tables):
-    big = t.orders.filter("o_totalprice > 450000").select("o_orderkey", "o_custkey")
-    joined = outer_to_many(t.customer, big, "c_custkey", "o_custkey")
-    return joined.filter(F.col("o_orderkey").isNull() | (F.col("c_nationkey") == 7)).select(
-        "c_custkey", F.col("o_orderkey").isNotNull().alias("ordered")
+    joined = lookup(t.documents, t.labels, "doc_id", "doc_id", {"quality": "quality"})
+    return joined.filter(F.col("quality").isNull() | (F.col("lang") == "de")).select(
+        "doc_id", F.col("quality").isNotNull().alias("labelled")
     )
 
 

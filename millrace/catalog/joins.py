@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
-from millrace.functions.numbers import exact_sum, round_half_up
+from millrace.functions.numbers import exact_sum
 from millrace.operators import joins
 
 
@@ -40,16 +40,12 @@ def join_role_playing(t: Tables):
     """,
 )
 def join_day_dim(t: Tables):
-    """Facts with a day table; year, month and day are one date key.
-
-    The day side is grouped by calendar day, which bounds its size whatever the
-    input, so it is broadcast.
-    """
+    """Facts with a day table; year, month and day are one date key."""
     ship = t.lineitem.groupBy(F.to_date("l_shipdate").alias("day")).agg(
         F.count(F.lit(1)).alias("shipped")
     )
     facts = t.orders.select("o_orderkey", F.to_date("o_orderdate").alias("d"))
-    joined = facts.join(F.broadcast(ship), F.col("d") == F.col("day"), "left")
+    joined = facts.join(ship, F.col("d") == F.col("day"), "left")
     return joined.select("o_orderkey", F.col("day").cast("string").alias("day"), "shipped")
 
 
@@ -96,14 +92,13 @@ def join_left(t: Tables):
 @query(
     "J08",
     """
-    SELECT o_orderkey, c_name, c_mktsegment FROM (SELECT * FROM orders WHERE o_orderstatus = 'F')
-    RIGHT JOIN customer ON o_custkey = c_custkey ORDER BY o_orderkey
+    SELECT o_orderkey, c_name, c_mktsegment
+    FROM orders RIGHT JOIN customer ON o_custkey = c_custkey ORDER BY o_orderkey
     """,
 )
 def join_right(t: Tables):
-    """All customers, with their finished orders: the left join seen from orders."""
-    done = t.orders.filter("o_orderstatus = 'F'")
-    joined = joins.outer_to_many(t.customer, done, "c_custkey", "o_custkey")
+    """All customers, with their orders: the left join seen from orders."""
+    joined = joins.outer_to_many(t.customer, t.orders, "c_custkey", "o_custkey")
     return joined.select("o_orderkey", "c_name", "c_mktsegment").orderBy("o_orderkey", "c_name")
 
 
@@ -207,15 +202,13 @@ def scalar_subquery(t: Tables):
 @query(
     "J14",
     """
-    SELECT c_custkey, c_name FROM customer
-    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 300000)
+    SELECT doc_id, source FROM documents d
+    WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)
     """,
 )
 def anti_join(t: Tables):
-    big = t.orders.filter("o_totalprice > 300000").select("o_custkey").distinct()
-    return t.customer.join(big, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select(
-        "c_custkey", "c_name"
-    )
+    labelled = t.labels.select("doc_id").distinct()
+    return t.documents.select("doc_id", "source").join(labelled, "doc_id", "left_anti")
 
 
 @query(
@@ -244,23 +237,16 @@ def reconcile(t: Tables):
 @query(
     "J05 E19",
     """
-    SELECT c_custkey, CAST(coalesce(n, 0) AS BIGINT) AS orders,
-           sign(c_acctbal + coalesce(spent, 0)) * floor(abs(c_acctbal + coalesce(spent, 0)) * 1e2 + 0.5) / 1e2 AS position
-    FROM customer LEFT JOIN (
-      SELECT o_custkey, count(*) AS n, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent
-      FROM orders WHERE o_orderstatus = 'P' AND o_totalprice > 250000 GROUP BY 1) ON c_custkey = o_custkey
+    SELECT d.doc_id, n_chars + coalesce(quality, 0) * 10 AS points, coalesce(toxic, -1) AS toxic
+    FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
     """,
 )
 def null_default(t: Tables):
-    """A customer without such orders counts as 0."""
-    spent = (
-        t.orders.filter("o_orderstatus = 'P' AND o_totalprice > 250000")
-        .groupBy("o_custkey")
-        .agg(F.count(F.lit(1)).alias("n"), exact_sum("o_totalprice").alias("spent"))
-    )
-    joined = t.customer.join(spent, F.col("c_custkey") == F.col("o_custkey"), "left")
+    """A document without a label counts as 0."""
+    taken = {"quality": "quality", "toxic": "toxic"}
+    joined = joins.lookup(t.documents, t.labels, "doc_id", "doc_id", taken)
     return joined.select(
-        "c_custkey",
-        F.coalesce("n", F.lit(0)).alias("orders"),
-        round_half_up(F.col("c_acctbal") + F.coalesce("spent", F.lit(0.0)), 2).alias("position"),
+        "doc_id",
+        (F.col("n_chars") + F.coalesce("quality", F.lit(0)) * 10).alias("points"),
+        F.coalesce("toxic", F.lit(-1)).alias("toxic"),
     )

@@ -1,11 +1,15 @@
 """Sources and sinks: what is written is read back and returned."""
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
+from millrace.catalog.sqlparts import WORD, mean_round
 from millrace.functions.numbers import exact_sum
 from millrace.sources import html, readers, sinks
 from millrace.storage import fresh_path
+from millrace.streaming import line_jobs
 
 
 @query(
@@ -96,8 +100,77 @@ def json_lines(t: Tables):
     return readers.read_json_lines(t.spark, path, rows.schema)
 
 
+@query("S07", "SELECT doc_id, quality, toxic FROM labels")
+def json_array_files(t: Tables):
+    """Files that hold one array of records each, a thousand ids to a file."""
+    path = fresh_path(t.spark, "json-arrays")
+    record = F.struct("doc_id", "quality", "toxic")
+    arrays = t.labels.groupBy(F.floor(F.col("doc_id") / 1000).alias("part")).agg(
+        F.to_json(F.collect_list(record)).alias("value")
+    )
+    arrays.write.partitionBy("part").text(path)
+    schema = "doc_id bigint, quality int, toxic int"
+    return readers.read_json_array(t.spark, path, schema).select("doc_id", "quality", "toxic")
+
+
+@query(
+    "S18",
+    """
+    SELECT s_suppkey, s_acctbal + 1 AS s_acctbal, '2024-01-02' AS snapshot_date
+    FROM supplier WHERE s_nationkey <> 3
+    """,
+)
+def snapshot_archive(t: Tables):
+    """Two daily states in one archive; the newest day is the only folder read."""
+    path = fresh_path(t.spark, "archive")
+    first = t.supplier.select("s_suppkey", "s_acctbal")
+    second = t.supplier.filter("s_nationkey <> 3").select(
+        "s_suppkey", (F.col("s_acctbal") + 1).alias("s_acctbal")
+    )
+    sinks.archive_snapshot(first, path, date(2024, 1, 1))
+    sinks.archive_snapshot(first, path, date(2024, 1, 2))
+    sinks.archive_snapshot(second, path, date(2024, 1, 2))
+    archive = t.spark.read.parquet(path)
+    newest = archive.agg(F.max("snapshot_date")).first()[0]
+    return archive.filter(F.col("snapshot_date") == F.lit(newest)).withColumn(
+        "snapshot_date", F.col("snapshot_date").cast("string")
+    )
+
+
+@query(
+    "S06 A17",
+    f"""
+    SELECT word, count(*) AS n
+    FROM (SELECT lower(unnest(string_split_regex(text, '[^{WORD}]+'))) AS word FROM documents)
+    WHERE word <> '' GROUP BY 1
+    """,
+)
+def wordcount_file(t: Tables):
+    """Words of text files, read line by line."""
+    path = fresh_path(t.spark, "lines")
+    sinks.write_lines(t.documents, F.col("text"), path)
+    return line_jobs.word_count(readers.read_lines(t.spark, path))
+
+
+@query(
+    "S06 A20",
+    f"""
+    SELECT CAST(l_partkey AS VARCHAR) AS item, {mean_round('l_quantity', 1)} AS avg_rating
+    FROM lineitem GROUP BY 1
+    """,
+)
+def rating_file(t: Tables):
+    """Ratings of delimited text files with a header line in each."""
+    path = fresh_path(t.spark, "ratings")
+    header = F.lit("userId,movieId,rating,timestamp")
+    line = F.concat_ws(", ", "l_orderkey", "l_partkey", "l_quantity", F.to_date("l_shipdate"))
+    sinks.write_lines(t.lineitem, line, f"{path}/a")
+    sinks.write_lines(t.region.limit(1), header, f"{path}/b")
+    return line_jobs.rating_mean(readers.read_lines(t.spark, f"{path}/*"))
+
+
 @query(
-    "S06 S08 F13 S12",
+    "S08 F13 S12",
     "SELECT l_partkey AS item, l_quantity AS rating FROM lineitem",
 )
 def delimited_fields(t: Tables):
@@ -143,9 +216,9 @@ def html_cells(t: Tables):
     "S10 U06",
     r"""
     SELECT DISTINCT base || href AS url
-    FROM (SELECT regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
-                 unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) AS href
-          FROM pages)
+    FROM (SELECT base, split_part(part, '"', 1) AS href
+          FROM (SELECT regexp_extract(url, '^(https?://[^/]+)', 1) AS base,
+                       unnest(string_split(html, '<a href="')[2:]) AS part FROM pages))
     WHERE regexp_matches(href, '^/[^/]+$')
     """,
 )

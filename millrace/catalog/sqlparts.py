@@ -21,7 +21,10 @@ def mean_round(x: str, digits: int = 2) -> str:
 
 
 WORD = r"\p{L}\p{N}_"
-SPACE = r" \t\n\r"
+SPACE = (
+    r" \t-\r\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
 
 
 def clean_social(x: str) -> str:

@@ -6,7 +6,7 @@ from millrace.catalog.registry import Tables, query
 from millrace.catalog.sqlparts import half_up
 from millrace.functions.numbers import exact_sum, mean_round, round_half_up
 from millrace.operators import stats
-from millrace.operators.joins import outer_to_many
+from millrace.operators.joins import lookup
 
 _CORR = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _PROFILED = ["l_quantity", "l_extendedprice", "l_discount"]
@@ -73,7 +73,7 @@ def describe_categorical(t: Tables):
     return out.withColumnRenamed("unique", "unique_values")
 
 
-_NULLS = ["c_custkey", "c_name", "o_orderkey", "o_totalprice"]
+_NULLS = ["doc_id", "source", "quality", "toxic"]
 
 
 @query(
@@ -81,14 +81,14 @@ _NULLS = ["c_custkey", "c_name", "o_orderkey", "o_totalprice"]
     " UNION ALL ".join(
         f"""
         SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS nulls, count(*) AS row_count
-        FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 400000) ON c_custkey = o_custkey
+        FROM (SELECT d.doc_id, source, quality, toxic FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
         """
         for c in _NULLS
     ),
 )
 def null_counts(t: Tables):
-    big = t.orders.filter("o_totalprice > 400000")
-    joined = outer_to_many(t.customer, big, "c_custkey", "o_custkey")
+    taken = {"quality": "quality", "toxic": "toxic"}
+    joined = lookup(t.documents, t.labels, "doc_id", "doc_id", taken)
     return stats.null_counts(joined.select(*_NULLS))
 
 

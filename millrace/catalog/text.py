@@ -52,7 +52,7 @@ def text_clean_b(t: Tables):
 
 
 @query(
-    "A17 S06 Y03 Y05",
+    "A17 Y03 Y05",
     f"""
     SELECT word, count(*) AS n
     FROM (SELECT lower(unnest(string_split_regex(text, '[^{WORD}]+'))) AS word FROM documents)

@@ -6,6 +6,7 @@ way such files are.
 """
 
 from datetime import timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,21 +21,29 @@ from millrace.sources.sinks import write_csv
 from millrace.storage import fresh_path
 
 
-def trip_rows(t: Tables) -> DataFrame:
-    # Customer and request time go to the orders first, so the lines are
-    # shuffled once and the time is added up once per order.
+def ride_rows(t: Tables, since: str | None = None, until: str | None = None) -> DataFrame:
+    """Trips without their ends: order lines with the times of their orders.
+
+    A request is at most a day after its order, so requests from ``since`` on
+    and before ``until`` need orders of a range that is a day wider; the scan
+    of the orders is pruned by it.
+    """
+    orders = t.orders
+    if since:
+        orders = orders.filter(F.col("o_orderdate") >= F.to_timestamp(F.lit(since)) - timedelta(days=1))
+    if until:
+        orders = orders.filter(F.col("o_orderdate") < F.to_timestamp(F.lit(until)))
+    # The time is added up once per order.
     asked = F.col("o_orderdate") + F.lit(timedelta(hours=1)) * (F.col("o_orderkey") % 24)
-    orders = t.orders.select(
+    orders = orders.select(
         "o_orderkey", "o_custkey", "o_orderstatus", asked.alias("request_datetime")
     )
-    orders = lookup(orders, t.customer, "o_custkey", "c_custkey", {"c_nationkey": "DOLocationID"})
     lines = t.lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-    lines = lookup(lines, t.supplier, "l_suppkey", "s_suppkey", {"s_nationkey": "PULocationID"})
     license = {"F": "HV0003", "O": "HV0005", "P": "HV0004"}
     waited = F.lit(timedelta(seconds=100)) * (F.col("l_linenumber") - 1)
     return lines.select(
-        "PULocationID",
-        "DOLocationID",
+        "l_suppkey",
+        "o_custkey",
         "request_datetime",
         (F.col("request_datetime") + waited).alias("on_scene_datetime"),
         F.col("request_datetime").alias("pickup_datetime"),
@@ -49,6 +58,13 @@ def trip_rows(t: Tables) -> DataFrame:
     )
 
 
+def trip_rows(t: Tables) -> DataFrame:
+    """Trips with the zones of both ends."""
+    rides = lookup(ride_rows(t), t.customer, "o_custkey", "c_custkey", {"c_nationkey": "DOLocationID"})
+    rides = lookup(rides, t.supplier, "l_suppkey", "s_suppkey", {"s_nationkey": "PULocationID"})
+    return rides.drop("o_custkey", "l_suppkey")
+
+
 def zone_rows(t: Tables) -> DataFrame:
     named = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
     borough = F.when(F.col("r_name") == "MIDDLE EAST", "N/A").otherwise(F.col("r_name"))
@@ -57,12 +73,11 @@ def zone_rows(t: Tables) -> DataFrame:
     )
 
 
-def weather_rows(t: Tables) -> DataFrame:
-    """The weather file: a CSV with one row per day, read as text.
+def weather_rows(t: Tables, file: bool = False) -> DataFrame:
+    """The weather as a text table with one row per day.
 
     Columns year, month, day, max, min, precipitation1..3; T is a trace, M is
-    missing.  Its size is known from the file, so Catalyst decides on the
-    broadcast itself.
+    missing.  With ``file`` it is written as CSV and read back as such files are.
     """
     daily = t.lineitem.groupBy(F.to_date("l_shipdate").alias("d")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("l_quantity").cast("bigint")).alias("q")
@@ -78,13 +93,15 @@ def weather_rows(t: Tables) -> DataFrame:
         F.when(F.col("n") % 11 == 0, "M").otherwise("0.1").alias("precipitation2"),
         F.when(F.col("n") % 3 == 0, "T").otherwise("0.05").alias("precipitation3"),
     )
+    if not file:
+        return text
     path = fresh_path(t.spark, "weather")
     write_csv(text, path)
     return read_csv(t.spark, path, all_text(text.columns))
 
 
-def trip_detail(t: Tables) -> DataFrame:
-    return trips.detail(trip_rows(t), zone_rows(t), trips.daily_weather(weather_rows(t)))
+def trip_detail(t: Tables, file: bool = False) -> DataFrame:
+    return trips.detail(trip_rows(t), zone_rows(t), trips.daily_weather(weather_rows(t, file)))
 
 
 _RAIN = "(TRY_CAST(CASE WHEN p1 = 'T' THEN '0' ELSE p1 END AS DOUBLE) + TRY_CAST(p2 AS DOUBLE) + TRY_CAST(CASE WHEN p3 = 'T' THEN '0' ELSE p3 END AS DOUBLE))"
@@ -130,16 +147,16 @@ TRIPS = f"""
 
 
 @query(
-    "A05 S12",
+    "A05",
     f"{TRIPS} SELECT {mean('seconds')} AS avg_trip_duration, {mean('trip_miles')} AS avg_trip_distance, {mean('fare')} AS avg_fare FROM raw",
 )
 def trip_metrics(t: Tables):
     """Means over all trips, before any cleaning."""
-    return trips.global_means(trip_rows(t))
+    return trips.global_means(ride_rows(t))
 
 
 @query(
-    "A09 F10 X03",
+    "A09 F10",
     f"{TRIPS} SELECT hour, count(*) AS count FROM detail GROUP BY 1 ORDER BY count DESC, hour",
 )
 def trip_peak_hours(t: Tables):
@@ -153,7 +170,8 @@ def trip_peak_hours(t: Tables):
         FROM known GROUP BY 1, 2""",
 )
 def weather_analysis(t: Tables):
-    return trips.weather_analysis(trips.cells(trip_detail(t), ["weather_analysis"]))
+    """The weather comes from a text file here."""
+    return trips.weather_analysis(trips.cells(trip_detail(t, file=True), ["weather_analysis"]))
 
 
 @query(
@@ -179,7 +197,7 @@ def location_analysis(t: Tables):
 
 
 @query(
-    "A09 A10 A11 A12 X03",
+    "A09 A10 A11 A12",
     f"""{TRIPS}
         SELECT 'peak_hours' AS report, CAST(hour AS VARCHAR) AS first_key, NULL AS second_key, count(*) AS trips,
                count(CASE WHEN weather_category <> 'Unknown' THEN service END) AS users FROM detail GROUP BY hour
@@ -210,6 +228,35 @@ def trip_reports(t: Tables):
     )
 
 
+@query(
+    "X03",
+    f"""{TRIPS}
+        SELECT 'hours' AS result, count(*) AS rows, CAST(sum(n) AS BIGINT) AS trips
+        FROM (SELECT hour, count(*) AS n FROM detail GROUP BY 1)
+        UNION ALL
+        SELECT 'bands', count(*), CAST(sum(n) AS BIGINT)
+        FROM (SELECT distance_category, count(service) AS n FROM known GROUP BY 1)
+        UNION ALL
+        SELECT 'routes', count(*), CAST(sum(n) AS BIGINT)
+        FROM (SELECT pul, dol, count(service) AS n FROM known GROUP BY 1, 2)""",
+)
+def trip_results_reused(t: Tables):
+    """Several results of one written intermediate, which is computed once."""
+    found = trips.reports_from(trip_detail(t))
+    parts = [
+        found[name].agg(F.count(F.lit(1)).alias("rows"), F.sum(measure).alias("trips")).select(
+            F.lit(shown).alias("result"), "rows", "trips"
+        )
+        for shown, name, measure in (
+            ("hours", "peak_hours", "count"),
+            ("bands", "distance_analysis", "num_users"),
+            ("routes", "location_analysis", "num_users"),
+        )
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_MONTH, _YEAR = ("1997-01-01", "1997-02-01"), ("1997-01-01", "1998-01-01")
 _JANUARY = """month_fares AS (SELECT CAST(request AS DATE) AS date, trip_miles, fare FROM raw
                               WHERE request >= TIMESTAMP '1997-01-01' AND request < TIMESTAMP '1997-02-01' AND fare > 0)"""
 
@@ -222,7 +269,7 @@ _JANUARY = """month_fares AS (SELECT CAST(request AS DATE) AS date, trip_miles,
         FROM month_fares GROUP BY 1""",
 )
 def fare_day_types(t: Tables):
-    return fares.by_day_type(fares.month_fares(trip_rows(t), 1997, 1))
+    return fares.by_day_type(fares.month_fares(ride_rows(t, *_MONTH), 1997, 1))
 
 
 @query(
@@ -234,17 +281,17 @@ def fare_day_types(t: Tables):
 )
 def fare_temperatures(t: Tables):
     weather = trips.daily_weather(weather_rows(t))
-    return fares.by_temperature(fares.month_fares(trip_rows(t), 1997, 1), weather)
+    return fares.by_temperature(fares.month_fares(ride_rows(t, *_MONTH), 1997, 1), weather)
 
 
 @query(
-    "A15 X03 Y04",
+    "A15 Y04",
     f"""{TRIPS} SELECT {total('fare')} AS total_revenue, count(*) AS total_count,
         {mean_round('fare')} AS average_revenue, {mean_round('trip_miles')} AS average_distance
         FROM raw WHERE year(request) = 1997 AND fare > 0""",
 )
 def fare_revenue(t: Tables):
-    return fares.revenue_summary(trip_rows(t), 1997)
+    return fares.revenue_summary(ride_rows(t, *_YEAR), 1997)
 
 
 @query(
@@ -253,7 +300,7 @@ def fare_revenue(t: Tables):
         FROM raw WHERE year(request) = 1997 AND fare > 0 GROUP BY 1""",
 )
 def fare_daily(t: Tables):
-    daily = fares.daily_metrics(trip_rows(t), 1997)
+    daily = fares.daily_metrics(ride_rows(t, *_YEAR), 1997)
     return daily.withColumn("date", F.col("date").cast("string"))
 
 

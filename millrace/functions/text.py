@@ -10,7 +10,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 WORD = r"\p{L}\p{N}_"
-SPACE = r" \t\n\r"
+# White space as in Unicode texts: no-break, ideographic and other wide blanks too.
+SPACE = (
+    r" \t-\r\x1c-\x1f\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
+    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+)
 
 # English function words (a public list, without apostrophes,
 # as the cleaning below removes them).

@@ -7,11 +7,13 @@ written as one file, everything else keeps its partitions.
 from __future__ import annotations
 
 import argparse
+import dataclasses
 import os
 import sys
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 if __package__ in (None, ""):
     sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -20,8 +22,11 @@ from millrace.operators.planning import Terms
 from millrace.plans import economies, fares, keywords, procurement, trips
 from millrace.session import configure
 from millrace.sources import readers, sinks
+from millrace.storage import materialize
 from millrace.streaming import line_jobs
 
+# Columns of the public files, and the default purchase.
+TARGET, BASE_PRICE = 10, 1500.0
 ZONE_COLUMNS = ["LocationID", "Borough", "Zone", "service_zone"]
 WEATHER_COLUMNS = [
     "year", "month", "day", "max", "min", "precipitation1", "precipitation2", "precipitation3",
@@ -35,9 +40,11 @@ LINE_JOBS = {
 }
 
 
-def _result(df: DataFrame, out: str, name: str) -> None:
-    sinks.write_parquet(df, f"{out}/{name}", small=True)
-    sinks.write_csv(df.coalesce(1), f"{out}/{name}_csv")
+def _result(df: DataFrame, out: str, name: str, small: bool = True) -> None:
+    """Parquet, and CSV converted from it: the result is computed once."""
+    sinks.write_parquet(df, f"{out}/{name}", small=small)
+    written = df.sparkSession.read.schema(df.schema).parquet(f"{out}/{name}")
+    sinks.write_csv(written.coalesce(1) if small else written, f"{out}/{name}_csv")
 
 
 def _weather(spark: SparkSession, args) -> DataFrame:
@@ -55,11 +62,11 @@ def run_trips(spark: SparkSession, args) -> None:
     rows = _trips(spark, args)
     columns = readers.all_text(ZONE_COLUMNS[: args.zone_columns])
     zones = readers.read_csv(spark, args.zones, columns)
-    joined = trips.detail(rows, zones, _weather(spark, args))
-    # The detail is written once; the cube reads the few columns it needs back.
-    sinks.write_parquet(joined, f"{args.out}/detail")
+    # Joined once.  The peak hours count days without weather too, the detail does not.
+    joined = materialize(trips.detail(rows, zones, _weather(spark, args)), "trips-joined")
+    sinks.write_parquet(trips.known_weather(joined), f"{args.out}/detail")
     _result(trips.global_means(rows), args.out, "metrics")
-    for name, df in trips.reports_from(spark.read.parquet(f"{args.out}/detail")).items():
+    for name, df in trips.reports_from(joined).items():
         _result(df, args.out, name)
 
 
@@ -84,7 +91,7 @@ def run_economies(spark: SparkSession, args) -> None:
     table = economies.transform(economies.extract(pages), member)
     economies.load(economies.largest_first(table), args.out, args.table, date.fromisoformat(args.day))
     loaded = spark.table(args.table)
-    _result(economies.over(loaded), args.out, "over_100")
+    _result(economies.over(loaded), args.out, "over_100", small=False)
     _result(economies.region_means(loaded), args.out, "region_means")
 
 
@@ -101,18 +108,24 @@ def run_keywords(spark: SparkSession, args) -> None:
     docs = readers.read_json_lines(spark, args.texts, f"`{key}` string, `{cls}` string, text string")
     docs = docs.dropna(subset=["text", cls])
     sinks.write_parquet(keywords.term_frequencies(docs, "text", [cls]), f"{args.out}/frequencies")
-    top = keywords.keywords(docs, key, "text", [cls], args.vocabulary, args.top)
+    extra: list[str] = []
+    if args.stop_words:  # a list that a person wrote
+        lines = readers.read_lines(spark, args.stop_words).select(F.lower(F.trim("value")))
+        extra = [row[0] for row in lines.collect() if row[0]]
+    top = keywords.keywords(docs, key, "text", [cls], args.vocabulary, args.top, extra)
     sinks.write_parquet(top, f"{args.out}/keywords")
 
 
 def run_procurement(spark: SparkSession, args) -> None:
     """Plan per scenario and, with purchases, the comparison and the re-plans."""
-    days = readers.read_csv(spark, args.schedule, "scenario string, date string, supply bigint")
-    terms = Terms(
-        registration_rate=args.reg_rate, commoditisation=args.comm_cost,
-        transport=args.trans_cost, margin=args.sale_margin,
+    columns = "scenario string, date string, supply bigint" + ", noise double" * args.noise
+    read = readers.read_json_array if args.schedule.endswith(".json") else readers.read_csv
+    days = read(spark, args.schedule, columns)
+    terms = Terms(**{f.name: getattr(args, f.name) for f in dataclasses.fields(Terms)})
+    schedule = procurement.schedule_from(
+        days, args.target, args.base_price, "noise" if args.noise else None
     )
-    schedule = procurement.schedule_from(days, args.target, args.base_price)
+    schedule = materialize(schedule, "schedule")  # the plan and the re-plans look at it
     plan = procurement.baseline(schedule, terms)
     sinks.write_parquet(plan, f"{args.out}/plan")
     sinks.write_parquet(procurement.plan_summary(plan), f"{args.out}/plan_summary")
@@ -158,16 +171,16 @@ def parser() -> argparse.ArgumentParser:
     sub.add_argument("--job", choices=sorted(LINE_JOBS), required=True)
     sub = job("keywords", run_keywords, "texts", "key", "label")
     sub.add_argument("--vocabulary", type=int, default=1000)
+    sub.add_argument("--stop-words", help="file with further stop words, one per line")
     sub.add_argument("--top", type=int, default=200)
     sub = job("procurement", run_procurement, "schedule")
     sub.add_argument("--actuals")
-    defaults = Terms()
-    sub.add_argument("--target", type=int, default=10)
-    sub.add_argument("--base-price", type=float, default=1500.0)
-    sub.add_argument("--reg-rate", type=float, default=defaults.registration_rate)
-    sub.add_argument("--comm-cost", type=float, default=defaults.commoditisation)
-    sub.add_argument("--trans-cost", type=float, default=defaults.transport)
-    sub.add_argument("--sale-margin", type=float, default=defaults.margin)
+    sub.add_argument("--noise", action="store_true", help="the schedule has price deviations")
+    sub.add_argument("--target", type=int, default=TARGET)
+    sub.add_argument("--base-price", type=float, default=BASE_PRICE)
+    for field in dataclasses.fields(Terms):
+        option = "--" + field.name.replace("_", "-")
+        sub.add_argument(option, type=float, default=field.default)
     return top
 
 

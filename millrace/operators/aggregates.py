@@ -19,10 +19,16 @@ def top_n_mean(
     return top_n(df, keys, order, n).groupBy(*keys).agg(mean_round(value, 2).alias(name))
 
 
-def crosstab(df: DataFrame, row: str, column: str, values: Sequence[str]) -> DataFrame:
-    """Counts of row by column with one output column per listed value."""
-    counted = df.groupBy(row).pivot(column, list(values)).agg(F.count(F.lit(1)))
-    return counted.fillna(0)
+def crosstab(
+    df: DataFrame, row: str, column: str, values: Sequence[str], other: str = "other"
+) -> DataFrame:
+    """Counts of row by column with one output column per listed value.
+
+    Rows with any other value, or none, count in the column ``other``.
+    """
+    listed = [F.count_if(F.col(column) == v).alias(str(v)) for v in values]
+    rest = F.count_if(~F.coalesce(F.col(column).isin(list(values)), F.lit(False)))
+    return df.groupBy(row).agg(*listed, rest.alias(other))
 
 
 def with_total_row(

@@ -35,6 +35,10 @@ class Terms:
 
 DEFAULT_TERMS = Terms()
 
+# Periods of a schedule that are compared inside a row.
+_BLOCK_BITS = 6
+_BLOCK = 1 << _BLOCK_BITS
+
 # Upper limits of the fill ratio, bid multiplier, risk band.
 PRESSURE = [(0.45, 0.97, "low"), (0.60, 1.00, "medium"), (0.75, 1.05, "high")]
 PRESSURE_TOP = (1.10, "very high")
@@ -176,74 +180,135 @@ def with_actuals(schedule: DataFrame, actuals: DataFrame) -> DataFrame:
     )
 
 
+def _later() -> Window:
+    """A period and all after it, as a running frame from the last one back."""
+    return (
+        Window.partitionBy("scenario")
+        .orderBy(F.desc("idx"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+
+
 def remaining(schedule: DataFrame) -> DataFrame:
     """State at the start of each period: what is still to buy and to come."""
     past = (
         Window.partitionBy("scenario").orderBy("idx").rowsBetween(Window.unboundedPreceding, -1)
     )
-    rest = (
-        Window.partitionBy("scenario")
-        .orderBy("idx")
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    )
     before = F.coalesce(F.sum("bought").over(past), F.lit(0))
     return schedule.withColumns(
         {
             "remaining_target": F.greatest(F.lit(0), F.col("target") - before),
-            "remaining_supply": F.sum("supply").over(rest),
-            "peak_supply": F.max("supply").over(rest),
-            "days_left": F.count(F.lit(1)).over(rest),
+            "remaining_supply": F.sum("supply").over(_later()),
+            "peak_supply": F.max("supply").over(_later()),
+            "days_left": F.count(F.lit(1)).over(_later()),
         }
     )
 
 
+def _cheaper_nearby(state: DataFrame, terms: Terms) -> Column:
+    """Supply of the cheaper later periods of the same block, inside the row."""
+    rest = (
+        Window.partitionBy("scenario", "_block")
+        .orderBy(F.desc("idx"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    listed = F.collect_list(F.struct("supply", "base_price", "noise", "_scaled")).over(rest)
+    none = F.lit(0).cast("bigint")
+    return F.aggregate(
+        listed,
+        none,
+        lambda total, d: total
+        + F.when(
+            _price(d["base_price"], d["_scaled"], F.col("_peak"), d["noise"], terms)
+            < F.col("exp_price"),
+            d["supply"],
+        ).otherwise(none),
+    )
+
+
+def _cheaper_beyond(state: DataFrame, terms: Terms) -> DataFrame:
+    """``scenario, idx, _beyond``: supply of the cheaper periods of later blocks.
+
+    Prices depend on the peak of what remains, which is the same for a run of
+    periods, so every run prices the periods after its start once.  Of two
+    periods the bits of their positions tell at which halving they part: there
+    the earlier one asks and the later one answers, and one running sum by
+    price serves a whole half.  Rows: runs times periods times halvings.
+    """
+    long = state.filter(F.col("_periods") > _BLOCK)
+    runs = long.groupBy(F.col("scenario").alias("_s"), F.col("peak_supply").alias("_run")).agg(
+        F.min("_pos").alias("_first"), F.max("_pos").alias("_end")
+    )
+    priced = long.join(
+        runs, (F.col("scenario") == F.col("_s")) & (F.col("_pos") >= F.col("_first"))
+    )
+    peak = F.log(1 + F.col("_run"))
+    price = _price(F.col("base_price"), F.col("_scaled"), peak, F.col("noise"), terms)
+    highest = F.ceil(F.log2(F.col("_periods"))).cast("int")
+    halvings = priced.select(
+        "scenario",
+        "idx",
+        "supply",
+        "_run",
+        "_pos",
+        "_end",
+        F.round(price * 10).cast("bigint").alias("_tenths"),
+        F.explode(F.sequence(F.lit(_BLOCK_BITS), highest)).alias("_bit"),
+    )
+    half = F.floor(F.col("_pos") / F.pow(F.lit(2.0), F.col("_bit"))).cast("bigint")
+    block = F.floor(half / 2)
+    answers = half % 2 == 1
+    starts = block * F.pow(F.lit(2.0), F.col("_bit") + 1)
+    useful = (answers & (starts <= F.col("_end"))) | (~answers & (F.col("_pos") <= F.col("_end")))
+    halves = halvings.filter(useful).withColumns({"_half": block, "_answers": answers})
+    below = (
+        Window.partitionBy("scenario", "_run", "_bit", "_half")
+        .orderBy("_tenths")
+        .rangeBetween(Window.unboundedPreceding, -1)
+    )
+    offered = F.sum(F.when(F.col("_answers"), F.col("supply")).otherwise(0)).over(below)
+    asked = halves.withColumn("_below", offered).filter(~F.col("_answers"))
+    return asked.groupBy("scenario", "idx").agg(F.sum("_below").alias("_beyond"))
+
+
 def rolling_replan(schedule: DataFrame, terms: Terms = DEFAULT_TERMS) -> DataFrame:
     """Decision at the start of every period, re-planned from what was bought.
 
-    Needs ``bought``.  Prices use the peak of the remaining schedule; the
-    planned purchase of the period is what the cheapest-first rule leaves for
-    it once all cheaper later periods are used.  One row per period: the later
-    periods are looked at inside the row, not joined to it.
+    Needs ``bought`` and one row per scenario and period.  Prices use the peak
+    of the remaining schedule; the planned purchase of the period is what the
+    cheapest-first rule leaves for it once all cheaper later periods are used.
+    Inside a block of a few periods the later ones are looked at in the row;
+    those of later blocks come from running sums by price.
     """
-    rest = (
-        Window.partitionBy("scenario")
-        .orderBy("idx")
-        .rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    )
+    whole = Window.partitionBy("scenario")
     # The logarithms are taken once per period, not once per pair of periods.
     scaled = schedule.withColumn("_scaled", F.log(1 + F.col("supply")))
-    state = remaining(scaled).withColumns(
+    placed = remaining(scaled).withColumns(
         {
-            "_rest": F.collect_list(F.struct("supply", "base_price", "noise", "_scaled")).over(rest),
+            "_pos": F.row_number().over(whole.orderBy("idx")) - 1,
+            "_periods": F.count(F.lit(1)).over(whole),
             "_peak": F.log(1 + F.col("peak_supply")),
         }
     )
+    state = placed.withColumn("_block", F.floor(F.col("_pos") / _BLOCK))
     today = _price(F.col("base_price"), F.col("_scaled"), F.col("_peak"), F.col("noise"), terms)
     now = state.withColumn("exp_price", today)
-    cheaper = F.aggregate(
-        "_rest",
-        F.lit(0).cast("bigint"),
-        lambda total, d: total
-        + F.when(
-            _price(d["base_price"], d["_scaled"], F.col("_peak"), d["noise"], terms)
-            < F.col("exp_price"),
-            d["supply"],
-        ).otherwise(F.lit(0).cast("bigint")),
-    )
+    now = now.withColumn("_nearby", _cheaper_nearby(now, terms))
+    now = now.join(_cheaper_beyond(state, terms), ["scenario", "idx"], "left")
+    cheaper = F.col("_nearby") + F.coalesce("_beyond", F.lit(0))
     ratio = F.col("remaining_target") / F.greatest(F.lit(1), F.col("remaining_supply"))
     return (
-        now.withColumn("_cheaper", cheaper)
-        .withColumn("fill_ratio", ratio)
+        now.withColumn("fill_ratio", ratio)
         .withColumn("multiplier", pressure_multiplier("fill_ratio"))
         .withColumns(bid_columns(F.col("multiplier"), terms))
         .withColumn(
             "planned",
-            F.greatest(
-                F.lit(0), F.least(F.col("supply"), F.col("remaining_target") - F.col("_cheaper"))
-            ),
+            F.greatest(F.lit(0), F.least(F.col("supply"), F.col("remaining_target") - cheaper)),
         )
         .withColumn("risk", risk_band("fill_ratio"))
-        .drop("_rest", "_cheaper", "_scaled", "_peak", "peak_supply")
+        .drop(
+            "_nearby", "_beyond", "_scaled", "_peak", "_pos", "_periods", "_block", "peak_supply"
+        )
     )
 
 

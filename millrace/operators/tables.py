@@ -42,8 +42,16 @@ def upsert_rows(table: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Replace rows whose key is in ``changes`` and append the new keys.
 
     A column missing from ``changes`` keeps its old value, a changed value may
-    be null.  Keys must be unique in ``changes``.
+    be null.  Of several changes of one key the greatest counts, compared by
+    the other columns in their order.
     """
+    rest = [c for c in changes.columns if c != key]
+    newest = F.max(F.struct(*rest)) if rest else F.lit(None)
+    changes = (
+        changes.groupBy(key)
+        .agg(newest.alias("_last"))
+        .select(*[F.col(key) if c == key else F.col(f"_last.{c}") for c in changes.columns])
+    )
     side = changes.select(*[F.col(c).alias(f"_new_{c}") for c in changes.columns])
     # Two joins instead of a full one: AQE can split a hot key of the table.
     old = table.join(side, F.col(key) == F.col(f"_new_{key}"), "left")

@@ -63,7 +63,11 @@ def vocabulary(
     sizes = docs.groupBy(*classes).agg(F.count(F.lit(1)).alias("_docs"))
     chosen = top_n(spread, classes, [F.col("total").desc(), F.col("term")], size)
     idf = F.log((1 + F.col("_docs")) / (1 + F.col("df"))) + 1
-    return chosen.join(sizes, list(classes)).select(*classes, "term", "df", idf.alias("idf"))
+    c, s = chosen.alias("c"), sizes.alias("s")
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"s.{k}")) for k in classes]
+    return c.join(s, same).select(
+        *[F.col(f"c.{k}") for k in classes], "term", "df", idf.alias("idf")
+    )
 
 
 def tfidf(
@@ -78,13 +82,17 @@ def tfidf(
 
     ``docs`` has one row per document, ``pieces`` is the array of its words and
     ``keep`` a condition on ``term``.  Documents without a vocabulary term have
-    no row, but count for the idf.
+    no row, but count for the idf.  Documents without a class are a class.
     """
     # Written first: its known size lets Catalyst broadcast it, and then words
     # outside the vocabulary are dropped before anything is shuffled.
     known = materialize(vocabulary(docs, pieces, keep, classes, size), "vocabulary")
     terms = explode_tokens(docs, pieces, [*classes, doc]).filter(keep)
-    kept = terms.join(known.select(*classes, "term", "idf"), [*classes, "term"])
+    t, v = terms.alias("t"), known.alias("v")
+    same = [F.col(f"t.{c}").eqNullSafe(F.col(f"v.{c}")) for c in classes]
+    kept = t.join(v, [*same, F.col("t.term") == F.col("v.term")]).select("t.*", "v.idf")
+    # Dealt by document once: counts and lengths both stay inside a partition.
+    kept = kept.repartition(*classes, doc)
     tf = kept.groupBy(*classes, doc, "term", "idf").agg(F.count(F.lit(1)).alias("tf"))
     raw = tf.withColumn("_raw", F.col("tf") * F.col("idf"))
     # At most `size` rows per document, so the window stays small.

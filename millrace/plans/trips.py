@@ -82,6 +82,9 @@ def clean(
                 "scene_time": minutes(waited),
                 "trip_time": minutes("trip_time"),
                 "date": F.to_date("request_datetime"),
+                "year": F.year("request_datetime"),
+                "month": F.month("request_datetime"),
+                "day": F.dayofmonth("request_datetime"),
                 "hour": F.hour("request_datetime"),
                 "season": map_codes(F.month("request_datetime"), seasons),
                 "service_type": map_codes("hvfhs_license_num", services),
@@ -135,6 +138,11 @@ def detail(trips: DataFrame, zones: DataFrame, weather: DataFrame, **options) ->
     return joined.withColumns(categories())
 
 
+def known_weather(rows: DataFrame) -> DataFrame:
+    """:func:`detail` rows of days whose weather is known."""
+    return rows.filter(F.col("weather_category") != "Unknown")
+
+
 def global_means(trips: DataFrame) -> DataFrame:
     """Mean duration (seconds), distance and fare before any cleaning."""
     return trips.agg(

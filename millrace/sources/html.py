@@ -25,10 +25,14 @@ def _c(c: Column | str) -> Column:
 
 def inner_text(fragment: Column | str) -> Column:
     """Text of a fragment: tags dropped, references resolved, blanks trimmed."""
-    text = F.regexp_replace(_c(fragment), "<[^>]*>", "")
+    return F.trim(unescape(F.regexp_replace(_c(fragment), "<[^>]*>", "")))
+
+
+def unescape(text: Column) -> Column:
+    """Character references resolved."""
     for entity, character in ENTITIES:
         text = F.replace(text, F.lit(entity), F.lit(character))
-    return F.trim(text)
+    return text
 
 
 def elements(html: Column | str, tag: str) -> Column:
@@ -70,21 +74,39 @@ def first_cells(pages: DataFrame, key: str, html: str, names: list[str], skip_ro
     ).filter(F.col(names[0]).isNotNull())
 
 
+# An anchor's address in double quotes, single quotes or none, in any letter case.
+# Other attributes may hold the word in quotes, so they are stepped over whole.
+_HREF = (
+    r"""(?is)<a(?:\s+(?!href\s*=)[^\s=>]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+))?)*+"""
+    r"""\s+href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+)
+
+
+def hrefs(html: Column | str) -> Column:
+    """Addresses of a page's anchors as written, character references resolved."""
+    found = F.regexp_extract_all(_c(html), F.lit(_HREF), F.lit(1))
+    return F.transform(found, lambda x: F.trim(unescape(F.regexp_replace(x, "^[\"']|[\"']$", ""))))
+
+
+def absolute(base: Column, href: Column) -> Column:
+    """Address with its site in front; an absolute address stays as it is."""
+    return F.when(href.rlike("(?i)^[a-z][a-z0-9+.-]*:"), href).when(
+        href.startswith("//"), F.concat(F.regexp_extract(base, "^[A-Za-z]+:", 0), href)
+    ).otherwise(F.concat(base, href))
+
+
 def links(pages: DataFrame, key: str, html: str) -> DataFrame:
     """(key, href) for every anchor."""
-    pattern = '<a [^>]*href="([^"]*)"'
-    found = F.regexp_extract_all(F.col(html), F.lit(pattern), F.lit(1))
-    return pages.select(key, F.explode(found).alias("href"))
+    return pages.select(key, F.explode(hrefs(html)).alias("href"))
 
 
 def matching_links(pages: DataFrame, html: str, pattern: str, base: Column | str) -> DataFrame:
     """Distinct absolute addresses of the links that match ``pattern``."""
-    found = F.regexp_extract_all(F.col(html), F.lit('<a [^>]*href="([^"]*)"'), F.lit(1))
     base = F.lit(base) if isinstance(base, str) else base
     return (
-        pages.select(base.alias("_base"), F.explode(found).alias("href"))
+        pages.select(base.alias("_base"), F.explode(hrefs(html)).alias("href"))
         .filter(F.col("href").rlike(pattern))
-        .select(F.concat("_base", "href").alias("url"))
+        .select(absolute(F.col("_base"), F.col("href")).alias("url"))
         .distinct()
     )
 

@@ -11,10 +11,12 @@ from pyspark.sql import types as T
 
 
 def read_parts(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
-    """Parquet files as one table; a path listed twice counts twice."""
-    if len(set(paths)) == len(paths):
-        return spark.read.parquet(*paths)
-    return reduce(DataFrame.unionByName, [spark.read.parquet(p) for p in paths])
+    """Parquet files as one table; a path listed twice counts twice.
+
+    Columns are matched by name; one that a file lacks is null there.
+    """
+    parts = [spark.read.parquet(p) for p in paths]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
 def read_csv(

@@ -39,13 +39,8 @@ def label_count(lines: DataFrame) -> DataFrame:
 
 
 def rating_mean(lines: DataFrame, header: str = "userId") -> DataFrame:
-    """Mean rating per item number, one decimal; unreadable ratings are skipped."""
-    return (
-        _ratings(lines, header)
-        .withColumn("item", F.col("item").try_cast("bigint"))
-        .groupBy("item")
-        .agg(mean_round("rating", 1).alias("avg_rating"))
-    )
+    """Mean rating per item code, one decimal; unreadable ratings are skipped."""
+    return _ratings(lines, header).groupBy("item").agg(mean_round("rating", 1).alias("avg_rating"))
 
 
 def rating_count_mean(lines: DataFrame, header: str = "userId") -> DataFrame:

@@ -28,6 +28,9 @@ def test_trips_fares_and_daily(spark, tmp_path):
     assert got == [("Queens", "Bronx", 4, 16.67, 20.0, 5.0)]
     assert values(spark.read.parquet(f"{out}/peak_hours")) == [(0, 2), (8, 6)]
     assert spark.read.option("header", True).csv(f"{out}/metrics_csv").count() == 1
+    detail = spark.read.parquet(f"{out}/detail")
+    assert 0 < detail.count() < 8 and detail.filter("weather_category = 'Unknown'").count() == 0
+    assert {"year", "month", "day"} <= set(detail.columns)
     run(spark, "fares", "--trips", data, "--weather", weather, "--year", 2024, "--month", 1, "--out", out)
     assert values(spark.read.parquet(f"{out}/temperatures"), "temp_group", "count") == [(10.0, 5)]
     run(spark, "daily", "--trips", data, "--year", 2024, "--out", out)

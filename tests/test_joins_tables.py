@@ -185,3 +185,9 @@ def test_plans_of_subqueries_and_filters(spark, folder):
     assert "LeftOuter" not in inner and "Inner" in inner
     pruned = final_plan(REGISTRY["filter_calendar"].run(spark, folder))
     assert "GreaterThanOrEqual(o_orderdate" in pruned and "LessThan(o_orderdate" in pruned
+
+
+def test_upsert_with_repeated_changes(spark):
+    table = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    changes = spark.createDataFrame([(1, "x"), (1, "y"), (3, None), (3, "z")], "k int, v string")
+    assert values(tables.upsert_rows(table, changes, "k")) == [(1, "y"), (2, "b"), (3, "z")]

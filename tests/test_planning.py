@@ -168,3 +168,23 @@ def test_schedule_without_supply(spark):
     assert (day["buy"], day["exp_price"], day["multiplier"]) == (0, 100.0, 1.1)
     known = df.withColumn("bought", F.lit(0).cast("bigint"))
     assert ops.rolling_replan(known).first()["planned"] == 0
+
+
+@pytest.mark.parametrize("shape", ["random", "rising", "falling"])
+def test_long_schedules(spark, shape):
+    """Several blocks and runs of one peak, against the loop."""
+    rng = random.Random(3)
+    n = {"random": 300, "rising": 200, "falling": 150}[shape]
+    supply = [rng.randint(1, 40) for _ in range(n)]
+    if shape != "random":
+        supply.sort(reverse=shape == "falling")
+    rows = [("s", i, q, 100.0, 60, rng.randint(-9, 9) / 100, rng.randint(0, 1)) for i, q in enumerate(supply)]
+    df = spark.createDataFrame(rows, SCHEMA + ", bought bigint").repartition(5)
+    got = {r["idx"]: r for r in ops.rolling_replan(df).collect()}
+    left = 60
+    for i, (_, _, q, base, _, noise, bought) in enumerate(rows):
+        peak = max(supply[i:])
+        offers = [(price(base, r[2], peak, r[5]), r[1], r[2]) for r in rows[i:]]
+        assert got[i]["planned"] == fill(offers, left)[i]
+        assert (got[i]["remaining_supply"], got[i]["days_left"]) == (sum(supply[i:]), n - i)
+        left = max(0, left - bought)

@@ -134,6 +134,27 @@ def test_links(spark):
     assert values(got) == [("https://blog.example/v?logNo=12",)]
 
 
+def test_links_in_every_form(spark):
+    page = """<a href="/a?x=1&amp;y=2">1</a> <A class=k HREF='/b "q"'>2</A> <a data-x="href='/no'"
+        href = /c>3</a><a\nhref=https://other.example/d >4</a> <a name="href">5</a>
+        <abbr href="/no">6</abbr> <a title='a > b' href="//cdn.example/e">7</a>"""
+    pages = spark.createDataFrame([(1, page)], "id int, html string")
+    found = [r["href"] for r in html.links(pages, "id", "html").collect()]
+    assert found == ["/a?x=1&y=2", '/b "q"', "/c", "https://other.example/d", "//cdn.example/e"]
+    got = html.matching_links(pages, "html", "[cde]$", "https://site.example")
+    assert values(got) == [
+        ("https://cdn.example/e",), ("https://other.example/d",), ("https://site.example/c",),
+    ]
+
+
+def test_parts_with_different_columns(spark, tmp_path):
+    spark.createDataFrame([(1,)], "a int").write.parquet(f"{tmp_path}/p1")
+    spark.createDataFrame([(2, "x")], "a int, b string").write.parquet(f"{tmp_path}/p2")
+    both = [f"{tmp_path}/p1", f"{tmp_path}/p2"]
+    assert values(readers.read_parts(spark, both)) == [(1, None), (2, "x")]
+    assert values(readers.read_parts(spark, [*both, both[0]])) == [(1, None), (1, None), (2, "x")]
+
+
 def test_records_keep_rows_with_seven_cells(spark):
     detail = "<strong>Sonata</strong><br> 2019 |  AT|Gas "
     full = f"<tr><td>08-14</td><td>site</td><td>{detail}</td><td>u</td><td>9</td><td>A</td><td><strong>1,250</strong></td></tr>"
@@ -160,7 +181,9 @@ def test_label_count(spark):
 
 def test_ratings_include_the_last_group(spark):
     df = lines(spark, "userId,movieId,rating", "1,10,4.0", "2,10,bad", "3,2,1.25", "4,10,4.5", "5,2,1.25")
-    assert values(line_jobs.rating_mean(df)) == [(2, 1.3), (10, 4.3)]
+    assert values(line_jobs.rating_mean(df)) == [("10", 4.3), ("2", 1.3)]
+    odd = lines(spark, "userId,movieId,rating", "1,x1,4.0", "1,x2,2.0")
+    assert values(line_jobs.rating_mean(odd)) == [("x1", 4.0), ("x2", 2.0)]
     assert values(line_jobs.rating_count_mean(df)) == [("10", 2, 4.3), ("2", 2, 1.3)]
     assert line_jobs.rating_mean(df.filter("false")).count() == 0
 
