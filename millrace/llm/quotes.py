@@ -12,7 +12,7 @@ from millrace.storage import materialize
 _SLICE = 1_000
 
 # Leading quote marks of a line, blanks between them allowed.
-MARKS = r"^(?:\x20?>)+"
+MARKS = r"^(?:\x20?>)++"  # possessive: no recursion on very many marks
 
 
 def levelled(text: Column) -> Column:
