@@ -232,9 +232,9 @@ def exclude_sentinel(t: Tables):
 )
 def filter_param(t: Tables):
     """Values are bound, never formatted into the text."""
-    t.view("customer")
     return t.spark.sql(
-        "SELECT c_custkey, c_name FROM customer"
+        "SELECT c_custkey, c_name FROM {customer}"
         " WHERE c_mktsegment = :segment AND c_acctbal > :balance",
         args={"segment": "BUILDING", "balance": 1000},
+        customer=t.customer,
     )

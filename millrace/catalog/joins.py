@@ -180,10 +180,11 @@ def semi_exists(t: Tables):
     """,
 )
 def semi_in(t: Tables):
-    t.view("part", "lineitem")
     return t.spark.sql(
-        "SELECT p_partkey, p_name FROM part"
-        " WHERE p_partkey IN (SELECT DISTINCT l_partkey FROM lineitem WHERE l_quantity > 49)"
+        "SELECT p_partkey, p_name FROM {part}"
+        " WHERE p_partkey IN (SELECT DISTINCT l_partkey FROM {lineitem} WHERE l_quantity > 49)",
+        part=t.part,
+        lineitem=t.lineitem,
     )
 
 

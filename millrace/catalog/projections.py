@@ -34,8 +34,8 @@ def rename_cols(t: Tables):
 
 @query("P04", 'SELECT p_partkey AS id, p_name AS "My Great Product" FROM part')
 def alias_cols(t: Tables):
-    t.view("part")
-    return t.spark.sql("SELECT p_partkey id, p_name AS `My Great Product` FROM part")
+    text = "SELECT p_partkey id, p_name AS `My Great Product` FROM {part}"
+    return t.spark.sql(text, part=t.part)
 
 
 @query(

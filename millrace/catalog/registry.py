@@ -25,10 +25,6 @@ class Tables:
             raise AttributeError(name)
         return self.spark.read.parquet(self.path(name))
 
-    def view(self, *names: str) -> None:
-        for name in names:
-            getattr(self, name).createOrReplaceTempView(name)
-
 
 @dataclass(frozen=True)
 class Query:

@@ -165,12 +165,12 @@ def row_sum(t: Tables):
 )
 def arith_ops(t: Tables):
     """Integer division truncates; ``/`` keeps the fraction."""
-    t.view("lineitem")
     return t.spark.sql(
         "SELECT l_orderkey, l_linenumber, l_suppkey, l_orderkey + l_partkey AS plus,"
         " l_orderkey - l_partkey AS minus, l_partkey * 2 AS times,"
         " l_orderkey div (l_linenumber + 2) AS whole, l_orderkey % (l_linenumber + 2) AS rest,"
-        " l_orderkey / (l_linenumber + 2) AS ratio FROM lineitem"
+        " l_orderkey / (l_linenumber + 2) AS ratio FROM {lineitem}",
+        lineitem=t.lineitem,
     )
 
 
