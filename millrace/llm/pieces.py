@@ -5,9 +5,11 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ from millrace.llm.shipping import ship
 
 # Fixed values of the file format: the mark that stands for a blank.
 MARK = "▁"
-_BATCH_CHARS = 5_000_000
+# Characters of texts that are encoded together, and words a task remembers.
+_BATCH_CHARS = 4_000_000
+_MOST_WORDS = 300_000
 _UNKNOWN = 1 << 22  # added to the code point of a character without a piece
 _UNSET, _START = -2, -1
 
@@ -71,8 +75,16 @@ class Vocabulary:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
 
+class _Numbering(dict):
+    """Numbers for words in the order of their first use."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Matcher:
-    """Encodes batches of words; remembers which pieces can follow each other."""
+    """Encodes batches of words; remembers words and which pieces can follow each other."""
 
     def __init__(self, vocabulary: Vocabulary):
         v = self.v = vocabulary
@@ -86,6 +98,31 @@ class Matcher:
         self.keys = np.zeros(0, np.int64)
         self.fits = np.zeros(0, bool)
         self.whole = v.splits_at_blanks
+        self._forget()
+
+    def _forget(self) -> None:
+        self.words = _Numbering()
+        self.flat = np.zeros(0, np.int32)
+        self.begin = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int64)
+
+    def remembered(self) -> _Numbering:
+        """Words with their numbers; asking for a new one numbers it.
+
+        What was learned is dropped before a batch if it is too much.
+        """
+        if len(self.words) > _MOST_WORDS:
+            self._forget()
+        return self.words
+
+    def learn(self) -> None:
+        """Match the words numbered since the last time, as one batch text."""
+        new = list(islice(self.words, len(self.count), None))
+        ids, lengths = self.encode([MARK + u for u in new])
+        begin = len(self.flat) + np.append(0, np.cumsum(lengths))[:-1]
+        self.flat = np.append(self.flat, ids.astype(np.int32))
+        self.begin = np.append(self.begin, begin)
+        self.count = np.append(self.count, lengths)
 
     def suffixes(self, text: np.ndarray) -> np.ndarray:
         """Positions ordered by the ``width`` characters that follow, by doubling."""
@@ -108,34 +145,47 @@ class Matcher:
         """Start and piece of every occurrence, each piece searched in the suffix array."""
         order = self.suffixes(text)
         present = np.unique(text)
-        usable = np.isin(self.codes, present) | (self.codes < 0)
-        rows = np.flatnonzero(usable.all(axis=1))
-        codes = self.codes[rows]
+        usable = (np.isin(self.codes, present) | (self.codes < 0)).all(axis=1)
         padded = np.append(text, np.full(self.width, -1))
-        columns = np.arange(self.width)
-
-        def search(after: bool) -> np.ndarray:
-            low = np.zeros(len(rows), np.int64)
-            high = np.full(len(rows), len(order), np.int64)
-            while True:
-                open_ = low < high
-                if not open_.any():
-                    return low
-                middle = (low + high) // 2
-                at = order[np.minimum(middle, len(order) - 1)]
-                block = padded[at[:, None] + columns]
-                differs = (block != codes) & (codes >= 0)
-                first = differs.argmax(axis=1)
-                pick = np.arange(len(rows))
-                some = differs[pick, first]
-                less = np.where(some, block[pick, first] < codes[pick, first], after)
-                low = np.where(open_ & less, middle + 1, low)
-                high = np.where(open_ & ~less, middle, high)
-
-        begin, end = search(False), search(True)
-        counts = end - begin
-        starts = np.repeat(begin - np.append(0, np.cumsum(counts)[:-1]), counts)
-        return order[starts + np.arange(len(starts))], np.repeat(self.normal[rows], counts)
+        heads = text[order]
+        starts, pieces = [], []
+        # Short pieces need few characters compared.
+        longest = self.length[self.normal]
+        for least, most in ((1, 4), (5, 8), (9, self.width)):
+            rows = np.flatnonzero(usable & (longest >= least) & (longest <= most))
+            codes = self.codes[rows, :most]
+            begin = self._search(order, padded, heads, codes, False)
+            counts = self._search(order, padded, heads, codes, True) - begin
+            first = np.repeat(begin - np.append(0, np.cumsum(counts)[:-1]), counts)
+            starts.append(order[first + np.arange(len(first))])
+            pieces.append(np.repeat(self.normal[rows], counts))
+        return np.concatenate(starts), np.concatenate(pieces)
+
+    @staticmethod
+    def _search(
+        order: np.ndarray, padded: np.ndarray, heads: np.ndarray, codes: np.ndarray, after: bool
+    ) -> np.ndarray:
+        """First place in the suffix array not before each piece, or after all it begins."""
+        if not len(codes):
+            return np.zeros(0, np.int64)
+        low = np.searchsorted(heads, codes[:, 0], "left")
+        high = np.searchsorted(heads, codes[:, 0], "right")
+        columns = np.arange(codes.shape[1])
+        while True:
+            rows = np.flatnonzero(low < high)
+            if not len(rows):
+                return low
+            middle = (low[rows] + high[rows]) // 2
+            block = padded[order[middle][:, None] + columns]
+            wanted = codes[rows]
+            differs = (block != wanted) & (wanted >= 0)
+            first = differs.argmax(axis=1)
+            pick = np.arange(len(rows))
+            less = np.where(
+                differs[pick, first], block[pick, first] < wanted[pick, first], after
+            )
+            low[rows[less]] = middle[less] + 1
+            high[rows[~less]] = middle[~less]
 
     def may_follow(self, previous: np.ndarray, piece: np.ndarray) -> np.ndarray:
         """Whether merging the joined characters gives back just these two pieces."""
@@ -264,49 +314,38 @@ def units_of(text: str, whole: bool) -> list[str]:
     return [u[1:] for u in re.findall(f"{MARK}+[^{MARK}]+|{MARK}+$", marked)]
 
 
-class _Numbering(dict):
-    """Numbers for words in the order of their first use."""
-
-    def __missing__(self, word: str) -> int:
-        number = self[word] = len(self)
-        return number
-
-
 _MATCHERS: dict[int, Matcher] = {}
 
 
-def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+def _groups(lengths: list[int]) -> Iterator[tuple[int, int]]:
     """Runs of texts of about the batch size; a longer text is one run."""
     start = size = 0
-    for i, text in enumerate(texts):
-        if size and size + len(text) > _BATCH_CHARS:
+    for i, length in enumerate(lengths):
+        if size and size + length > _BATCH_CHARS:
             yield start, i
             start, size = i, 0
-        size += len(text)
-    if start < len(texts):
-        yield start, len(texts)
+        size += length
+    if start < len(lengths):
+        yield start, len(lengths)
 
 
 def encode_batch(matcher: Matcher, texts: list[str]) -> pa.ListArray:
-    """Ids per text: distinct words of the batch are matched once."""
-    parts = []
-    for low, high in _groups(texts):
-        seen = _Numbering()
-        words, counts = [], []
-        for text in texts[low:high]:
-            units = units_of(text, matcher.whole) if text else []
-            words.extend(map(seen.__getitem__, units))
-            counts.append(len(units))
-        ids, lengths = matcher.encode([MARK + u for u in seen])
-        index = np.array(words, np.int64)
-        begin = np.append(0, np.cumsum(lengths))[:-1]
-        sizes = lengths[index] if len(index) else np.zeros(0, np.int64)
-        ends = np.cumsum(sizes)
-        flat = ids[np.repeat(begin[index] - (ends - sizes), sizes) + np.arange(sizes.sum())]
-        texts_end = np.append(0, ends)[np.cumsum(counts)]
-        offsets = pa.array(np.append(0, texts_end).astype(np.int32))
-        parts.append(pa.ListArray.from_arrays(offsets, pa.array(flat.astype(np.int32))))
-    return pa.concat_arrays(parts) if parts else pa.array([], pa.list_(pa.int32()))
+    """Ids per text: words that are new to the matcher are matched, each once."""
+    counts, words = [], []
+    known = matcher.remembered()
+    for text in texts:
+        units = units_of(text, matcher.whole) if text else []
+        words.extend(map(known.__getitem__, units))
+        counts.append(len(units))
+    matcher.learn()
+    index = np.array(words, np.int64)
+    sizes = matcher.count[index] if len(index) else np.zeros(0, np.int64)
+    ends = np.cumsum(sizes)
+    flat = matcher.flat[
+        np.repeat(matcher.begin[index] - (ends - sizes), sizes) + np.arange(sizes.sum())
+    ]
+    offsets = np.append(0, ends)[np.append(0, np.cumsum(counts, dtype=np.int64))]
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat))
 
 
 def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, text="text") -> DataFrame:
@@ -315,8 +354,9 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, text="text") ->
     Ids equal those of the model's own encoder: a leading blank is added to a
     non-empty text, neighbours merge by score, leftmost first, and characters
     without a piece become bytes.  Null and empty texts have no ids.  A column
-    called ``ids`` is replaced.  No shuffle; a task holds one Arrow batch and
-    the index of about five million characters, or of one longer text.
+    called ``ids`` is replaced.  No shuffle.  A task holds one Arrow batch, the
+    words it remembers and the index of the new words of about four million
+    characters, or of one longer text.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -329,10 +369,13 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, text="text") ->
         if matcher is None or matcher.v.pieces != shared.value.pieces:
             matcher = _MATCHERS[key] = Matcher(shared.value)
         for batch in batches:
-            texts = [t or "" for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], encode_batch(matcher, texts)], [*rest, "ids"]
-            )
+            lengths = pc.fill_null(pc.utf8_length(batch.column(0)), 0).to_pylist()
+            for low, high in _groups(lengths):
+                part = batch.slice(low, high - low)
+                texts = [t or "" for t in part.column(0).to_pylist()]
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns[1:], encode_batch(matcher, texts)], [*rest, "ids"]
+                )
 
     schema = slim.select(*rest, F.lit(None).cast("array<int>").alias("ids")).schema
     return slim.mapInArrow(rows, schema)
