@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -115,30 +117,37 @@ def latest_before(rows: DataFrame, keys: list[str], mark: Column) -> DataFrame:
 def depths(nodes: DataFrame) -> DataFrame:
     """``thread, turn, depth`` from ``thread, turn, up``: parents up to the first message.
 
-    Parents have smaller turns, so there is no cycle.  Each round every message
-    jumps to the ancestor its ancestor points to: log2 of the depth rounds, two
-    numbers per message, each round written.
+    Parents have smaller turns, so there is no cycle.  Each round every open
+    message jumps to the ancestor its ancestor points to: log2 of the depth
+    rounds, two numbers per message, each round written.  A message whose first
+    ancestor is reached is done and only looked up, so long threads do not make
+    the short ones go along.
     """
-    paths = materialize(
-        nodes.select("thread", "turn", "up", F.col("up").isNotNull().cast("bigint").alias("depth")),
-        "quote-depths",
-    )
-    while not paths.filter("up IS NOT NULL").isEmpty():
-        x, y = paths.alias("x"), paths.alias("y")
-        paths = materialize(
-            x.join(
-                y,
-                (F.col("x.thread") == F.col("y.thread")) & (F.col("x.up") == F.col("y.turn")),
-                "left",
-            ).select(
-                "x.thread",
-                "x.turn",
-                F.col("y.up").alias("up"),
-                (F.col("x.depth") + F.coalesce("y.depth", F.lit(0))).alias("depth"),
+    parts = [
+        materialize(
+            nodes.select(
+                "thread", "turn", "up", F.col("up").isNotNull().cast("bigint").alias("depth")
             ),
             "quote-depths",
         )
-    return paths.select("thread", "turn", "depth")
+    ]
+    while True:
+        known = reduce(DataFrame.unionByName, parts)
+        last = parts.pop()
+        going = last.filter("up IS NOT NULL")
+        if going.isEmpty():
+            return known.select("thread", "turn", "depth")
+        parts.append(last.filter("up IS NULL"))
+        x, y = going.alias("x"), known.alias("y")
+        jumped = x.join(
+            y, (F.col("x.thread") == F.col("y.thread")) & (F.col("x.up") == F.col("y.turn"))
+        ).select(
+            "x.thread",
+            "x.turn",
+            F.col("y.up").alias("up"),
+            (F.col("x.depth") + F.col("y.depth")).alias("depth"),
+        )
+        parts.append(materialize(jumped, "quote-depths"))
 
 
 def _numbered(linked: DataFrame) -> DataFrame:
