@@ -85,14 +85,16 @@ ODD = ["", None, " \t\n", "one", "ONE", "one two", "a b c d e", "A B  C\nD e", "
        "é É é É é", "x " * 4000, "x " * 4001]
 
 
-@pytest.mark.parametrize("frequent, block, rounds", [(64, 256, 4), (3, 4, 1), (2, 8, 0)])
-def test_against_brute_force(make, family, monkeypatch, frequent, block, rounds):
+@pytest.mark.parametrize(
+    "frequent, block, rounds, large", [(64, 256, 4, 64), (3, 4, 3, 2), (3, 4, 1, 9), (2, 8, 0, 64)]
+)
+def test_against_brute_force(make, family, monkeypatch, frequent, block, rounds, large):
     """The same components however sets are ordered, cut into blocks and tried in rounds."""
     monkeypatch.setattr(ngram_join, "FREQUENT_FROM", frequent)
     texts = family + ODD
     docs = make([(1000 - 3 * i, t, "s") for i, t in enumerate(texts)]).repartition(5)
     rows = [(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()]
-    got = join_documents(docs, block=block, rounds=rounds).collect()
+    got = join_documents(docs, block=block, rounds=rounds, large_group=large).collect()
     assert sorted(map(tuple, got), key=str) == sorted(brute(rows), key=str)
 
 
@@ -141,6 +143,17 @@ def test_tree_join_connects_what_pairs_connect(family):
                 assert find(i) == find(j)
 
 
+def test_sketches_bound_the_overlap():
+    rng = np.random.default_rng(3)
+    pool = rng.integers(0, 1 << 63, 6000, dtype=np.uint64)
+    for n in (1, 5, 300, 600, 2000, 5000):
+        for m in (1, 300, 700, 4000):
+            a, b = rng.choice(pool, n, False), rng.choice(pool, m, False)
+            bound = ngram_join.most_overlap(ngram_join.sketch(a), ngram_join.sketch(b))
+            assert len(np.intersect1d(a, b)) <= bound <= min(n, m)
+    assert ngram_join.most_overlap(ngram_join.sketch(a), ngram_join.sketch(a)) == len(a)
+
+
 def test_shingle_hashes_agree_with_words(texts):
     some = list(texts.values())[:150] + ["x" * 3_000_000 + " a b c d e", *ODD]
     plain = [shingles(t) for t in some]

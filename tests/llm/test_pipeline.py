@@ -4,8 +4,8 @@ import re
 
 import numpy as np
 import sentencepiece
-from test_ngram_join import brute
-from test_spans import secret_spans
+from llm.test_ngram_join import brute
+from llm.test_spans import secret_spans
 
 import corpus_pipeline
 from millrace.llm import classifier
