@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.shingles import WIDTH, set_id, shingle_sets
 from millrace.llm.shipping import ship
-from millrace.llm.trie import join_block
+from millrace.llm.trie import join_block, similar
 from millrace.storage import materialize
 
 PERCENT = 80
@@ -24,12 +24,34 @@ FREQUENT_FROM = 64
 MOST_FREQUENT = 1 << 20
 BLOCK = 256
 ROUNDS = 4
+# Groups of more sets are joined in blocks before their pairs are looked at.
+LARGE_GROUP = 64
+_MOST_BINS = 1 << 16
+# Size of the bitmap of wanted texts, 4 MiB; a power of two.
+_BITMAP_BITS = 1 << 25
 _CELL = np.uint64(0xFFFFFF)
 _FLUSH = 4_000_000
 
 
+def sketch(shingles: np.ndarray) -> bytes:
+    """Elements per hash bin, about eight to a bin: bounds the overlap of two sets."""
+    bins = 64
+    while bins < _MOST_BINS and bins * 8 < len(shingles):
+        bins *= 2
+    place = (shingles & np.uint64(bins - 1)).astype(np.int64)
+    return np.bincount(place, minlength=bins).astype(np.uint32).tobytes()
+
+
+def most_overlap(a: bytes, b: bytes) -> int:
+    """No two sets with these sketches share more elements."""
+    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    n = min(len(x), len(y))
+    x, y = x.reshape(-1, n).sum(axis=0), y.reshape(-1, n).sum(axis=0)
+    return int(np.minimum(x, y).sum())
+
+
 def describe_sets(docs: DataFrame, *, doc_id="doc_id", text="text", width: int = WIDTH):
-    """``doc_id, text_key, n, sid`` per row: size and digest of the shingle set."""
+    """``doc_id, text_key, n, sid, sketch`` per row, of the shingle set."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -40,15 +62,16 @@ def describe_sets(docs: DataFrame, *, doc_id="doc_id", text="text", width: int =
                     batch.column(1),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_id(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([sketch(s) if len(s) else None for s in sets], pa.binary()),
                 ],
-                ["doc_id", "text_key", "n", "sid"],
+                ["doc_id", "text_key", "n", "sid", "sketch"],
             )
 
     keyed = docs.select(
         F.col(doc_id).alias("doc_id"), F.md5(text).alias("text_key"), F.col(text).alias("text")
     )
     kind = keyed.schema["doc_id"].dataType.simpleString()
-    return keyed.mapInArrow(rows, f"doc_id {kind}, text_key string, n long, sid long")
+    return keyed.mapInArrow(rows, f"doc_id {kind}, text_key string, n long, sid long, sketch binary")
 
 
 def _distinct_sets(
@@ -247,6 +270,101 @@ def _join_blocks(blocks: DataFrame, percent: int, width: int) -> DataFrame:
     return slim.groupBy("block", "salt").applyInArrow(links, "a long, b long")
 
 
+def _with_texts(sids: DataFrame, chosen: DataFrame, texts: DataFrame) -> DataFrame:
+    """``sid, text`` of one text per set; other texts do not leave their task.
+
+    A bitmap of fixed size says which digests may be wanted; only such texts
+    reach the exact join.  If very many are wanted it lets more pass, never
+    less.
+    """
+    keys = materialize(sids.join(chosen, "sid").select("sid", "text_key"), "ngram-keys")
+    word = F.shiftright(F.pmod(F.xxhash64("text_key"), F.lit(_BITMAP_BITS)), 6)
+    bit = F.call_function(
+        "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64("text_key"), F.lit(64)).cast("int")
+    )
+    words = keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    # At most _BITMAP_BITS / 64 rows of two numbers.
+    found = words.toPandas()
+    bitmap = np.zeros(_BITMAP_BITS // 64, np.int64)
+    bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+
+    def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = batch.column(0).to_numpy()
+            hit = (shared.value[at >> 6] >> (at & 63)) & 1 == 1
+            if hit.any():
+                yield batch.filter(pa.array(hit))
+
+    place = F.pmod(F.xxhash64("text_key"), F.lit(_BITMAP_BITS)).alias("place")
+    passed = (
+        texts.filter("text_key IS NOT NULL")
+        .select(place, "text_key", "text")
+        .mapInArrow(maybe, "place long, text_key string, text string")
+    )
+    # One plan for every size: the keys grow with the corpus, so no broadcast.
+    both = passed.join(keys.hint("merge"), "text_key").select("sid", "text")
+    return both.dropDuplicates(["sid"])
+
+
+def _possible(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose sketches leave room for the threshold; drops no similar pair."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = zip(batch.column("a_n").to_pylist(), batch.column("b_n").to_pylist())
+            bounds = zip(batch.column("a_sketch").to_pylist(), batch.column("b_sketch").to_pylist())
+            keep = [
+                similar(most_overlap(x, y), a, b, percent)
+                for (a, b), (x, y) in zip(sizes, bounds)
+            ]
+            yield batch.filter(pa.array(keep, pa.bool_())).select(
+                ["a", "a_label", "b", "b_label"]
+            )
+
+    a = chosen.select(F.col("sid").alias("a"), F.col("sketch").alias("a_sketch"))
+    b = chosen.select(F.col("sid").alias("b"), F.col("sketch").alias("b_sketch"))
+    both = pairs.join(a, "a").join(b, "b")
+    return both.mapInArrow(rows, "a long, a_label long, b long, b_label long")
+
+
+def _settle(
+    pairs: DataFrame,
+    labels: DataFrame,
+    chosen: DataFrame,
+    texts: DataFrame,
+    percent: int,
+    width: int,
+    block: int,
+) -> DataFrame:
+    """Labels after the pairs between different components are compared."""
+    open_pairs = (
+        pairs.filter("a_label <> b_label")
+        .filter(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
+        .select(
+            F.col("a_sid").alias("a"), "a_n", "a_label", F.col("b_sid").alias("b"), "b_n", "b_label"
+        )
+        .distinct()
+    )
+    left = materialize(_possible(open_pairs, chosen, percent), "ngram-pairs")
+    many = left.groupBy("a", "a_label").agg(F.ceil(F.count("*") / block).alias("parts"))
+    spread = left.join(many.select("a", "parts"), "a").select(
+        F.col("a").alias("block"),
+        F.pmod(F.xxhash64("b"), "parts").alias("salt"),
+        F.col("b").alias("sid"),
+        F.col("b_label").alias("label"),
+    )
+    centres = many.select(
+        F.col("a").alias("block"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("salt"),
+        F.col("a").alias("sid"),
+        F.col("a_label").alias("label"),
+    )
+    wanted = materialize(spread.unionByName(centres), "ngram-wanted")
+    blocks = wanted.join(_with_texts(wanted.select("sid").distinct(), chosen, texts), "sid")
+    return _relabel(labels, materialize(_join_blocks(blocks, percent, width), "ngram-links"))
+
+
 def _relabel(labels: DataFrame, links: DataFrame) -> DataFrame:
     merged = components(links)
     moved = labels.join(merged, labels["label"] == merged["node"], "left")
@@ -264,6 +382,7 @@ def join_documents(
     width: int = WIDTH,
     rounds: int = ROUNDS,
     block: int = BLOCK,
+    large_group: int = LARGE_GROUP,
 ) -> DataFrame:
     """Components of documents linked by Jaccard similarity of their shingles.
 
@@ -276,12 +395,15 @@ def join_documents(
 
     1. Shingles are counted to put frequent ones last in the global order.
     2. Sets that share a prefix element meet in a group (`postings`).
-    3. In a few rounds, open groups (of more than one component) are cut into
-       blocks of ``block`` sets; each block is joined by a local prefix tree.
-       Connected sets are not compared again, so a cluster of thousands of near
-       copies costs a few blocks, not its pairs.
-    4. Pairs of sets that still share a group but no component are compared one
-       by one, in blocks around one of them: exact, whatever the rounds left.
+    3. In a few rounds, open groups (of more than one component) of more than
+       ``large_group`` sets are cut into blocks of ``block`` sets; each block is
+       joined by a local prefix tree.  Connected sets are not compared again,
+       so a cluster of thousands of near copies costs a few blocks, not its
+       pairs.
+    4. Each set is paired with one set of each of its groups, then with all that
+       still share a group but no component.  Of these pairs those whose
+       sketches leave room for the threshold are joined by a prefix tree around
+       one of the two: exact, whatever the rounds left.
 
     Links between sets are complete as far as components go; pairs inside a
     component are not listed.
@@ -298,25 +420,29 @@ def join_documents(
     )
     open_sets = groups.select("sid").distinct()
     # One text of each set that is in a group, found by the digest of the text.
-    keys = (
+    chosen = (
         described.filter("n > 0")
         .join(open_sets, "sid", "left_semi")
         .groupBy("sid")
-        .agg(F.min("text_key").alias("text_key"))
+        .agg(F.min("text_key").alias("text_key"), F.min("sketch").alias("sketch"))
     )
+    chosen = materialize(chosen, "ngram-chosen")
     texts = docs.select(F.md5(text).alias("text_key"), F.col(text).alias("text"))
-    members = materialize(
-        texts.join(keys, "text_key").dropDuplicates(["sid"]).select("sid", "text"),
-        "ngram-members",
-    )
     labels = open_sets.select("sid", F.col("sid").alias("label"))
-    for turn in range(rounds):
-        placed = groups.join(labels, "sid")
+    large = groups.groupBy("g").agg(F.count("*").alias("m")).filter(F.col("m") > large_group)
+    large = materialize(large, "ngram-large")
+    crowded = materialize(groups.join(large, "g"), "ngram-crowded")
+    members = _with_texts(crowded.select("sid").distinct(), chosen, texts)
+    turns = 0 if crowded.isEmpty() else rounds
+    if turns:
+        members = materialize(members, "ngram-members")
+    for turn in range(turns):
+        placed = crowded.join(labels, "sid")
         unsettled = (
             placed.groupBy("g")
-            .agg(F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"))
+            .agg(F.min("label").alias("low"), F.max("label").alias("high"))
             .filter("low <> high")
-            .select("g", "m")
+            .select("g")
         )
         still = placed.join(unsettled, "g")
         if turn:
@@ -341,33 +467,23 @@ def join_documents(
         if links.isEmpty():
             break
         labels = _relabel(labels, links)
+    # Each set of a group against one of them: a line of pairs, not all.
     placed = groups.join(labels, "sid")
-    a, b = placed.alias("a"), placed.alias("b")
-    rest = (
-        a.join(b, F.col("a.g") == F.col("b.g"))
-        .filter("a.label <> b.label AND a.sid < b.sid")
-        .filter(f"100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)")
-        .select(
-            F.col("a.sid").alias("block"),
-            F.col("a.label").alias("own"),
-            F.col("b.sid").alias("sid"),
-            F.col("b.label").alias("label"),
-        )
-        .distinct()
+    first = placed.groupBy("g").agg(
+        F.min_by(F.struct("sid", "n", "label"), F.xxhash64("sid")).alias("first")
     )
-    rest = materialize(rest, "ngram-rest")
-    many = rest.groupBy("block", "own").agg(F.ceil(F.count("*") / block).alias("parts"))
-    spread = rest.join(many.select("block", "parts"), "block").select(
-        "block", F.pmod(F.xxhash64("sid"), "parts").alias("salt"), "sid", "label"
+    one = placed.join(first, "g").select(
+        *[F.col(f"first.{c}").alias(f"a_{c}") for c in ("sid", "n", "label")],
+        *[F.col(c).alias(f"b_{c}") for c in ("sid", "n", "label")],
     )
-    centres = many.select(
-        "block",
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)).alias("salt"),
-        F.col("block").alias("sid"),
-        F.col("own").alias("label"),
+    labels = _settle(one, labels, chosen, texts, percent, width, block)
+    # Then whatever still shares a group but no component.
+    placed = groups.join(labels, "sid")
+    a, b = placed.alias("a"), placed.alias("b")
+    rest = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.sid") < F.col("b.sid"))).select(
+        *[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in ("sid", "n", "label")]
     )
-    blocks = spread.unionByName(centres).join(members, "sid")
-    labels = _relabel(labels, materialize(_join_blocks(blocks, percent, width), "ngram-links"))
+    labels = _settle(rest, labels, chosen, texts, percent, width, block)
     # Documents to sets to components to smallest ids; sets in no group are alone.
     filled = described.filter("n > 0").join(labels, "sid", "left")
     filled = filled.select("doc_id", "n", F.coalesce("label", "sid").alias("label"))
