@@ -124,8 +124,8 @@ def scan_secrets(
     ``start, rank, end, kind, verdict`` (kind ``live``).  The verdict belongs
     to the value, so equal texts are judged once and the place lists are
     joined back by a digest of the text, not by doc_id: repeated and null
-    doc_ids are safe.  Rows without a candidate, nearly all, bypass that join;
-    the rest, with copies of one text among them, is an outer join whose large
+    doc_ids are safe.  Rows without a span or candidate, nearly all, have no
+    ``text_key`` and bypass that join; the rest, with copies of one text among them, is an outer join whose large
     side AQE can split.  Null text: no spans.  Empty table: empty result.
     Other columns are ignored.
     """
@@ -143,7 +143,7 @@ def scan_secrets(
             "doc_id",
             "owner",
             "repo",
-            F.when(F.size("places") > 0, F.md5("text")).alias("text_key"),
+            F.when((F.size("base") > 0) | (F.size("places") > 0), F.md5("text")).alias("text_key"),
             "base",
             "places",
         ),
@@ -212,8 +212,8 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, *, text="text", mask: str = "<secret>", **names) -> DataFrame:
     """``docs`` with every secret masked that is not a widely copied example.
 
-    Keeps all rows and columns.  Texts without a candidate are untouched and
-    not shuffled.  The spans of a text are found again by its digest.
+    Keeps all rows and columns.  Base spans of little variety are masked too.
+    Texts without a span or candidate are untouched and not shuffled.  The spans of a text are found again by its digest.
     """
     found = scan_secrets(docs, text=text, **names)
     # What a base span assigns or is, unless the value is an example.
