@@ -93,13 +93,22 @@ def candidates(text: Column, base: Column) -> Column:
     )
 
 
-def ownership(sightings: DataFrame, live_owners: int = 1, example_owners: int = 3) -> DataFrame:
+def ownership(
+    sightings: DataFrame,
+    live_owners: int = 1,
+    example_owners: int = 3,
+    live_repos: int = 3,
+    example_repos: int = 10,
+) -> DataFrame:
     """Verdict per candidate hash from ``value_hash, owner, repo`` rows.
 
-    ``live``: at most ``live_owners`` distinct owners; ``example``: at least
-    ``example_owners``, a value copied from documentation; else ``shared``.
-    A null owner or repository counts as one.  Every grouping is summed before
-    it is shuffled, so a value in a third of all rows is one row per task.
+    ``live``: at most ``live_owners`` distinct owners and ``live_repos``
+    distinct repositories; ``example``: at least ``example_owners`` or
+    ``example_repos``, a value copied from documentation, be it inside one
+    owner; else ``shared``.  Repositories of the same name with different
+    owners are different.  A null owner or repository counts as one.  Every
+    grouping is summed before it is shuffled, so a value in a third of all rows
+    is one row per task and repository.
     """
     per_repo = sightings.groupBy("value_hash", "owner", "repo").agg(F.lit(1).alias("one"))
     per_owner = per_repo.groupBy("value_hash", "owner").agg(F.sum("one").alias("repos"))
@@ -107,8 +116,10 @@ def ownership(sightings: DataFrame, live_owners: int = 1, example_owners: int =
         F.sum("repos").alias("repos"), F.count("*").alias("owners")
     )
     verdict = (
-        F.when(F.col("owners") <= live_owners, "live")
-        .when(F.col("owners") >= example_owners, "example")
+        F.when(
+            (F.col("owners") >= example_owners) | (F.col("repos") >= example_repos), "example"
+        )
+        .when((F.col("owners") <= live_owners) & (F.col("repos") <= live_repos), "live")
         .otherwise("shared")
     )
     return per_value.withColumn("verdict", verdict)
