@@ -81,48 +81,25 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[spans(kind) for kind in tests]))
 
 
-def _context(text: Column, base: Column, window: int) -> Column:
-    """Terms near each base span: ``entity, start, end, term``, all distinct."""
-
-    def terms(piece: Column, offset: Column, cut_left: Column, cut_right: Column) -> Column:
-        # A term that touches a cut edge may be a part of a word: left out.
-        whole = F.filter(
-            matches(piece, TERM),
-            lambda m: ~(cut_left & (m["start"] == 0))
-            & ~(cut_right & (m["end"] == F.length(piece))),
-        )
-        return F.transform(
-            whole,
-            lambda m: F.struct(
-                (m["start"] + offset).alias("start"),
-                (m["end"] + offset).alias("end"),
-                F.lower(m["value"]).alias("term"),
-            ),
-        )
+def _outside(text: Column, base: Column) -> Column:
+    """The text with blanks in place of its base spans, of the same length."""
+    blanked = F.aggregate(
+        base,
+        text,
+        lambda out, s: F.overlay(
+            out,
+            F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")),
+            (s["start"] + 1).cast("int"),
+            (s["end"] - s["start"]).cast("int"),
+        ),
+    )
+    return F.when(F.size(base) > 0, blanked).otherwise(text)
 
-    def near(span: Column) -> Column:
-        first = F.greatest(span["start"] - window, F.lit(0))
-        left = F.substring(text, (first + 1).cast("int"), (span["start"] - first).cast("int"))
-        right = F.substring(text, (span["end"] + 1).cast("int"), F.lit(window))
-        more = F.length(text) > span["end"] + window
-        return F.transform(
-            F.concat(
-                terms(left, first, first > 0, F.lit(False)),
-                terms(right, span["end"], F.lit(False), more),
-            ),
-            lambda t: F.struct(
-                F.sha2(F.concat_ws(":", span["kind"], span["value"]), 256).alias("entity"),
-                t["start"].alias("start"),
-                t["end"].alias("end"),
-                t["term"].alias("term"),
-            ),
-        )
 
-    found = F.array_distinct(F.flatten(F.transform(base, near)))
-    return F.filter(
-        found,
-        lambda t: ~F.exists(base, lambda s: (t["start"] < s["end"]) & (s["start"] < t["end"])),
-    )
+def _terms(text: Column) -> Column:
+    """Distinct terms of a text in lower case."""
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TERM), F.lit(0))
+    return F.array_distinct(F.transform(found, F.lower))
 
 
 def disclosure(n: Column, both: Column, entity: Column, term: Column) -> Column:
@@ -142,38 +119,38 @@ def find_disclosures(
     *,
     doc_id="doc_id",
     text="text",
-    window: int = 64,
     support: int = 2,
     remove_at: float = 0.9,
     generalise_at: float = 0.6,
 ) -> DataFrame:
-    """Personal data of each document and the nearby terms that reveal it.
+    """Personal data of each document and the terms that reveal it.
 
-    A term within ``window`` code points of an entity is judged by document
+    A term anywhere in the text of an entity is judged by document
     co-occurrence over the whole corpus, if at least ``support`` different
     texts show the pair: from ``remove_at`` it is removed, from
-    ``generalise_at`` generalised.
+    ``generalise_at`` generalised, at every place in the texts of the entity.
+    What stands inside personal data is no term, for no count.
 
     Returns ``doc_id, text_key, base, marks``, one row per row of ``docs``;
     ``base`` and ``marks`` hold ``start, rank, end, kind``, ``base`` also the
     value.  ``text_key`` is null where there is no personal data; such rows
     are not joined with anything.  Marks are found per text and joined by its
     digest, so copies are judged once and repeated or null doc_ids are safe.
-    The texts are read twice and never shuffled; only words that are candidates
-    reach the count.  Null text: no spans.  Empty table: empty result.  Other
-    columns are ignored.
+    The texts are read twice; only those with personal data are shuffled, one
+    of a copy and task.  Words are counted in the tasks before they are
+    shuffled.  Pairs are made only of entities and terms of ``support`` texts
+    and where the document counts leave room for ``generalise_at``, as a pair is
+    in no more documents than its entity.  Null text: no spans.  Empty table:
+    empty result.  Other columns are ignored.
     """
     body = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     based = body.select("*", base_spans(F.col("text")).alias("base"))
-    none = F.array().cast("array<struct<entity:string,start:bigint,end:bigint,term:string>>")
     scanned = materialize(
         based.select(
             "doc_id",
             F.when(F.size("base") > 0, F.md5("text")).alias("text_key"),
             "base",
-            F.when(F.size("base") > 0, _context(F.col("text"), F.col("base"), window))
-            .otherwise(none)
-            .alias("near"),
+            F.when(F.size("base") > 0, F.col("text")).alias("text"),
         ),
         "private-scan",
     )
@@ -182,49 +159,100 @@ def find_disclosures(
     entities = F.array_distinct(
         F.transform("base", lambda s: F.sha2(F.concat_ws(":", s["kind"], s["value"]), 256))
     )
+    # One row per different text.
+    texts = (
+        flagged.groupBy("text_key")
+        .agg(F.count("*").alias("rows"), F.first("base").alias("base"), F.first("text").alias("text"))
+        .select("text_key", "rows", entities.alias("entities"), "base", "text")
+        .withColumn("outside", _outside(F.col("text"), F.col("base")))
+    )
+    hidden = F.array_except(_terms(F.col("text")), _terms(F.col("outside")))
+    texts = materialize(
+        texts.select("text_key", "rows", "entities", "outside", hidden.alias("hidden")),
+        "private-texts",
+    )
     per_entity = (
-        flagged.select(F.explode(entities).alias("entity"))
+        texts.select("rows", F.explode("entities").alias("entity"))
         .groupBy("entity")
-        .agg(F.count("*").alias("n_entity"))
-    )
-    pairs = F.array_distinct(F.transform("near", lambda t: F.struct(t["entity"], t["term"])))
-    together = (
-        flagged.select("text_key", F.explode(pairs).alias("pair"))
-        .groupBy("pair.entity", "pair.term", "text_key")
-        .agg(F.count("*").alias("rows"))
-        .groupBy("entity", "term")
-        .agg(F.sum("rows").alias("n_both"), F.count("*").alias("texts"))
+        .agg(F.sum("rows").alias("n_entity"), F.count("*").alias("texts"))
         .filter(F.col("texts") >= support)
+        .select("entity", "n_entity")
     )
-    together = materialize(together, "private-pairs")
-    wanted = materialize(together.select("term").distinct(), "private-terms")
-    spoken = F.array_distinct(
-        F.transform(
-            F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(TERM), F.lit(0)), F.lower
-        )
+    per_entity = materialize(per_entity, "private-entities")
+    held = materialize(
+        texts.select("text_key", F.explode("entities").alias("entity"))
+        .join(per_entity, "entity")
+        .groupBy("text_key")
+        .agg(F.collect_list(F.struct("entity", "n_entity")).alias("held")),
+        "private-held",
+    )
+    spoken = materialize(
+        texts.join(held, "text_key").select(
+            "text_key", "rows", F.explode(_terms(F.col("outside"))).alias("term")
+        ),
+        "private-terms",
+    )
+    wanted = spoken.groupBy("term").agg(F.count("*").alias("texts"))
+    wanted = wanted.filter(F.col("texts") >= support).select("term")
+    # Of documents with the term, those that have it only inside personal data do not count.
+    inside = (
+        texts.select("rows", F.explode("hidden").alias("term"))
+        .groupBy("term")
+        .agg(F.sum("rows").alias("n_inside"))
     )
     per_term = (
-        body.select(F.explode(spoken).alias("term"))
-        .join(wanted, "term", "left_semi")
+        body.select(F.explode(_terms(F.col("text"))).alias("term"))
         .groupBy("term")
-        .agg(F.count("*").alias("n_term"))
+        .agg(F.count("*").alias("n_all"))
+        .join(wanted, "term")
+        .join(inside, "term", "left")
+        .select("term", (F.col("n_all") - F.coalesce("n_inside", F.lit(0))).alias("n_term"))
+    )
+
+    def room(entity: Column) -> Column:
+        # The share if all documents of the entity hold the term; the slack is for rounding.
+        most = disclosure(F.lit(float(n)), entity, entity, F.col("n_term"))
+        return most >= generalise_at - 1e-9
+
+    largest = per_entity.agg(F.max("n_entity")).first()[0] or 1
+    per_term = materialize(per_term.filter(room(F.lit(largest))), "private-counts")
+    pairs = materialize(
+        spoken.join(per_term, "term")
+        .join(held, "text_key")
+        .select(
+            "text_key",
+            "rows",
+            "term",
+            "n_term",
+            F.explode(F.filter("held", lambda e: room(e["n_entity"]))).alias("e"),
+        )
+        .select("text_key", "rows", "term", "n_term", "e.entity", "e.n_entity"),
+        "private-pairs",
+    )
+    together = pairs.groupBy("entity", "term", "n_entity", "n_term").agg(
+        F.sum("rows").alias("n_both"), F.count("*").alias("texts")
     )
     share = disclosure(F.lit(float(n)), F.col("n_both"), F.col("n_entity"), F.col("n_term"))
     revealing = (
-        together.join(per_entity, "entity")
-        .join(per_term, "term")
+        together.filter(F.col("texts") >= support)
         .withColumn("share", share)
         .filter(F.col("share") >= generalise_at)
         .select("entity", "term", "share")
     )
-    strongest = (
-        flagged.groupBy("text_key")
-        .agg(F.first("near").alias("near"))
-        .select("text_key", F.explode("near").alias("t"))
-        .select("text_key", "t.*")
+    # Every place of a revealing term in the texts of its entity.
+    told = materialize(
+        pairs.select("text_key", "entity", "term")
         .join(revealing, ["entity", "term"])
-        .groupBy("text_key", "start", "end")
-        .agg(F.max("share").alias("share"))
+        .groupBy("text_key", "term")
+        .agg(F.max("share").alias("share")),
+        "private-told",
+    )
+    strongest = (
+        texts.join(told.select("text_key").distinct(), "text_key", "left_semi")
+        .select("text_key", F.explode(matches(F.col("outside"), TERM)).alias("m"))
+        .select("text_key", "m.start", "m.end", F.lower("m.value").alias("term"))
+        .join(told, ["text_key", "term"])
+        .select("text_key", "start", "end", "share")
     )
     kind = F.when(F.col("share") >= remove_at, "remove").otherwise("generalise")
     rank = F.when(F.col("share") >= remove_at, KINDS.index("remove")).otherwise(

@@ -194,6 +194,34 @@ def test_disclosing_terms(make):
     assert texts[4] == "common <email> unique" and texts[11] == "common text number 1"
 
 
+def test_disclosing_terms_far_away(make):
+    """Terms count and are marked wherever they stand, beside the entity or not."""
+    far = " filler" * 40
+    rows = [
+        (1, f"zorblax{far} ann@mail.example.com{far} Zorblax", "s"),
+        (2, f"ann@mail.example.com and{far} zorblax{far} zorblax again", "s"),
+        (3, f"ann@mail.example.com other{far}", "s"),
+        # Alone or inside personal data: neither is the term beside an entity.
+        (4, "zorblax@mail.example.com", "s"),
+        (5, "zorblax@mail.example.com once more", "s"),
+    ] + [(10 + i, f"filler and other text again {i}", "s") for i in range(40)]
+    found = {
+        r["doc_id"]: r["spans"].split(",")
+        for r in privacy.digest(privacy.find_disclosures(make(rows))).collect()
+    }
+    kinds = ("remove", "generalise")
+    for i, text, _ in rows:
+        # Two of three documents: log2(45 * 2 / (3 * 2)) of log2(45 / 3) is all.
+        want = [
+            f"remove:{m.start()}:{m.end()}"
+            for m in re.finditer(r"\bzorblax\b(?!@)", text, re.I)
+        ]
+        assert [s for s in found[i] if s.startswith(kinds)] == want, (i, found[i])
+    clean = {r["doc_id"]: r["text"] for r in privacy.sanitise(make(rows)).collect()}
+    assert not [t for t in clean.values() if "zorblax" in t.lower()]
+    assert clean[1] == f"<removed>{far} <email>{far} <removed>"
+
+
 def test_many_spans_and_masks(spark):
     text = "é " + "ab1 " * 2_000 + "🙂"
     df = spark.createDataFrame([(text,), (None,), ("",)], "t string")
