@@ -88,6 +88,81 @@ def _units(text: Column) -> Column:
     )
 
 
+def _parts(body: Column) -> Column:
+    """Paragraphs of a quoted passage of two or more lines, as hashes: ``whole, lines``."""
+
+    def hashes(pieces: Column) -> Column:
+        kept = F.filter(F.transform(pieces, normal), lambda p: F.length(p) > 0)
+        return F.array_distinct(F.transform(kept, lambda p: F.xxhash64(p)))
+
+    paragraphs = F.transform(
+        F.filter(F.split(body, r"\n[\x20\t]*\n"), lambda p: F.length(normal(p)) > 0),
+        lambda p: F.struct(
+            F.xxhash64(normal(p)).alias("whole"), hashes(F.split(p, "\n")).alias("lines")
+        ),
+    )
+    none = F.array().cast("array<struct<whole:bigint,lines:array<bigint>>>")
+    return F.when(body.contains("\n"), paragraphs).otherwise(none)
+
+
+def _held_in_parts(sets: DataFrame, originals: DataFrame) -> DataFrame:
+    """``thread, turn, hash`` of originals that hold all parts of a passage.
+
+    ``sets`` has ``set, hash, parts``, each different passage once.  An original
+    holds a paragraph as such or by all of its lines.  Only the originals of a
+    passage's rarest paragraph, by its rarest line, are tried for the rest.
+    """
+    parts = sets.select("set", F.posexplode("parts").alias("nth", "part"))
+    # A paragraph is one element of its own and one per line.
+    elements = parts.select(
+        "set",
+        "nth",
+        F.size("part.lines").alias("lines"),
+        F.explode(
+            F.concat(
+                F.array(F.struct(F.col("part.whole").alias("hash"), F.lit(True).alias("whole"))),
+                F.transform(
+                    "part.lines", lambda h: F.struct(h.alias("hash"), F.lit(False).alias("whole"))
+                ),
+            )
+        ).alias("e"),
+    ).select("set", "nth", "lines", "e.hash", "e.whole")
+    counts = originals.groupBy("hash").agg(F.count("*").alias("holders"))
+    counted = materialize(
+        elements.join(counts, "hash", "left").withColumn(
+            "holders", F.coalesce("holders", F.lit(0))
+        ),
+        "quote-elements",
+    )
+    rarest = (
+        counted.groupBy("set", "nth", "whole")
+        .agg(F.min(F.struct("holders", "hash")).alias("rare"))
+        .groupBy("set", "nth")
+        .agg(F.sum("rare.holders").alias("cost"), F.collect_list("rare.hash").alias("rare"))
+        .groupBy("set")
+        .agg(F.min(F.struct("cost", "nth", "rare")).alias("best"))
+        .select("set", F.explode("best.rare").alias("hash"))
+    )
+    tried = rarest.join(originals, "hash").select("set", "thread", "turn").distinct()
+    covered = (
+        tried.join(counted.filter("holders > 0"), "set")
+        .join(originals, ["thread", "turn", "hash"])
+        .groupBy("set", "thread", "turn", "nth", "lines")
+        .agg(
+            F.max("whole").alias("whole"),
+            F.sum((~F.col("whole")).cast("int")).alias("found"),
+        )
+        .filter("whole OR found = lines")
+        .groupBy("set", "thread", "turn")
+        .agg(F.count("*").alias("covered"))
+    )
+    return (
+        covered.join(sets.select("set", "hash", F.size("parts").alias("all")), "set")
+        .filter("covered = all")
+        .select("thread", "turn", "hash")
+    )
+
+
 def latest_before(rows: DataFrame, keys: list[str], mark: Column) -> DataFrame:
     """``rows`` with ``latest``: the greatest smaller ``turn`` of a marked row of the keys.
 
@@ -185,7 +260,9 @@ def link_quotes(
     """Messages in reply order, without quotations, with the message each answers.
 
     A quoted passage is looked up by the hash of its normalised text among the
-    unquoted text of all messages, their paragraphs and their lines: the latest
+    unquoted text of all messages, their paragraphs and their lines; a message
+    that holds all its paragraphs, as such or by their lines, is an original of
+    it too.  Its original is the latest
     of them in the same thread before the reply, else the first in another
     thread if no third thread holds it.  The parent is the original of a
     passage of the lowest quote level, in the own thread if possible, of
@@ -226,7 +303,9 @@ def link_quotes(
     asks = F.transform(
         "quotes",
         lambda q: F.struct(
-            q["level"].alias("level"), F.xxhash64(normal(q["body"])).alias("hash")
+            q["level"].alias("level"),
+            F.xxhash64(normal(q["body"])).alias("hash"),
+            _parts(q["body"]).alias("parts"),
         ),
     )
     parsed = materialize(
@@ -247,11 +326,34 @@ def link_quotes(
         .distinct(),
         "quote-asked",
     )
-    wanted = materialize(asked.select("hash").distinct(), "quote-wanted")
+    # The same words in other lines are a set of their own.
+    sets = materialize(
+        whole.select(F.explode("asks").alias("ask"))
+        .select("ask.hash", "ask.parts")
+        .filter("size(parts) > 0")
+        .distinct()
+        .withColumn("set", F.xxhash64("hash", "parts")),
+        "quote-sets",
+    )
+    parts = F.flatten(
+        F.transform("parts", lambda p: F.array_append(p["lines"], p["whole"]))
+    )
+    wanted = materialize(
+        asked.select("hash").unionByName(sets.select(F.explode(parts).alias("hash"))).distinct(),
+        "quote-wanted",
+    )
     hashes = F.transform(_units(F.col("text")), lambda p: F.xxhash64(p))
-    originals = materialize(
+    units = materialize(
         whole.select("thread", "turn", F.explode(hashes).alias("hash"))
         .join(wanted, "hash", "left_semi")
+        .select("thread", "turn", "hash")
+        .distinct(),
+        "quote-units",
+    )
+    originals = materialize(
+        units.join(asked.select("hash").distinct(), "hash", "left_semi")
+        .select("thread", "turn", "hash")
+        .unionByName(_held_in_parts(sets, units))
         .distinct(),
         "quote-originals",
     )

@@ -47,6 +47,34 @@ def test_links_by_quotation(spark):
     assert [t for _, t in places] == [0, 1, 2, 3, 4]
 
 
+def test_quotations_of_some_lines_and_paragraphs(spark):
+    rows = [
+        (1, 0, "a", "Dear all,\nthe plan is ready.\nPlease read it\nsoon.\n\nIt is long.\n\nBye"),
+        (1, 1, "b", "Please read it\nsome day"),
+        (1, 2, "c", "Well"),
+        # Two lines of a paragraph; a line of another message alone is not enough.
+        (1, 3, "d", "> The plan is ready.\n> Please read it\nI did."),
+        # Two of three paragraphs, one wrapped otherwise.
+        (1, 4, "e", "> Dear all, the plan is ready.\n> Please read it soon.\n>\n> It is long.\nToo long."),
+        # No message holds both lines.
+        (1, 5, "f", "> the plan is ready.\n> some day\nodd"),
+        # Lines of two paragraphs, from another thread.
+        (2, 0, "a", "start"),
+        (2, 1, "b", "> soon.\n>\n> Bye\nhere"),
+    ]
+    got = linked(spark, rows)
+    assert {k: (r["parent_thread"], r["parent_turn"], r["n_linked"]) for k, r in got.items()} == {
+        (1, 0): (None, None, 0),
+        (1, 1): (1, 0, 0),
+        (1, 2): (1, 1, 0),
+        (1, 3): (1, 0, 1),
+        (1, 4): (1, 0, 1),
+        (1, 5): (1, 4, 0),
+        (2, 0): (None, None, 0),
+        (2, 1): (1, 0, 1),
+    }
+
+
 def test_odd_rows(spark):
     rows = [
         (None, 0, "a", "x"),
