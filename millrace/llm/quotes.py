@@ -263,8 +263,8 @@ def link_quotes(
     unquoted text of all messages, their paragraphs and their lines; a message
     that holds all its paragraphs, as such or by their lines, is an original of
     it too.  Its original is the latest
-    of them in the same thread before the reply, else the first in another
-    thread if no third thread holds it.  The parent is the original of a
+    of them in the same thread before the reply, else the first in the smallest
+    other thread that holds it.  The parent is the original of a
     passage of the lowest quote level, in the own thread if possible, of
     several the latest.  A message that quotes nothing known answers the
     message of its thread with the next smaller turn.
@@ -367,25 +367,32 @@ def link_quotes(
     inside = latest_before(events, ["thread", "hash"], F.col("original")).select(
         "thread", "hash", "turn", "latest"
     )
-    # Elsewhere: the two smallest threads of a hash tell whether just one other holds it.
-    threads = originals.groupBy("hash").agg(
-        F.min("thread").alias("low"),
-        F.max("thread").alias("high"),
-        F.count_distinct("thread").alias("threads"),
-    )
-    first = originals.groupBy("hash", F.col("thread").alias("home")).agg(
-        F.min("turn").alias("first")
-    )
-    placed = asked.join(inside, ["thread", "hash", "turn"]).join(threads, "hash", "left")
-    other = F.when(F.col("latest").isNotNull(), F.col("thread")).otherwise(
-        F.when((F.col("threads") == 1) & (F.col("low") != F.col("thread")), F.col("low"))
-        .when((F.col("threads") == 2) & (F.col("low") == F.col("thread")), F.col("high"))
-        .when((F.col("threads") == 2) & (F.col("high") == F.col("thread")), F.col("low"))
-    )
-    found = (
-        placed.withColumn("home", other)
-        .join(first, ["hash", "home"], "left")
-        .withColumn("original", F.coalesce("latest", "first"))
+    # Elsewhere: the first in the smallest thread, or in the second for that thread itself.
+    smallest = Window.partitionBy("hash").orderBy("home")
+    homes = (
+        originals.groupBy("hash", F.col("thread").alias("home"))
+        .agg(F.min("turn").alias("first"))
+        .withColumn("nth", F.row_number().over(smallest))
+        .filter("nth <= 2")
+        .groupBy("hash")
+        .agg(
+            F.min(F.struct("home", "first")).alias("low"),
+            F.max(F.struct("home", "first")).alias("second"),
+        )
+    )
+    placed = asked.join(inside, ["thread", "hash", "turn"]).join(homes, "hash", "left")
+    other = F.when(F.col("low.home") != F.col("thread"), F.col("low")).when(
+        F.col("second.home") != F.col("thread"), F.col("second")
+    )
+    found = placed.withColumn("other", other).select(
+        "thread",
+        "hash",
+        "turn",
+        "level",
+        F.when(F.col("latest").isNotNull(), F.col("thread"))
+        .otherwise(F.col("other.home"))
+        .alias("home"),
+        F.coalesce("latest", "other.first").alias("original"),
     )
     best = F.struct(
         (-F.col("level")).alias("level"),

@@ -75,6 +75,17 @@ def test_quotations_of_some_lines_and_paragraphs(spark):
     }
 
 
+def test_quotations_that_several_threads_hold(spark):
+    """The smallest other thread is taken, however many hold the passage."""
+    rows = [(c, t, "a", f"Copied {t}") for c in range(3, 9) for t in (2, 4)]
+    rows += [(c, 1, "b", "> Copied 4\nreply") for c in (1, 3, 4)]
+    rows += [(c, 5, "b", "> Copied 2\nreply") for c in (1, 4)]
+    got = linked(spark, rows)
+    parents = {k: (r["parent_thread"], r["parent_turn"]) for k, r in got.items() if r["n_quotes"]}
+    assert parents == {(1, 1): (3, 4), (3, 1): (4, 4), (4, 1): (3, 4), (1, 5): (3, 2), (4, 5): (4, 2)}
+    assert all(r["n_linked"] == 1 for r in got.values() if r["n_quotes"])
+
+
 def test_odd_rows(spark):
     rows = [
         (None, 0, "a", "x"),
