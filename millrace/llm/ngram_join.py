@@ -495,13 +495,43 @@ def join_documents(
 
 
 def keep_one(docs: DataFrame, *, doc_id="doc_id", text="text", **options) -> DataFrame:
-    """One row of each component: the one with the smallest doc_id.
+    """One row of each component: smallest doc_id, nulls last, then text digest.
 
-    Keeps the columns of ``docs``.  Rows without words and rows with a null
-    doc_id stay.  Of rows that repeat the smallest doc_id all stay that hold
-    the component's text set.
+    Keeps the columns of ``docs``.  Rows without words stay.  Rows are told
+    apart by doc_id and digest, so a repeated or null doc_id neither takes rows
+    of other components along nor keeps copies.  Of rows equal in both one
+    stays, by a hash of all columns.
     """
-    joined = join_documents(docs, doc_id=doc_id, text=text, **options)
-    gone = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone"))
-    gone = materialize(gone.distinct(), "ngram-gone")
-    return docs.join(gone, docs[doc_id] == gone["__gone"], "left_anti")
+    digest = F.coalesce(F.md5(text), F.lit(""))
+    key = F.struct(
+        F.col(doc_id).isNull().alias("missing"),
+        F.col(doc_id).alias("id"),
+        digest.alias("digest"),
+    )
+    joined = materialize(
+        join_documents(
+            docs.select(key.alias("key"), F.col(text).alias("text")),
+            doc_id="key",
+            text="text",
+            **options,
+        ),
+        "ngram-joined",
+    )
+    joined = joined.filter("n_shingles > 0").withColumn(
+        "first", F.col("doc_id").eqNullSafe(F.col("component_id"))
+    )
+    # Keys whose rows all go, and keys of several rows of which one comes back.
+    cut = materialize(
+        joined.groupBy("doc_id", "first")
+        .agg(F.count("*").alias("rows"))
+        .filter("NOT first OR rows > 1")
+        .select(F.col("doc_id.id").alias("__id"), F.col("doc_id.digest").alias("__digest"), "first"),
+        "ngram-gone",
+    )
+    same = docs[doc_id].eqNullSafe(cut["__id"]) & (digest == cut["__digest"])
+    kept = docs.join(cut, same, "left_anti")
+    again = docs.join(cut.filter("first"), same).groupBy("__id", "__digest")
+    one = again.agg(
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row")
+    )
+    return kept.unionByName(one.select("__row.*"))

@@ -118,6 +118,23 @@ def test_keep_one(make, family):
     assert keep_one(make([])).collect() == []
 
 
+def test_keep_one_of_repeated_and_null_ids(make):
+    """A doc_id on several rows, and none, with equal and different texts."""
+    x, y, z = ("{} one two three four five six seven eight".format(w) for w in ("x", "y", "z"))
+    rows = [
+        (1, x, "a"), (2, x, "b"), (2, y, "c"), (3, z, "d"), (3, z, "e"), (3, z, "e"),
+        (None, x, "f"), (None, z.replace("one", "two"), "g"), (None, z.replace("one", "two"), "h"),
+        (4, "", "i"), (4, "", "j"), (None, None, "k"),
+    ]
+    kept = keep_one(make(rows))
+    assert kept.columns == make([]).columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    want = [
+        (1, x), (2, y), (3, z), (None, z.replace("one", "two")), (4, ""), (4, ""), (None, None)
+    ]
+    assert got == sorted(want, key=str)
+
+
 def test_tree_join_connects_what_pairs_connect(family):
     sets = [s for s in shingle_sets(pa.array(family)) if len(s)]
     unique = {s.tobytes(): s for s in sets}
