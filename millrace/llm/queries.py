@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from millrace.llm import (
+    alignment,
     classifier,
     credentials,
+    hard_negatives,
     mixing,
     ngram_join,
     phrases,
@@ -15,6 +18,7 @@ from millrace.llm import (
     quotes,
     ratios,
     sharding,
+    token_counts,
 )
 from millrace.llm.registry import QUERIES, SQL, query, table
 from millrace.storage import materialize
@@ -23,6 +27,7 @@ __all__ = ["QUERIES", "SQL"]
 
 # A public vocabulary; another one is a parameter of the operator.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_MODEL = "byte_bpe_50k.json"
 
 
 def _draw(seed: str, key: str) -> str:
@@ -272,3 +277,54 @@ def op10(spark, folder):
         F.size("ids").cast("bigint").alias("n_ids"),
         (F.md5("decoded") == F.col("digest")).alias("round_trip"),
     )
+
+
+@query("op11_ragged_counts")
+def op11(spark, folder):
+    """Bytes and tokens of each text."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    merges = token_counts.MergeTable.load(public_tokenizers.path(BYTE_MODEL))
+    return token_counts.count_tokens(docs, merges)
+
+
+OP12_SQL = """
+WITH r AS (
+  SELECT CAST(vec_id AS BIGINT) AS vec_id,
+    CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, a.label = c.label AS same, c.vec_id AS row_id,
+    CAST(coalesce(list_sum(list_transform(range(1, len(a.v) + 1),
+      lambda i: a.v[i] * c.v[i])), 0) AS BIGINT) AS score
+  FROM r a JOIN r c ON a.vec_id % 100 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT anchor_id, row_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) <= 5),
+n AS (
+  SELECT p.*, s.row_id AS negative_id, s.score AS negative_score,
+    CAST(row_number() OVER (
+      PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.row_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score
+FROM n WHERE rank <= 5
+"""
+
+
+@query("op12_strassen_negatives", OP12_SQL)
+def op12(spark, folder):
+    """Hard negatives of every hundredth vector among all vectors."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.quantised(table(spark, folder, "embeddings"), relabel=moved)
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
+
+
+@query("op13_aligned_tokenizers")
+def op13(spark, folder):
+    """Links between the tokens of two vocabularies, by text and over the corpus."""
+    a = alignment.Model.load(public_tokenizers.path(BYTE_MODEL))
+    b = alignment.Model.load(PIECE_MODEL)
+    return alignment.align_documents(table(spark, folder, "documents"), a, b)

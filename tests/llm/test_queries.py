@@ -31,5 +31,5 @@ def test_registered(spark):
 
     names = contract.queries()
     assert "pipeline" in names
-    for n in range(1, 11):
+    for n in range(1, 14):
         assert sum(k.startswith(f"op{n}_") for k in names) == 1
