@@ -212,6 +212,43 @@ def html_cells(t: Tables):
     return html.cells(t.pages, "page_id", "html", row_tag="ul", cell_tag="li")
 
 
+@query(
+    "S09 S11",
+    r"""
+    WITH p AS (
+      SELECT page_id, regexp_extract_all(html, '<li><a href="[^"]*">([^<]*)</a>', 1) AS items
+      FROM pages),
+    q AS (SELECT page_id, CASE WHEN len(items) = 0 THEN [''] ELSE items END AS items FROM p),
+    cells AS (
+      SELECT page_id, 0 AS table_no, NULL AS parent_table, 0 AS row_no, 0 AS col_no,
+             true AS header, 'page' AS text FROM q
+      UNION ALL SELECT page_id, 0, NULL, 0, 1, false, CAST(page_id AS VARCHAR) FROM q
+      UNION ALL SELECT page_id, 0, NULL, 1, 0, false, 'links, counted' FROM q
+      UNION ALL SELECT page_id, 0, NULL, 1, 1, false, CAST(len(items) AS VARCHAR) FROM q
+      UNION ALL SELECT page_id, 1, 0, CAST(generate_subscripts(items, 1) - 1 AS INTEGER), 0,
+                       false, trim(replace(unnest(items), '&amp;', '&')) FROM q)
+    SELECT page_id, CAST(table_no AS INTEGER) AS table_no,
+           CAST(parent_table AS INTEGER) AS parent_table, CAST(row_no AS INTEGER) AS row_no,
+           CAST(col_no AS INTEGER) AS col_no, header, text FROM cells
+    """,
+)
+def nested_tables(t: Tables):
+    """A table inside a cell and the table around it, each with its own cells."""
+    items = F.regexp_extract_all("html", F.lit('<li><a href="[^"]*">([^<]*)</a>'), F.lit(1))
+    page = F.concat(
+        F.lit('<table class="outer"><tr><th>page<td>'), F.col("page_id").cast("string"),
+        F.lit('<tr><td title="</td>">links<table class="inner"><tr><td>'),
+        F.array_join(items, "</td></tr>\n<tr><td>"),
+        F.lit("</td></tr></table>, <!-- <td> -->counted</td><td>"),
+        F.size(items).cast("string"), F.lit("</table></table>"), F.col("html"),
+    )
+    cells = html.table_cells(t.pages.select("page_id", page.alias("page")), "page_id", "page")
+    return cells.filter(F.col("table_tag").rlike('class="(outer|inner)"')).select(
+        "page_id", "table_no", "parent_table", "row_no", "col_no", "header",
+        html.inner_text("fragment").alias("text"),
+    )
+
+
 @query(
     "S10 U06",
     r"""

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.arrays import let, running_max, running_min, running_sum
+
 # Character references resolved in extracted text; the ampersand
 # comes last so that nothing is resolved twice.
 ENTITIES = [
@@ -74,6 +78,196 @@ def first_cells(pages: DataFrame, key: str, html: str, names: list[str], skip_ro
     ).filter(F.col(names[0]).isNotNull())
 
 
+# What may look like a tag but is none.
+_HIDDEN = r"(?is)<!--.*?-->|<(script|style|template)(?=[\s>/]).*?</\1\s*>"
+# Tags that make up tables; an attribute in quotes may hold a closing bracket.
+_TABLE_TAG = r"""(?i)</?(?:table|tr|td|th)(?=[\s>/])(?:[^>"']|"[^"]*"|'[^']*')*+>"""
+
+
+def table_cells(pages: DataFrame, key: str, html: str) -> DataFrame:
+    """Every cell of every table, nested tables apart from their surroundings.
+
+    ``(key, table_no, parent_table, table_tag, row_no, col_no, header, fragment)``:
+    tables are numbered in the order of their start tags, ``parent_table`` is
+    the one around (null: none), ``table_tag`` the start tag as written.  The
+    fragment is the cell's own markup: what belongs to a table inside the cell
+    is in that table's cells only, what follows it is in the cell again.
+
+    A running depth of open tables makes every end tag meet its start.  Rows and
+    cells also end where the next one begins or their table ends, as their end
+    tags may be left out; end tags without a start are passed over, tables
+    without an end reach to the end of the page.  Cells before the first row
+    have row -1.  Comments, scripts and styles are no markup.  A page without
+    cells, empty or null, gives no rows.  No shuffle: a page is one row.
+    """
+    body = F.regexp_replace(F.col(html), _HIDDEN, "")
+    page = pages.filter(F.col(html).rlike("(?i)<t[dh][\\s>/]")).select(
+        F.col(key).alias("_key"), _segments(body).alias("_parts")
+    )
+
+    def step(df: DataFrame, value: Callable[[Column], dict[str, Column]], *columns: str):
+        """Add columns; the named ones are bound once per row, not once per element."""
+        given = F.struct(*[F.col(c) for c in columns])
+        made = let(given, lambda y: F.struct(*[v.alias(k) for k, v in value(y).items()]))
+        return df.withColumn("_made", made).select(
+            *df.columns, *[F.col("_made")[k].alias(k) for k in value(given)]
+        )
+
+    page = step(
+        page,
+        lambda y: {
+            "_sums": running_sum(
+                F.transform(
+                    y["_parts"],
+                    lambda x: (x["kind"] == "<table").cast("int")
+                    - (x["kind"] == "</table").cast("int"),
+                )
+            ),
+            "_count": _many(y["_parts"], "<table"),
+        },
+        "_parts",
+    )
+    page = step(page, lambda y: {"_low": running_min(y["_sums"])}, "_sums")
+    # Elements by depth, so that those of one table at one depth lie together.
+    page = step(
+        page,
+        lambda y: {
+            "_nested": F.array_sort(
+                F.transform(
+                    y["_parts"],
+                    lambda x, i: F.struct(
+                        (
+                            F.get(y["_sums"], i)
+                            - F.least(F.lit(0).cast("bigint"), F.get(y["_low"], i))
+                        ).alias("depth"),
+                        i.alias("pos"),
+                        x["kind"].alias("kind"),
+                        (F.get(y["_count"], i) - 1).cast("int").alias("table"),
+                        x["tag"].alias("tag"),
+                        x["text"].alias("text"),
+                    ),
+                )
+            )
+        },
+        "_parts", "_sums", "_low", "_count",
+    ).select("_key", "_nested")
+    page = step(
+        page,
+        lambda y: {
+            "_table_at": _last(y["_nested"], "<table"),
+            "_row_at": _last(y["_nested"], "<table", "<tr"),
+            "_rows": _many(y["_nested"], "<tr"),
+            "_cells": _many(y["_nested"], "<td", "<th"),
+            # All but the end of a table ends the cell before.
+            "_bounds": F.filter(
+                F.transform(y["_nested"], lambda x, i: F.when(x["kind"] != "</table", i)),
+                lambda i: i.isNotNull(),
+            ),
+        },
+        "_nested",
+    )
+    # The table of each element, by its place in the page.
+    page = step(
+        page,
+        lambda y: {
+            "_owner": F.transform(
+                F.array_sort(
+                    F.transform(
+                        y["_nested"],
+                        lambda x, i: F.struct(
+                            x["pos"], F.get(y["_nested"], F.get(y["_table_at"], i))["table"]
+                        ),
+                    )
+                ),
+                lambda x: x["table"],
+            )
+        },
+        "_nested", "_table_at",
+    )
+
+    def cells_of(y: Column) -> Column:
+        def one(b: Column, k: Column) -> Column:
+            x = F.get(y["_nested"], b)
+            table = F.get(y["_nested"], F.get(y["_table_at"], b))
+
+            def since(count: str, at: str) -> Column:
+                return (F.get(y[count], b) - F.get(y[count], F.get(y[at], b)) - 1).cast("int")
+
+            stop = F.coalesce(F.get(y["_bounds"], k + 1), F.size(y["_nested"]))
+            own = F.slice(y["_nested"], b + 1, stop - b)
+            return F.when(
+                x["kind"].isin("<td", "<th") & (x["depth"] > 0),
+                F.struct(
+                    table["table"].alias("table_no"),
+                    F.get(y["_owner"], table["pos"] - 1).alias("parent_table"),
+                    table["tag"].alias("table_tag"),
+                    since("_rows", "_table_at").alias("row_no"),
+                    since("_cells", "_row_at").alias("col_no"),
+                    (x["kind"] == "<th").alias("header"),
+                    F.array_join(F.transform(own, lambda p: p["text"]), "").alias("fragment"),
+                ),
+            )
+
+        return F.filter(F.transform(y["_bounds"], one), lambda c: c.isNotNull())
+
+    names = ["_nested", "_table_at", "_row_at", "_rows", "_cells", "_bounds", "_owner"]
+    found = let(F.struct(*[F.col(n) for n in names]), cells_of)
+    return page.select(F.col("_key").alias(key), F.inline(found))
+
+
+def _segments(text: Column) -> Column:
+    """Each table tag with the markup after it; the first element has no tag."""
+    tags = F.concat(F.array(F.lit("")), F.regexp_extract_all(text, F.lit(_TABLE_TAG), F.lit(0)))
+    return F.transform(
+        F.arrays_zip(tags.alias("tag"), F.split(text, _TABLE_TAG, -1).alias("text")),
+        lambda x: F.struct(
+            F.lower(F.regexp_extract(x["tag"], "^</?[A-Za-z]+", 0)).alias("kind"),
+            x["tag"].alias("tag"),
+            x["text"].alias("text"),
+        ),
+    )
+
+
+def _last(parts: Column, *kinds: str) -> Column:
+    """Index of the last element of some kinds up to each element."""
+    return running_max(F.transform(parts, lambda x, i: F.when(x["kind"].isin(*kinds), i)))
+
+
+def _many(parts: Column, *kinds: str) -> Column:
+    """Number of elements of some kinds up to each element."""
+    return running_sum(F.transform(parts, lambda x: x["kind"].isin(*kinds).cast("int")))
+
+
+def table_rows(
+    pages: DataFrame,
+    key: str,
+    html: str,
+    names: list[str],
+    *,
+    table: str = "",
+    skip_rows: int = 0,
+    exact: bool = False,
+) -> DataFrame:
+    """``(key, table_no, row_no, *names)``: the texts of the leading cells of each row.
+
+    Only tables whose start tag matches ``table`` (an attribute, say).  Rows
+    without cells, the first ``skip_rows`` rows of a table and, with ``exact``,
+    rows of another number of cells are left out; missing cells are null.
+    ``key`` names one page: cells are brought together by it.
+    """
+    cells = table_cells(pages, key, html).filter(
+        F.col("table_tag").rlike(table) & (F.col("row_no") >= skip_rows)
+    )
+    rows = cells.groupBy(key, "table_no", "row_no").agg(
+        F.count("*").alias("_n"),
+        *[
+            F.max(F.when(F.col("col_no") == i, inner_text("fragment"))).alias(name)
+            for i, name in enumerate(names)
+        ],
+    )
+    return rows.filter(F.col("_n") == len(names) if exact else F.lit(True)).drop("_n")
+
+
 # An anchor's address in double quotes, single quotes or none, in any letter case.
 # Other attributes may hold the word in quotes, so they are stepped over whole.
 _HREF = (

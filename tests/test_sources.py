@@ -4,7 +4,7 @@ from collections import Counter
 from datetime import date
 
 import pytest
-from conftest import values
+from conftest import final_plan, values
 from pyspark.sql import functions as F
 
 from millrace import storage
@@ -127,6 +127,54 @@ def test_cells_without_closing_tags(spark):
     assert values(items) == [(2, 0, 0, "x"), (2, 0, 1, "y")]
 
 
+NESTED = """<TABLE class="outer"><tr><th>h</th><td a='>'>1 <b>x</b></td></tr>
+<tr><td>in<table class=inner><tr><td>a<tr><td>b<td>c</table>after<!-- <td>no --></td><td>end</td></tr>
+</table></table><td>stray</td><script>"<table><tr><td>no"</script>
+<table><td>early<tr><td>last<table><tr><td>deep<table><tr><td>deeper</table>x</table>y"""
+
+
+def test_nested_tables(spark):
+    pages = spark.createDataFrame(
+        [(1, NESTED), (2, None), (3, ""), (4, "<td>x"), (5, "<table></table>"), (1, "<table><tr><td>2")],
+        "id int, html string",
+    )
+    found = html.table_cells(pages, "id", "html")
+    got = [(*r[:3], *r[4:7], r["fragment"].strip()) for r in found.collect()]
+    assert sorted(got, key=str) == sorted(
+        [
+            (1, 0, None, 0, 0, True, "h"), (1, 0, None, 0, 1, False, "1 <b>x</b>"),
+            (1, 0, None, 1, 0, False, "inafter"), (1, 0, None, 1, 1, False, "end"),
+            (1, 1, 0, 0, 0, False, "a"), (1, 1, 0, 1, 0, False, "b"), (1, 1, 0, 1, 1, False, "c"),
+            (1, 2, None, -1, 0, False, "early"), (1, 2, None, 0, 0, False, "lasty"),
+            (1, 3, 2, 0, 0, False, "deepx"), (1, 4, 3, 0, 0, False, "deeper"),
+            (1, 0, None, 0, 0, False, "2"),
+        ],
+        key=str,
+    )
+    tags = {r["table_tag"] for r in found.collect()}
+    assert tags == {'<TABLE class="outer">', "<table class=inner>", "<table>"}
+    assert "Exchange" not in final_plan(found)
+
+
+def test_rows_of_nested_tables(spark):
+    pages = spark.createDataFrame([(1, NESTED), (2, None)], "id int, html string")
+    inner = html.table_rows(pages, "id", "html", ["a", "b"], table="inner")
+    assert values(inner) == [(1, 1, 0, "a", None), (1, 1, 1, "b", "c")]
+    full = html.table_rows(pages, "id", "html", ["a", "b"], table="(?i)table", exact=True)
+    assert values(full) == [(1, 0, 0, "h", "1 x"), (1, 0, 1, "inafter", "end"), (1, 1, 1, "b", "c")]
+    late = html.table_rows(pages, "id", "html", ["a"], table="outer", skip_rows=1)
+    assert values(late) == [(1, 0, 1, "inafter")]
+
+
+def test_thousands_of_nested_tables(spark):
+    part = "<tr><td>{0}<td><table><tr><td>n{0}</table>z{0}"
+    page = "<table>" + "".join(part.format(i) for i in range(3000)) + "</table>"
+    cells = html.table_cells(spark.createDataFrame([(1, page)], "id int, html string"), "id", "html")
+    got = {tuple(r[1:3]) + tuple(r[4:6]) + (r["fragment"],) for r in cells.collect()}
+    want = {(0, None, i, 0, str(i)) for i in range(3000)} | {(0, None, i, 1, f"z{i}") for i in range(3000)}
+    assert got == want | {(i + 1, 0, 0, 0, f"n{i}") for i in range(3000)}
+
+
 def test_links(spark):
     pages = spark.createDataFrame([(1, PAGE), (2, PAGE)], "id int, html string")
     assert html.links(pages, "id", "html").count() == 6
