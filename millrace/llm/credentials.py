@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import joined, masked, matches
+from millrace.llm.texts import joined, masked, matches, spare
 from millrace.storage import materialize
 
 # The kinds in the order that breaks ties of spans with one start.
@@ -23,8 +23,9 @@ _KEY = "|".join(
 ASSIGN = rf"""(?:{_KEY})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-# Any long run with a digit may be a credential; its frequency decides.
-LOOSE = r"(?=[A-Za-z+/_-]*[0-9])[A-Za-z0-9+/_-]{20,}"
+# Any long run with a digit may be a credential; its frequency decides.  The digit
+# is asked for afterwards: a lookahead would walk a run again from every place.
+LOOSE = r"[A-Za-z0-9+/_-]{20,}+"
 _LEAST_ASSIGNED = 6
 _LEAST_DISTINCT = 8
 
@@ -223,9 +224,12 @@ def digest(found: DataFrame) -> DataFrame:
 def redact(docs: DataFrame, *, text="text", mask: str = "<secret>", **names) -> DataFrame:
     """``docs`` with every secret masked that is not a widely copied example.
 
-    Keeps all rows and columns.  Base spans of little variety are masked too.
-    Texts without a span or candidate are untouched and not shuffled.  The spans of a text are found again by its digest.
+    Keeps all rows and columns, whatever their names.  Base spans of little
+    variety are masked too.  Texts without a span or candidate, null and empty
+    ones among them, are untouched and not shuffled.  The spans of a text are
+    found again by its digest.
     """
+    key, places = spare(docs, "text_key"), spare(docs, "cuts")
     found = scan_secrets(docs, text=text, **names)
     # What a base span assigns or is, unless the value is an example.
     examples = F.filter("marks", lambda m: m["verdict"] == "example")
@@ -248,17 +252,20 @@ def redact(docs: DataFrame, *, text="text", mask: str = "<secret>", **names) ->
         .groupBy("text_key")
         .agg(F.first("base").alias("base"), F.first("marks").alias("marks"))
         .select(
-            F.col("text_key").alias("__key"),
-            F.array_sort(F.array_distinct(F.concat(values, others))).alias("__cuts"),
+            F.col("text_key").alias(key),
+            F.array_sort(F.array_distinct(F.concat(values, others))).alias(places),
         ),
         "secret-cuts",
     )
     body = F.col(text)
+    loose = F.exists(
+        F.regexp_extract_all(body, F.lit(LOOSE), F.lit(0)), lambda run: run.rlike("[0-9]")
+    )
     suspect = F.coalesce(
-        body.rlike(ASSIGN) | body.rlike(ACCESS) | body.rlike(HEX) | body.rlike(LOOSE), F.lit(False)
+        body.rlike(ASSIGN) | body.rlike(ACCESS) | body.rlike(HEX) | loose, F.lit(False)
     )
-    hit = docs.filter(suspect).join(cuts, F.md5(body) == F.col("__key"), "left")
+    hit = docs.filter(suspect).join(cuts, F.md5(body) == F.col(key), "left")
     none = F.array().cast("array<struct<start:bigint,end:bigint>>")
-    hit = hit.withColumn("__cuts", F.coalesce("__cuts", none))
-    fixed = hit.withColumn(text, masked(body, F.col("__cuts"), lambda _: F.lit(mask)))
+    hit = hit.withColumn(places, F.coalesce(places, none))
+    fixed = hit.withColumn(text, masked(body, F.col(places), lambda _: F.lit(mask)))
     return fixed.select(*docs.columns).unionByName(docs.filter(~suspect))

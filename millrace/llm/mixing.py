@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import fraction, words
+from millrace.llm.texts import fraction, spare, words
 from millrace.storage import materialize
 
 WEIGHTS = (3, 1, 2)
@@ -110,16 +110,17 @@ def emit_mix(
 ) -> DataFrame:
     """The mixed documents: each row as often as the mix takes it.
 
-    Keeps the columns of ``docs``.  Rates come from one pass over the sizes;
+    Keeps the columns of ``docs``, whatever their names.  Rates come from one pass over the sizes;
     the texts meet only the table of one row per source.
     """
+    mix, copy = spare(docs, "mix"), spare(docs, "copy")
     slim = docs.select(
         F.col(source).alias("source"), F.size(words(F.col(text))).cast("bigint").alias("size")
     )
     goals = materialize(source_targets(slim, **targets), "mix-targets")
-    g = goals.select(F.struct("source", "rate").alias("__mix")).alias("g")
+    g = goals.select(F.struct("source", "rate").alias(mix)).alias("g")
     d = docs.alias("d")
-    both = d.join(g, F.col(f"d.{source}").eqNullSafe(F.col("g.__mix.source")))
-    n = copies(F.col("g.__mix.rate"), F.col(f"d.{doc_id}"), seed).cast("int")
-    repeated = both.select("d.*", F.explode(F.array_repeat(F.lit(1), n)).alias("__copy"))
+    both = d.join(g, F.col(f"d.{source}").eqNullSafe(F.col(f"g.{mix}.source")))
+    n = copies(F.col(f"g.{mix}.rate"), F.col(f"d.{doc_id}"), seed).cast("int")
+    repeated = both.select("d.*", F.explode(F.array_repeat(F.lit(1), n)).alias(copy))
     return repeated.select(*docs.columns)

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from millrace.llm.components import components
 from millrace.llm.shingles import WIDTH, set_id, shingle_sets
 from millrace.llm.shipping import ship
+from millrace.llm.texts import spare
 from millrace.llm.trie import join_block, similar
 from millrace.storage import materialize
 
@@ -30,7 +31,7 @@ _MOST_BINS = 1 << 16
 # Size of the bitmap of wanted texts, 4 MiB; a power of two.
 _BITMAP_BITS = 1 << 25
 _CELL = np.uint64(0xFFFFFF)
-_FLUSH = 4_000_000
+_FLUSH = 1_500_000
 
 
 def sketch(shingles: np.ndarray) -> bytes:
@@ -497,11 +498,12 @@ def join_documents(
 def keep_one(docs: DataFrame, *, doc_id="doc_id", text="text", **options) -> DataFrame:
     """One row of each component: smallest doc_id, nulls last, then text digest.
 
-    Keeps the columns of ``docs``.  Rows without words stay.  Rows are told
+    Keeps the columns of ``docs``, whatever their names.  Rows without words stay.  Rows are told
     apart by doc_id and digest, so a repeated or null doc_id neither takes rows
     of other components along nor keeps copies.  Of rows equal in both one
     stays, by a hash of all columns.
     """
+    own, body = spare(docs, "own_id"), spare(docs, "own_digest")
     digest = F.coalesce(F.md5(text), F.lit(""))
     key = F.struct(
         F.col(doc_id).isNull().alias("missing"),
@@ -525,13 +527,13 @@ def keep_one(docs: DataFrame, *, doc_id="doc_id", text="text", **options) -> Dat
         joined.groupBy("doc_id", "first")
         .agg(F.count("*").alias("rows"))
         .filter("NOT first OR rows > 1")
-        .select(F.col("doc_id.id").alias("__id"), F.col("doc_id.digest").alias("__digest"), "first"),
+        .select(F.col("doc_id.id").alias(own), F.col("doc_id.digest").alias(body), "first"),
         "ngram-gone",
     )
-    same = docs[doc_id].eqNullSafe(cut["__id"]) & (digest == cut["__digest"])
+    same = docs[doc_id].eqNullSafe(cut[own]) & (digest == cut[body])
     kept = docs.join(cut, same, "left_anti")
-    again = docs.join(cut.filter("first"), same).groupBy("__id", "__digest")
+    again = docs.join(cut.filter("first").drop("first"), same).groupBy(own, body)
     one = again.agg(
-        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("__row")
+        F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
     )
-    return kept.unionByName(one.select("__row.*"))
+    return kept.unionByName(one.select("row.*"))

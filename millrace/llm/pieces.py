@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -17,8 +18,10 @@ from millrace.llm.shipping import ship
 
 # Fixed values of the file format: the mark that stands for a blank.
 MARK = "▁"
-# Characters of texts that are encoded together, and words a task remembers.
-_BATCH_CHARS = 4_000_000
+# Characters of texts that are encoded together, characters of new words that are
+# indexed together, and words a task remembers.
+_BATCH_CHARS = 1_000_000
+_INDEX_CHARS = 400_000
 _MOST_WORDS = 300_000
 _UNKNOWN = 1 << 22  # added to the code point of a character without a piece
 _UNSET, _START = -2, -1
@@ -61,18 +64,38 @@ class Vocabulary:
     def merge(self, text: str) -> list[int]:
         """Encoding by definition: merge the best neighbours, leftmost first.
 
-        A character without a piece is ``_UNKNOWN`` plus its code point.
+        A character without a piece is ``_UNKNOWN`` plus its code point.  Parts
+        are linked to their neighbours and pairs wait in a heap, so the time
+        grows little faster than the text.
         """
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                piece = self.ids.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.scores[piece] > best):
-                    best, at = self.scores[piece], i
-            if best is None:
-                return [self.ids.get(p, _UNKNOWN + ord(p[0])) for p in parts]
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
+        parts: list[str] = list(text)
+        after = list(range(1, len(parts) + 1))
+        before = list(range(-1, len(parts) - 1))
+        heap: list[tuple[float, int, str, str]] = []
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j < len(parts):
+                piece = self.ids.get(parts[i] + parts[j])
+                if piece is not None:
+                    heapq.heappush(heap, (-self.scores[piece], i, parts[i], parts[j]))
+
+        for i in range(len(parts)):
+            offer(i)
+        while heap:
+            _, i, left, right = heapq.heappop(heap)
+            j = after[i]
+            # A part that was merged away is empty.
+            if parts[i] != left or j >= len(parts) or parts[j] != right:
+                continue
+            parts[i], parts[j] = left + right, ""
+            after[i] = after[j]
+            if after[j] < len(parts):
+                before[after[j]] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return [self.ids.get(p, _UNKNOWN + ord(p[0])) for p in parts if p]
 
 
 class _Numbering(dict):
@@ -91,7 +114,7 @@ class Matcher:
         self.normal = np.array(sorted(v.ids.values()), np.int64)
         self.length = np.array([len(p) for p in v.pieces] + [1], np.int64)
         self.width = int(self.length[self.normal].max())
-        self.codes = np.full((len(self.normal), self.width), -1, np.int64)
+        self.codes = np.full((len(self.normal), self.width), -1, np.int32)
         for row, i in enumerate(self.normal):
             self.codes[row, : len(v.pieces[i])] = [ord(c) for c in v.pieces[i]]
         # Known answers: sorted keys of (previous, piece) and whether they may follow.
@@ -116,27 +139,28 @@ class Matcher:
         return self.words
 
     def learn(self) -> None:
-        """Match the words numbered since the last time, as one batch text."""
-        new = list(islice(self.words, len(self.count), None))
-        ids, lengths = self.encode([MARK + u for u in new])
-        begin = len(self.flat) + np.append(0, np.cumsum(lengths))[:-1]
-        self.flat = np.append(self.flat, ids.astype(np.int32))
-        self.begin = np.append(self.begin, begin)
-        self.count = np.append(self.count, lengths)
+        """Match the words numbered since the last time, in batch texts of some size."""
+        new = [MARK + u for u in islice(self.words, len(self.count), None)]
+        flat, counts = [self.flat], [self.count]
+        for low, high in _groups([len(u) for u in new], _INDEX_CHARS):
+            ids, lengths = self.encode(new[low:high])
+            flat.append(ids.astype(np.int32))
+            counts.append(lengths)
+        self.flat = np.concatenate(flat)
+        self.count = np.concatenate(counts)
+        self.begin = np.cumsum(self.count) - self.count
 
     def suffixes(self, text: np.ndarray) -> np.ndarray:
         """Positions ordered by the ``width`` characters that follow, by doubling."""
         rank = np.cumsum(np.bincount(text) > 0)[text]
         order, reach = None, 1
         while True:
-            ahead = np.zeros(len(rank), np.int64)
+            key = rank * (len(rank) + 1)
             if reach < len(rank):
-                ahead[:-reach] = rank[reach:]
-            key = rank * (len(rank) + 1) + ahead
+                key[:-reach] += rank[reach:]
             order = np.argsort(key)
             reach *= 2
             new = np.append(True, np.diff(key[order]) != 0)
-            rank = np.empty(len(rank), np.int64)
             rank[order] = np.cumsum(new)
             if reach >= self.width or new.all():
                 return order
@@ -146,7 +170,7 @@ class Matcher:
         order = self.suffixes(text)
         present = np.unique(text)
         usable = (np.isin(self.codes, present) | (self.codes < 0)).all(axis=1)
-        padded = np.append(text, np.full(self.width, -1))
+        padded = np.append(text, np.full(self.width, -1)).astype(np.int32)
         heads = text[order]
         starts, pieces = [], []
         # Short pieces need few characters compared.
@@ -314,14 +338,11 @@ def units_of(text: str, whole: bool) -> list[str]:
     return [u[1:] for u in re.findall(f"{MARK}+[^{MARK}]+|{MARK}+$", marked)]
 
 
-_MATCHERS: dict[int, Matcher] = {}
-
-
-def _groups(lengths: list[int]) -> Iterator[tuple[int, int]]:
-    """Runs of texts of about the batch size; a longer text is one run."""
+def _groups(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Runs of texts of about ``most`` characters; a longer text is one run."""
     start = size = 0
     for i, length in enumerate(lengths):
-        if size and size + length > _BATCH_CHARS:
+        if size and size + length > most:
             yield start, i
             start, size = i, 0
         size += length
@@ -355,8 +376,8 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, text="text") ->
     non-empty text, neighbours merge by score, leftmost first, and characters
     without a piece become bytes.  Null and empty texts have no ids.  A column
     called ``ids`` is replaced.  No shuffle.  A task holds one Arrow batch, the
-    words it remembers and the index of the new words of about four million
-    characters, or of one longer text.
+    words it remembers and the index of new words of about 400,000 characters,
+    or of one longer word; nothing is kept when it ends.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
@@ -364,13 +385,10 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, text="text") ->
     slim = docs.select(text, *rest)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = len(shared.value.pieces)
-        matcher = _MATCHERS.get(key)
-        if matcher is None or matcher.v.pieces != shared.value.pieces:
-            matcher = _MATCHERS[key] = Matcher(shared.value)
+        matcher = Matcher(shared.value)
         for batch in batches:
             lengths = pc.fill_null(pc.utf8_length(batch.column(0)), 0).to_pylist()
-            for low, high in _groups(lengths):
+            for low, high in _groups(lengths, _BATCH_CHARS):
                 part = batch.slice(low, high - low)
                 texts = [t or "" for t in part.column(0).to_pylist()]
                 yield pa.RecordBatch.from_arrays(

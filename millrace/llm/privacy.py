@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.texts import joined, masked, matches
+from millrace.llm.texts import blanked, joined, masked, matches, spare
 from millrace.storage import materialize
 
 # The kinds in the order that breaks ties of spans with one start.
@@ -81,21 +81,6 @@ def base_spans(text: Column) -> Column:
     return F.array_sort(F.concat(*[spans(kind) for kind in tests]))
 
 
-def _outside(text: Column, base: Column) -> Column:
-    """The text with blanks in place of its base spans, of the same length."""
-    blanked = F.aggregate(
-        base,
-        text,
-        lambda out, s: F.overlay(
-            out,
-            F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int")),
-            (s["start"] + 1).cast("int"),
-            (s["end"] - s["start"]).cast("int"),
-        ),
-    )
-    return F.when(F.size(base) > 0, blanked).otherwise(text)
-
-
 def _terms(text: Column) -> Column:
     """Distinct terms of a text in lower case."""
     found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TERM), F.lit(0))
@@ -164,7 +149,7 @@ def find_disclosures(
         flagged.groupBy("text_key")
         .agg(F.count("*").alias("rows"), F.first("base").alias("base"), F.first("text").alias("text"))
         .select("text_key", "rows", entities.alias("entities"), "base", "text")
-        .withColumn("outside", _outside(F.col("text"), F.col("base")))
+        .withColumn("outside", blanked(F.col("text"), F.col("base")))
     )
     hidden = F.array_except(_terms(F.col("text")), _terms(F.col("outside")))
     texts = materialize(
@@ -302,23 +287,25 @@ def sanitise(docs: DataFrame, *, doc_id="doc_id", text="text", **limits) -> Data
     """``docs`` with personal data replaced by its kind and terms treated.
 
     A removed term becomes ``<removed>``, a generalised one ``<word>``.  Keeps
-    all rows and columns; texts without personal data are untouched.
+    all rows and columns, whatever their names; texts without personal data,
+    null and empty ones among them, are untouched.
     """
+    key, places = spare(docs, "text_key"), spare(docs, "cuts")
     found = find_disclosures(docs, doc_id=doc_id, text=text, **limits)
     cuts = materialize(
         found.filter("text_key IS NOT NULL")
         .groupBy("text_key")
         .agg(F.first("base").alias("base"), F.first("marks").alias("marks"))
-        .select(F.col("text_key").alias("__key"), all_spans().alias("__cuts")),
+        .select(F.col("text_key").alias(key), all_spans().alias(places)),
         "private-cuts",
     )
     body = F.col(text)
     suspect = F.coalesce(
         body.contains("@") | body.rlike(IP) | body.rlike(CARD) | body.rlike(PHONE), F.lit(False)
     )
-    hit = docs.filter(suspect).join(cuts, F.md5(body) == F.col("__key"), "left")
+    hit = docs.filter(suspect).join(cuts, F.md5(body) == F.col(key), "left")
     none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
-    hit = hit.withColumn("__cuts", F.coalesce("__cuts", none))
+    hit = hit.withColumn(places, F.coalesce(places, none))
     label = {"remove": "<removed>", "generalise": "<word>"}
 
     def mask(span: Column) -> Column:
@@ -327,5 +314,5 @@ def sanitise(docs: DataFrame, *, doc_id="doc_id", text="text", **limits) -> Data
             out = F.when(span["kind"] == kind, shown).otherwise(out)
         return out
 
-    fixed = hit.withColumn(text, masked(body, F.col("__cuts"), mask))
+    fixed = hit.withColumn(text, masked(body, F.col(places), mask))
     return fixed.select(*docs.columns).unionByName(docs.filter(~suspect))

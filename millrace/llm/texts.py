@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millrace.functions.arrays import let, running_max
+
 # A word is a run of anything but the six ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
 BLANKS = " \t\n\x0b\f\r"
@@ -15,15 +17,6 @@ BLANKS = " \t\n\x0b\f\r"
 _DIGITS = 13
 
 
-def let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """``body(value)`` with ``value`` computed once per row.
-
-    A lambda variable is bound once; a plain column reference inside another
-    lambda would be computed again for each element of the outer array.
-    """
-    return F.transform(F.array(value), body)[0]
-
-
 def words(text: Column) -> Column:
     """Words of a text; none for null."""
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
@@ -122,39 +115,87 @@ def joined(spans: Column) -> Column:
     )
 
 
+# Texts are cut from pieces of so many characters, so that many spans of one
+# text do not walk through all of it each time.
+_PIECE = 256
+
+
+def _pieces(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_PIECE}}}"), F.lit(0))
+
+
+def _between(pieces: Column, start: Column, end: Column) -> Column:
+    """Characters from ``start`` to before ``end``."""
+    first = F.floor(start / _PIECE).cast("int")
+    last = F.floor((end - 1) / _PIECE).cast("int")
+    near = F.array_join(F.slice(pieces, first + 1, last - first + 1), "")
+    cut = F.substring(near, (start - first * _PIECE + 1).cast("int"), (end - start).cast("int"))
+    return F.when(end > start, cut).otherwise(F.lit(""))
+
+
+def _replaced(text: Column, spans: Column, mask: Callable[[Column], Column]) -> Column:
+    def body(y: Column) -> Column:
+        def one(span: Column, i: Column) -> Column:
+            seen = F.coalesce(F.get(y["reach"], i - 1), F.lit(0).cast("bigint"))
+            return F.when(
+                span["start"] >= seen,
+                F.concat(_between(y["pieces"], seen, span["start"]), mask(span)),
+            ).otherwise(F.lit(""))
+
+        rest = _between(y["pieces"], F.element_at(y["reach"], -1), y["length"])
+        return F.concat(F.array_join(F.transform(y["spans"], one), ""), rest)
+
+    reach = running_max(F.transform(spans, lambda s: s["end"].cast("bigint")))
+    given = F.struct(
+        _pieces(text).alias("pieces"),
+        F.length(text).cast("bigint").alias("length"),
+        spans.alias("spans"),
+        reach.alias("reach"),
+    )
+    return F.when(F.size(spans) > 0, let(given, body)).otherwise(text)
+
+
 def masked(text: Column, spans: Column, mask: Callable[[Column], Column]) -> Column:
     """The text with each span replaced; ``spans`` are sorted by start.
 
     A span that begins inside an earlier one is dropped with it: what both cover
-    goes, up to the later end.
+    goes, up to the later end.  Time grows with the text and the spans, not
+    with their product.
     """
-    # Cut points: (text up to the span, reach so far) for each span, in one pass.
-    reach = F.transform(
-        spans,
-        lambda s, i: F.struct(
-            s.alias("span"),
-            F.coalesce(F.array_max(F.transform(F.slice(spans, 1, i), lambda p: p["end"])), F.lit(0))
-            .cast("bigint")
-            .alias("seen"),
-        ),
-    )
-    body = F.array_join(
-        F.transform(
-            reach,
-            lambda r: F.when(
-                r["span"]["start"] >= r["seen"],
-                F.concat(
-                    F.substring(
-                        text,
-                        (r["seen"] + 1).cast("int"),
-                        (r["span"]["start"] - r["seen"]).cast("int"),
-                    ),
-                    mask(r["span"]),
-                ),
-            ).otherwise(F.lit("")),
+    return _replaced(text, spans, mask)
+
+
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with blanks in place of the spans, of the same length.
+
+    ``spans`` are sorted by start and may overlap.
+    """
+
+    def rest_of(y: Column) -> Column:
+        return F.transform(
+            y["spans"],
+            lambda s, i: F.struct(
+                F.greatest(
+                    s["start"], F.coalesce(F.get(y["reach"], i - 1), F.lit(0).cast("bigint"))
+                ).alias("start"),
+                F.get(y["reach"], i).alias("end"),
+            ),
+        )
+
+    # Overlapping spans without what an earlier one covers.
+    reach = running_max(F.transform(spans, lambda s: s["end"].cast("bigint")))
+    apart = let(F.struct(spans.alias("spans"), reach.alias("reach")), rest_of)
+    return let(
+        apart,
+        lambda parts: _replaced(
+            text, parts, lambda s: F.repeat(F.lit(" "), (s["end"] - s["start"]).cast("int"))
         ),
-        "",
     )
-    last = F.coalesce(F.array_max(F.transform(spans, lambda s: s["end"])), F.lit(0)).cast("int")
-    rest = F.substring(text, last + 1, F.length(text))
-    return F.when(F.size(spans) > 0, F.concat(body, rest)).otherwise(text)
+
+
+def spare(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

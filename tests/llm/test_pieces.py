@@ -79,3 +79,16 @@ def test_documents(make, vocabulary, library):
         text = (ODD[r["doc_id"]] if r["doc_id"] is not None else None) or ""
         assert r["ids"] == library.encode(text) and r["decoded"] == text.replace("▁", " ")
     assert pieces.encode_documents(make([]), vocabulary).collect() == []
+
+
+def test_long_runs(vocabulary, library):
+    """Blanks that pad a table, and words without an end."""
+    some = [" " * 100_000, "a" + " " * 99_999 + "b", "x" * 50_000, "\n" * 20_000, "ab c" + "  " * 3001]
+    want = library.encode(some)
+    assert pieces.encode_batch(pieces.Matcher(vocabulary), some).to_pylist() == want
+
+
+def test_indexed_in_parts(vocabulary, library, texts, monkeypatch):
+    monkeypatch.setattr(pieces, "_INDEX_CHARS", 300)
+    some = list(texts.values())[:30]
+    assert pieces.encode_batch(pieces.Matcher(vocabulary), some).to_pylist() == library.encode(some)

@@ -3,8 +3,8 @@
 import hashlib
 import re
 
-from millrace.llm import credentials, privacy
-from millrace.llm.texts import masked, matches
+from millrace.llm import credentials, mixing, ngram_join, privacy
+from millrace.llm.texts import blanked, masked, matches
 from pyspark.sql import functions as F
 
 ASSIGN = re.compile(
@@ -233,3 +233,54 @@ def test_many_spans_and_masks(spark):
     assert [tuple(m) for m in rows[0]["m"]] == want
     assert rows[0]["c"] == re.sub("ab[0-9]", "<x>", text)
     assert rows[1]["m"] == [] and rows[2]["m"] == [] and rows[2]["c"] == ""
+
+
+def test_very_many_spans(spark):
+    """20,000 spans of one text, some inside others; runs of a million letters."""
+    text = "ab1 x" * 20_000
+    spans = [(m.start(), m.end()) for m in re.finditer("ab1", text)]
+    spans = sorted(spans + [(i, i + 2) for i, _ in spans[::3]] + [(5, 60), (7, 20)])
+    df = spark.createDataFrame(
+        [(text, spans), ("no", []), (None, [])], "t string, s array<struct<start:bigint,end:bigint>>"
+    )
+    rows = df.select(
+        masked(F.col("t"), F.col("s"), lambda _: F.lit("*")).alias("m"),
+        blanked(F.col("t"), F.col("s")).alias("b"),
+    ).collect()
+    out, plain, seen = [], list(text), 0
+    for a, b in spans:
+        if a >= seen:
+            out.append(text[seen:a] + "*")
+        seen = max(seen, b)
+        plain[a:b] = " " * (b - a)
+    assert rows[0]["m"] == "".join(out) + text[seen:] and rows[0]["b"] == "".join(plain)
+    assert [tuple(r) for r in rows[1:]] == [("no", "no"), (None, None)]
+
+
+def test_runs_without_a_digit(make):
+    rows = [(1, "y" * 1_000_000, "s"), (2, "z" * 500_000 + "1Cdefg" + "z" * 500_000, "s")]
+    found = {r["doc_id"]: r for r in credentials.digest(credentials.scan_secrets(make(rows))).collect()}
+    assert found[1]["spans"] == "" and found[2]["spans"] == ""  # of the second, under 8 kinds
+    rows.append((3, "x" * 300_000 + "Ab1cdefgh", "s"))
+    found = {r["doc_id"]: r for r in credentials.digest(credentials.scan_secrets(make(rows))).collect()}
+    assert found[3]["spans"] == "live:0:300009"
+
+
+CLASH = ["__key", "__cuts", "__copy", "__mix", "__id", "__digest", "__row", "text_key", "cuts", "own_id",
+         "own_digest", "first", "copy", "mix", "row", "base", "marks", "rate"]
+
+
+def test_any_other_columns_survive(make):
+    """Columns named like those of the operators, also in other case."""
+    body = "password = Abc123defGH and ann@mail.example.com here"
+    rows = [(1, body, "s"), (2, body, "s"), (3, None, None), (None, "", "t"), (2, "plain words only", "t")]
+    docs = make(rows).drop("rank", "label", "stats", "spans", "bucket")
+    for i, name in enumerate(CLASH):
+        docs = docs.withColumn(name.upper() if i % 2 else name, F.lit(i))
+    stages = (credentials.redact, privacy.sanitise, mixing.emit_mix, ngram_join.keep_one)
+    for stage in stages:
+        done = stage(docs)
+        assert done.columns == docs.columns
+        got = done.collect()
+        assert got and all(tuple(r)[-len(CLASH) :] == tuple(range(len(CLASH))) for r in got)
+        assert stage(docs.limit(0)).collect() == []
