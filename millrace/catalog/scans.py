@@ -2,12 +2,13 @@
 
 from datetime import date
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
 from millrace.catalog.sqlparts import WORD, mean_round
 from millrace.functions.numbers import exact_sum
-from millrace.sources import html, readers, sinks
+from millrace.sources import html, json_arrays, readers, sinks
 from millrace.storage import fresh_path
 from millrace.streaming import line_jobs
 
@@ -113,6 +114,40 @@ def json_array_files(t: Tables):
     return readers.read_json_array(t.spark, path, schema).select("doc_id", "quality", "toxic")
 
 
+@query(
+    "S07",
+    r"""
+    SELECT doc_id, '}, {"a\" [' || text AS text, lang, source AS origin FROM documents
+    """,
+)
+def json_array_splits(t: Tables):
+    """Arrays of 50,000 records each, read in parallel wherever a file is cut."""
+    record = F.struct(
+        "doc_id",
+        F.concat(F.lit('}, {"a\\" ['), "text").alias("text"),
+        F.struct("lang", F.struct(F.col("source").alias("name")).alias("source")).alias("meta"),
+    )
+    rows = t.documents.select(
+        "doc_id", F.floor(F.col("doc_id") / 50_000).alias("array"), F.to_json(record).alias("record")
+    )
+    group = Window.partitionBy("array")
+    nth = F.row_number().over(group.orderBy("doc_id"))
+    lines = rows.withColumn("nth", nth).withColumn("n", F.count("*").over(group))
+    line = F.concat(
+        F.when(F.col("nth") == 1, "[").otherwise(" ,"),
+        F.col("record"),
+        F.when(F.col("nth") == F.col("n"), "]").otherwise(""),
+    )
+    path = fresh_path(t.spark, "json-arrays")
+    lines.sortWithinPartitions("array", "nth").select(line.alias("value")).write.text(path)
+    found = json_arrays.read_record_arrays(
+        t.spark,
+        path,
+        "doc_id bigint, text string, meta struct<lang string, source struct<name string>>",
+    )
+    return found.select("doc_id", "text", "meta.lang", F.col("meta.source.name").alias("origin"))
+
+
 @query(
     "S18",
     """

@@ -8,7 +8,7 @@ from conftest import final_plan, values
 from pyspark.sql import functions as F
 
 from millrace import storage
-from millrace.sources import html, readers, sinks
+from millrace.sources import html, json_arrays, readers, sinks
 from millrace.streaming import line_jobs
 
 
@@ -31,6 +31,63 @@ def test_json_array_file(spark, tmp_path):
     assert values(got) == [(None, None), ("Fin é", "Positive")]
 
 
+@pytest.fixture
+def small_splits(spark):
+    name = "spark.sql.files.maxPartitionBytes"
+    old = spark.conf.get(name)
+
+    def use(size):
+        spark.conf.set(name, str(size))
+
+    yield use
+    spark.conf.set(name, old)
+
+
+ODD_RECORDS = [
+    {"id": 0, "s": 'a "quoted" }, {"id": 5} \\', "o": {"x": {"y": "}"}}},
+    {"id": 1, "s": "{{{[[", "o": None}, {"id": 2, "s": "\\\\\"", "o": {"x": {}}}, {"id": 3},
+    {"id": 4, "s": "é}日本\n\t" * 30, "o": {"x": {"y": "\\"}}}, {"id": 6, "s": "", "o": {}}, {},
+]
+
+
+@pytest.mark.parametrize("size", [40, 97, 1000, 1 << 20])
+@pytest.mark.parametrize("layout", [{}, {"indent": 1}, {"separators": (",", ":"), "ensure_ascii": False}])
+def test_record_arrays_in_any_split(spark, tmp_path, small_splits, size, layout):
+    """Strings with braces, quotes and escapes, wherever the file is cut."""
+    small_splits(size)
+    path = tmp_path / "records.json"
+    path.write_text(json.dumps(ODD_RECORDS, **layout))
+    got = [json.loads(r["value"]) for r in json_arrays.record_texts(spark, str(path)).collect()]
+    assert sorted(got, key=str) == sorted(ODD_RECORDS, key=str)
+    read = json_arrays.read_record_arrays(spark, str(path), "id int, o struct<x: struct<y: string>>")
+    ys = {r["id"]: r["o"]["x"]["y"] for r in read.collect() if r["o"] and r["o"]["x"]}
+    assert ys == {0: "}", 2: None, 4: "\\"}
+
+
+def test_files_of_other_forms(spark, tmp_path):
+    for name, text in (("a", "[]"), ("b", ""), ("c", '[{"id": 1}]\n[{"id": 2}]'), ("d", '{"id": 3}\n{"id": 4}\n')):
+        (tmp_path / name).write_text(text)
+    got = json_arrays.read_record_arrays(spark, str(tmp_path), "id int")
+    assert values(got) == [(1,), (2,), (3,), (4,)]
+
+
+def test_one_large_array_is_read_by_many_tasks(spark, tmp_path, small_splits):
+    small_splits(1 << 20)
+    path = tmp_path / "large.json"
+    with open(path, "w") as file:
+        for i in range(200_000):
+            record = json.dumps({"id": i, "s": "}, {" + '"' * (i % 3), "o": {"n": i}})
+            file.write(("[" if i == 0 else ",") + record)
+        file.write("]")
+    read = json_arrays.read_record_arrays(spark, str(path), "id long, s string, o struct<n: long>")
+    row = read.agg(
+        F.count("*"), F.sum("id"), F.sum("o.n"), F.countDistinct("id"), F.sum(F.length("s"))
+    ).first()
+    total = 200_000 * 199_999 // 2
+    assert tuple(row) == (200_000, total, total, 200_000, sum(4 + i % 3 for i in range(200_000)))
+    assert spark.read.option("lineSep", "}").text(str(path)).rdd.getNumPartitions() > 5
+
+
 def test_fields_by_position(spark):
     df = lines(spark, "userId,movieId,rating", "1, 31 ,2.5,99", "2", '"3",4,x')
     got = readers.fields(df, {"item": 1, "rating": 2}, skip_prefix="userId")
