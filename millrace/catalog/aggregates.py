@@ -6,6 +6,7 @@ from millrace.catalog.registry import Tables, query
 from millrace.catalog.sqlparts import half_up, mean, mean_round, total
 from millrace.functions.numbers import exact_mean, exact_sum, exact_total, floor_bin
 from millrace.functions.numbers import mean_round as rounded_mean
+from millrace.operators.sums import exact_sums
 from millrace.functions.times import day_type
 from millrace.operators import aggregates as agg
 from millrace.operators.joins import count_by_dimension
@@ -49,6 +50,26 @@ def agg_sum(t: Tables):
     )
 
 
+@query(
+    "A03 A04",
+    """
+    SELECT l_returnflag, CAST(sum(CAST(round(l_extendedprice * 100) AS HUGEINT)
+        * (CAST(1 AS HUGEINT) << ((l_linenumber - 1) * 10))) AS DOUBLE) / 1099511627776.0 AS total,
+      count(*) AS n
+    FROM lineitem WHERE l_linenumber < 4 GROUP BY l_returnflag
+    """,
+)
+def sums_of_any_size(t: Tables):
+    """Exact sums of values from 1e-9 to 1e13, of which the large ones cancel out."""
+    size = F.pow(F.lit(2.0), ((F.col("l_linenumber") - 1) * 10 - 40).cast("double"))
+    value = F.round(F.col("l_extendedprice") * 100) * size
+    both = F.when(F.col("l_linenumber") < 4, F.array(value)).otherwise(F.array(value, -value))
+    rows = t.lineitem.select("l_returnflag", "l_linenumber", F.explode(both).alias("value"))
+    kept = F.when(F.col("l_linenumber") < 4, F.lit(1.0))
+    sums = exact_sums(rows, ["l_returnflag"], {"total": "value", "n": kept})
+    return sums.withColumn("n", F.col("n").cast("bigint"))
+
+
 @query(
     "A04",
     f"""

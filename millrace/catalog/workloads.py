@@ -18,7 +18,7 @@ from millrace.operators.joins import lookup
 from millrace.plans import economies, fares, trips
 from millrace.sources.readers import all_text, read_csv
 from millrace.sources.sinks import write_csv
-from millrace.storage import fresh_path
+from millrace.storage import fresh_path, materialize
 
 
 def ride_rows(t: Tables, since: str | None = None, until: str | None = None) -> DataFrame:
@@ -94,7 +94,8 @@ def weather_rows(t: Tables, file: bool = False) -> DataFrame:
         F.when(F.col("n") % 3 == 0, "T").otherwise("0.05").alias("precipitation3"),
     )
     if not file:
-        return text
+        # Written, so that conditions on the days do not reach the order lines.
+        return materialize(text, "weather-days")
     path = fresh_path(t.spark, "weather")
     write_csv(text, path)
     return read_csv(t.spark, path, all_text(text.columns))

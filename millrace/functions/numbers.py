@@ -16,6 +16,8 @@ _WHOLE = float(2**53)
 # Sums keep so many decimals of values below so much.
 _DECIMALS = 6
 _MOST = 1e17
+# Share of a value that its own rounding may make up.
+_NOISE = 2.0**-49
 
 
 def _col(c: Column | str) -> Column:
@@ -36,11 +38,39 @@ def round_half_up(c: Column | str, digits: int = 0) -> Column:
 
 
 def _parts(c: Column) -> tuple[Column, Column, Column]:
-    """Whole units, millionths, and what neither holds (huge, infinite, NaN)."""
+    """Whole units, millionths, and what neither holds.
+
+    The last is the value itself if it is huge, infinite or NaN, else the part
+    below a millionth; null where that is no more than the rounding of a double.
+    """
     plain = F.when(F.abs(c) < _MOST, c)
     whole = F.floor(plain)
     rest = F.floor((plain - whole) * float(10**_DECIMALS) + 0.5)
-    return whole, rest, F.when(plain.isNull(), c)
+    below = plain - (whole + rest / float(10**_DECIMALS))
+    other = F.when(plain.isNull(), c).when(F.abs(below) > F.abs(c) * _NOISE, below)
+    return whole, rest, other
+
+
+def split_total(c: Column | str) -> tuple[Column, Column]:
+    """Sum as a decimal and a double part, both of which can be summed again.
+
+    The decimal holds six decimals of all plain amounts and does not depend on
+    the order of the rows; the double holds what it cannot (smaller parts,
+    huge values, infinity, NaN) and is null where there is none.
+    """
+    whole, rest, other = _parts(_col(c).cast("double"))
+    step = F.lit(Decimal(1).scaleb(-_DECIMALS))
+    total = F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * step
+    return total, F.sum(other)
+
+
+def whole_total(total: Column, other: Column) -> Column:
+    """Both parts of ``split_total`` as one double."""
+    return (
+        F.when(other.isNull(), total.cast("double"))
+        .when(total.isNull(), other)
+        .otherwise(total.cast("double") + other)
+    )
 
 
 def exact_total(c: Column | str) -> Column:
@@ -49,14 +79,11 @@ def exact_total(c: Column | str) -> Column:
     For amounts with up to six decimals.  Whole units and the rest are summed
     as two long integers, which stays exact far beyond a single long and is
     much cheaper than a decimal per row; the decimal is built once per group.
-    A sum that is no decimal (infinity, NaN, 1e17 and more) is
-    an error here; ``exact_sum`` returns it.
+    Values that are no such amounts (see ``split_total``) are an error here.
     """
-    whole, rest, other = _parts(_col(c).cast("double"))
-    step = F.lit(Decimal(1).scaleb(-_DECIMALS))
-    total = F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * step
+    total, other = split_total(c)
     # None of a group's values may be left out without a word.
-    return F.when(F.count(other) == 0, total).when(
+    return F.when(other.isNull(), total).when(
         F.raise_error(F.lit("a sum holds values that are no plain amounts")).isNull(), total
     )
 
@@ -64,17 +91,10 @@ def exact_total(c: Column | str) -> Column:
 def exact_sum(c: Column | str) -> Column:
     """Double sum: order-free for amounts with up to six decimals.
 
-    Huge values, infinity and NaN are added as doubles, as ``sum`` does.
+    Smaller parts, huge values, infinity and NaN are added as doubles, as
+    ``sum`` does; ``operators.sums`` has a sum that is exact for any doubles.
     """
-    whole, rest, other = _parts(_col(c).cast("double"))
-    step = F.lit(Decimal(1).scaleb(-_DECIMALS))
-    total = F.sum(whole).cast("decimal(20,0)") + F.sum(rest).cast("decimal(20,0)") * step
-    odd = F.sum(other)
-    return (
-        F.when(odd.isNull(), total.cast("double"))
-        .when(total.isNull(), odd)
-        .otherwise(total.cast("double") + odd)
-    )
+    return whole_total(*split_total(c))
 
 
 def exact_mean(c: Column | str) -> Column:

@@ -7,7 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_sum, exact_total, mean_round, ratio_or_zero, round_half_up
+from millrace.functions.numbers import (
+    exact_sum,
+    mean_round,
+    ratio_or_zero,
+    round_half_up,
+    split_total,
+    whole_total,
+)
 from millrace.operators.windows import top_n
 
 
@@ -39,14 +46,16 @@ def with_total_row(
     The total is rolled up from the grouped rows, so the detail is read and
     aggregated once.
     """
+    parts = {new: split_total(c) for c, new in sums.items()}
     grouped = df.groupBy(key).agg(
         F.count(F.lit(1)).alias(count_name),
-        *[exact_total(c).alias(new) for c, new in sums.items()],
+        *[total.alias(new) for new, (total, _) in parts.items()],
+        *[other.alias(f"_{new}") for new, (_, other) in parts.items()],
     )
     rolled = grouped.rollup(key).agg(
         F.grouping(key).alias("_total"),
         F.sum(count_name).alias(count_name),
-        *[F.sum(c).cast("double").alias(c) for c in sums.values()],
+        *[whole_total(F.sum(c), F.sum(f"_{c}")).alias(c) for c in sums.values()],
     )
     name = F.when(F.col("_total") == 1, label).otherwise(F.col(key).cast("string"))
     return rolled.select(name.alias(key), count_name, *sums.values())

@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.functions.numbers import exact_mean, exact_sum, exact_total, floor_bin, mean_round, round_half_up
+from millrace.functions.numbers import (
+    exact_mean,
+    exact_sum,
+    floor_bin,
+    mean_round,
+    round_half_up,
+    split_total,
+    whole_total,
+)
 from millrace.functions.times import day_type, month_range, year_range
 
 
@@ -38,25 +46,29 @@ def by_temperature(fares: DataFrame, weather: DataFrame, width: int = 5) -> Data
 
     Fares are summed per day first, so the weather is joined to one row a day.
     """
+    miles, fare = split_total("trip_miles"), split_total("base_passenger_fare")
     daily = fares.groupBy("date").agg(
         F.count(F.lit(1)).alias("_n"),
-        exact_total("trip_miles").alias("_miles"),
+        miles[0].alias("_miles"),
+        miles[1].alias("_miles_other"),
         F.count("trip_miles").alias("_miles_n"),
-        exact_total("base_passenger_fare").alias("_fare"),
+        fare[0].alias("_fare"),
+        fare[1].alias("_fare_other"),
         F.count("base_passenger_fare").alias("_fare_n"),
     )
+
+    def mean(name: str) -> Column:
+        total = whole_total(F.sum(name), F.sum(f"{name}_other"))
+        return round_half_up(F.try_divide(total, F.sum(f"{name}_n")), 2)
+
     band = floor_bin("max", width).cast("double").alias("temp_group")
     joined = daily.join(weather.select("date", "max"), "date", "left")
     return (
         joined.groupBy(band)
         .agg(
             F.sum("_n").alias("count"),
-            round_half_up(
-                F.try_divide(F.sum("_miles").cast("double"), F.sum("_miles_n")), 2
-            ).alias("avg_trip_miles"),
-            round_half_up(
-                F.try_divide(F.sum("_fare").cast("double"), F.sum("_fare_n")), 2
-            ).alias("avg_base_passenger_fare"),
+            mean("_miles").alias("avg_trip_miles"),
+            mean("_fare").alias("avg_base_passenger_fare"),
         )
         .orderBy(F.asc_nulls_first("temp_group"))
     )

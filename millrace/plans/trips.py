@@ -16,12 +16,13 @@ from millrace.functions.numbers import (
     bucket_rank,
     bucketize,
     exact_mean,
-    exact_total,
     fahrenheit_to_celsius,
     map_codes,
     round_half_up,
     row_sum,
+    split_total,
     to_number,
+    whole_total,
 )
 from millrace.functions.times import date_from_parts, minutes, seconds_between
 from millrace.operators.joins import lookup
@@ -168,7 +169,12 @@ def cells(rows: DataFrame, names: Sequence[str] = tuple(GROUPINGS)) -> DataFrame
     ]
     for m in MEASURES:
         value = F.when(known, F.col(m))
-        figures += [exact_total(value).alias(f"{m}_sum"), F.count(value).alias(f"{m}_n")]
+        total, other = split_total(value)
+        figures += [
+            total.alias(f"{m}_sum"),
+            other.alias(f"{m}_other"),
+            F.count(value).alias(f"{m}_n"),
+        ]
     owner = _owner(names)
     grouped = rows.groupingSets([[F.col(k) for k in GROUPINGS[n]] for n in names], *keys)
     return grouped.agg(owner.alias("report"), *figures)
@@ -183,7 +189,7 @@ def _owner(names: Sequence[str]) -> Column:
 
 
 def _mean(measure: str, digits: int) -> Column:
-    total = F.col(f"{measure}_sum").cast("double")
+    total = whole_total(F.col(f"{measure}_sum"), F.col(f"{measure}_other"))
     return round_half_up(F.try_divide(total, F.col(f"{measure}_n")), digits)
 
 

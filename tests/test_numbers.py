@@ -1,8 +1,15 @@
+import math
+import random
+import struct
+from fractions import Fraction
+
+import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
 from millrace.functions import numbers as n
 from millrace.functions import times
+from millrace.operators.sums import exact_sums
 
 
 def column(spark, rows, kind="double"):
@@ -113,3 +120,66 @@ def test_odd_values_count_as_in_plain_sums(spark):
     rounded = spark.createDataFrame([(1e17,), (float("inf"),), (-2.345,)], "x double")
     got = [r[0] for r in rounded.select(n.round_half_up("x", 2)).collect()]
     assert got == [1e17, float("inf"), -2.35]
+
+
+def test_parts_below_a_millionth_are_not_lost(spark):
+    tiny = column(spark, [1e-7] * 1000 + [4e-7, 1e-9, 2.5])
+    got = tiny.agg(n.exact_sum("x").alias("s")).first()["s"]
+    assert got == pytest.approx(2.500100401, rel=1e-15)
+    parts = n.split_total("x")
+    for extra, want in ((float("nan"), "nan"), (float("inf"), "inf"), (1e300, "1e+300")):
+        df = column(spark, [1.25, extra])
+        row = df.agg(parts[0].alias("d"), parts[1].alias("o")).first()
+        assert float(row["d"]) == 1.25 and str(row["o"]) == want
+    assert column(spark, [1.25, 0.1]).agg(parts[1].alias("o")).first()["o"] is None
+
+
+def _doubles(rng, kind):
+    if kind == "any":
+        x = math.nan
+        while not math.isfinite(x):
+            x = struct.unpack("<d", rng.randbytes(8))[0]
+        return x
+    return {
+        "amounts": lambda: round(rng.uniform(-1e4, 1e4), 2),
+        "tiny": lambda: rng.uniform(-1, 1) * 10.0 ** rng.randint(-323, -290),
+        "mixed": lambda: rng.uniform(-1, 1) * 10.0 ** rng.randint(-20, 20),
+        "cancelling": lambda: rng.choice([1e300, -1e300, 1.0, 2.0**-1074, 1e16, 0.1, -1e16]),
+        "large": lambda: rng.choice([1.7e308, -1.7e308, 9e307]),
+        "halves": lambda: rng.choice([1.0, 2.0**-53, 2.0**-54, -(2.0**-53), 2.0**-105]),
+    }[kind]()
+
+
+def test_sums_of_any_doubles(spark):
+    """The nearest double to the rational sum, however the rows are dealt."""
+    rng = random.Random(11)
+    kinds = ["any", "amounts", "tiny", "mixed", "cancelling", "large", "halves"]
+    rows = [
+        (g, _doubles(rng, kinds[g % 7]))
+        for g in range(140)
+        for _ in range(rng.choice([1, 2, 3, 30, 200]))
+    ]
+    want = {}
+    for g, x in rows:
+        want[g] = want.get(g, Fraction(0)) + Fraction(x)
+
+    def nearest(f):
+        try:
+            return float(f)
+        except OverflowError:
+            return math.inf if f > 0 else -math.inf
+
+    df = spark.createDataFrame(rows, "g int, x double")
+    for parts in (1, 7):
+        got = exact_sums(df.repartition(parts), ["g"], {"s": "x", "t": -F.col("x")}).collect()
+        assert {r["g"]: r["s"] for r in got} == {g: nearest(f) for g, f in want.items()}
+        assert all(r["t"] == -r["s"] for r in got)
+
+
+def test_odd_sums(spark):
+    inf, nan = float("inf"), float("nan")
+    rows = [(1, nan), (1, 1.0), (2, inf), (2, 1.0), (3, None), (4, 0.0), (4, -0.0), (5, inf), (5, -inf), (None, 1.5)]
+    df = spark.createDataFrame(rows, "g int, x double")
+    got = {r["g"]: str(r["x"]) for r in exact_sums(df, ["g"], {"x": "x"}).collect()}
+    assert got == {1: "nan", 2: "inf", 3: "None", 4: "0.0", 5: "nan", None: "1.5"}
+    assert exact_sums(df.limit(0), ["g"], {"x": "x"}).collect() == []
