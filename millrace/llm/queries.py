@@ -183,12 +183,15 @@ c AS (
       AND len(list_distinct(string_split(s.val, ''))) >= 8)) AS places
   FROM b),
 v AS (
-  SELECT val, count(DISTINCT coalesce(source, '')) AS owners
-  FROM (SELECT source, unnest(places).val AS val FROM c) GROUP BY val),
+  SELECT val, owners <= 1 AND repos <= 3 AS live, owners >= 3 OR repos >= 10 AS example
+  FROM (
+    SELECT val, count(DISTINCT {{'owner': source}}) AS owners,
+      count(DISTINCT {{'owner': source, 'repo': doc_id}}) AS repos
+    FROM (SELECT doc_id, source, unnest(places).val AS val FROM c) GROUP BY val)),
 m AS (
   SELECT doc_id, list({{'start': p.start, 'rank': 3, 'stop': p.stop, 'kind': 'live', 'val': ''}})
-      FILTER (owners <= 1) AS live,
-    count(*) FILTER (owners <= 1) AS n_live, count(*) FILTER (owners >= 3) AS n_example
+      FILTER (v.live) AS live,
+    count(*) FILTER (v.live) AS n_live, count(*) FILTER (v.example) AS n_example
   FROM (SELECT doc_id, unnest(places) AS p FROM c) x JOIN v ON v.val = x.p.val
   GROUP BY doc_id)
 SELECT c.doc_id, {", ".join(_sql_count(k) for k in ("assign", "access", "hex"))},
@@ -242,23 +245,62 @@ def op4(spark, folder):
     return phrases.fingerprint_documents(table(spark, folder, "documents"))
 
 
-# The given conversations hold no quotation: every message answers the one before.
-# A text that does would be missing here and so show.
+# The given conversations hold no quotation, so the query makes them quote as mail
+# programs do: every turn quotes all of the turn of half its number.
 OP3_SQL = r"""
-SELECT conv_id AS thread, turn, role, trim(coalesce(text, ''), ' ') AS text,
-  CAST(0 AS BIGINT) AS n_quotes, CAST(0 AS BIGINT) AS n_linked,
-  CASE WHEN lag(turn) OVER w IS NOT NULL THEN conv_id END AS parent_thread,
-  lag(turn) OVER w AS parent_turn, row_number() OVER w - 1 AS depth, row_number() OVER w AS place
-FROM conversations
-WHERE NOT regexp_matches(coalesce(text, ''), '(^|\n) ?>')
-WINDOW w AS (PARTITION BY conv_id ORDER BY turn)
+WITH RECURSIVE c AS (
+  SELECT conv_id, turn, role, text,
+    trim(regexp_replace(lower(text), '[^\p{L}\p{N}]+', ' ', 'g')) AS said,
+    list_transform(string_split(text, chr(10)), lambda x:
+      trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g'))) AS lines
+  FROM conversations),
+q AS (
+  SELECT c.conv_id, c.turn, c.role, c.text, coalesce(o.said, '') AS quoted,
+    lag(c.turn) OVER (PARTITION BY c.conv_id ORDER BY c.turn) AS before
+  FROM c LEFT JOIN c o ON o.conv_id = c.conv_id AND o.turn = c.turn // 2 AND c.turn > 0),
+p AS (
+  SELECT q.conv_id, q.turn, q.role, q.text, q.quoted <> '' AS quotes, q.before,
+    max(o.turn) AS original
+  FROM q LEFT JOIN c o ON o.conv_id = q.conv_id AND o.turn < q.turn AND q.quoted <> ''
+    AND (o.said = q.quoted OR list_contains(o.lines, q.quoted))
+  GROUP BY ALL),
+u AS (SELECT *, coalesce(original, before) AS up FROM p),
+d AS (
+  SELECT conv_id, turn, 0 AS depth FROM u WHERE up IS NULL
+  UNION ALL
+  SELECT u.conv_id, u.turn, d.depth + 1 FROM u JOIN d ON u.conv_id = d.conv_id AND u.up = d.turn)
+SELECT u.conv_id AS thread, CAST(u.turn AS BIGINT) AS turn, role, trim(coalesce(text, ''), ' ') AS text,
+  CAST(quotes AS BIGINT) AS n_quotes, CAST(original IS NOT NULL AS BIGINT) AS n_linked,
+  CASE WHEN up IS NOT NULL THEN u.conv_id END AS parent_thread, CAST(up AS BIGINT) AS parent_turn,
+  CAST(depth AS BIGINT) AS depth,
+  row_number() OVER (PARTITION BY u.conv_id ORDER BY depth, u.turn) AS place
+FROM u JOIN d ON u.conv_id = d.conv_id AND u.turn = d.turn
 """
 
 
+def quoting(messages):
+    """The conversations with a quotation of an earlier message before each text.
+
+    Turn ``t`` quotes every line of turn ``t // 2`` of its thread; the first of
+    repeated turns by text is the one that is quoted.
+    """
+    earlier = messages.groupBy("conv_id", F.col("turn").alias("target")).agg(
+        F.min("text").alias("quoted")
+    )
+    half = F.when(F.col("turn") > 0, F.floor(F.col("turn") / 2))
+    mine, other = messages.withColumn("target", half).alias("m"), earlier.alias("e")
+    same = (F.col("m.conv_id") == F.col("e.conv_id")) & (F.col("m.target") == F.col("e.target"))
+    marked = F.concat(F.lit("> "), F.replace("quoted", F.lit("\n"), F.lit("\n> ")), F.lit("\n"))
+    text = F.concat(F.coalesce(marked, F.lit("")), F.coalesce("m.text", F.lit("")))
+    return mine.join(other, same, "left").select(
+        "m.conv_id", "m.turn", "m.role", text.alias("text")
+    )
+
+
 @query("op3_quotation_links", OP3_SQL)
 def op3(spark, folder):
     """Messages without quotations, in reply order, with the message each answers."""
-    return quotes.link_quotes(table(spark, folder, "conversations"))
+    return quotes.link_quotes(quoting(table(spark, folder, "conversations")))
 
 
 @query("op10_suffix_pieces")
