@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from millrace.catalog.registry import Tables, query
 from millrace.functions.numbers import exact_sum
+from millrace.operators.reconcile import differences
 from millrace.operators import joins
 
 
@@ -235,6 +236,32 @@ def reconcile(t: Tables):
     return joins.reconcile(expected, lines, "o_orderkey", "e", "a")
 
 
+@query(
+    "J15",
+    """
+    SELECT o_orderkey, o_totalprice AS expected, NULL::DOUBLE AS actual, 'missing' AS reason
+    FROM orders WHERE o_orderkey % 100 = 7
+    UNION ALL SELECT o_orderkey, o_totalprice, o_totalprice + 1, 'differs'
+    FROM orders WHERE o_orderkey % 100 = 33
+    UNION ALL SELECT o_orderkey, o_totalprice, NULL, 'differs' FROM orders WHERE o_orderkey % 100 = 66
+    UNION ALL SELECT -o_orderkey, NULL, o_totalprice, 'missing' FROM orders WHERE o_orderkey % 100 = 2
+    """,
+)
+def reconcile_tree(t: Tables):
+    """Orders against a copy with changed, lost and added rows; the rest is not moved."""
+    rest = F.col("o_orderkey") % 100
+    price = F.when(rest == 33, F.col("o_totalprice") + 1).when(rest != 66, F.col("o_totalprice"))
+    copy = t.orders.filter(rest != 7).select("o_orderkey", price.alias("o_totalprice"))
+    added = t.orders.filter(rest == 2).select((-F.col("o_orderkey")).alias("o_orderkey"), "o_totalprice")
+    found = differences(t.orders, copy.unionByName(added), ["o_orderkey"], ["o_totalprice"])
+    return found.select(
+        "o_orderkey",
+        F.col("expected.o_totalprice").alias("expected"),
+        F.col("actual.o_totalprice").alias("actual"),
+        "reason",
+    )
+
+
 @query(
     "J05 E19",
     """

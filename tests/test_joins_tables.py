@@ -2,6 +2,7 @@ import pytest
 from conftest import final_plan, values
 from pyspark.sql import functions as F
 
+from millrace.operators.reconcile import differences, differing_leaves
 from millrace.operators import aggregates, joins, tables
 from millrace.plans import economies
 
@@ -47,6 +48,40 @@ def test_reconcile_has_three_outcomes(spark):
     ]
 
 
+def test_differences_of_two_tables(spark):
+    """Changed, lost and added rows, nulls and repeated keys; order does not matter."""
+    base = [(f"k{i}", i % 7, None if i % 5 == 0 else i / 3) for i in range(2000)]
+    base += [(None, 1, 1.0), ("rep", 1, 1.0), ("rep", 1, 1.0), ("rep", 2, None), ("even", 3, 3.0)]
+    other = [(k, a, b) for k, a, b in base if k not in ("k17", "k400")]
+    other = [(k, a, 9.5) if k in ("k30", "k31") else (k, a, b) for k, a, b in other]
+    other += [("new", None, None), ("even", 3, 3.0)]
+    other.remove(("rep", 1, 1.0))
+    schema = "k string, a int, b double"
+    left, right = (spark.createDataFrame(rows, schema) for rows in (base, other))
+    found = differences(left, right.repartition(3), ["k"], ["a", "b"]).collect()
+    shown = {
+        r["k"]: (r["expected"] and tuple(r["expected"]), r["actual"] and tuple(r["actual"]), r["reason"])
+        for r in found
+    }
+    assert len(found) == len(shown) and shown == {
+        "k17": ((3, 17 / 3), None, "missing"), "k400": ((1, None), None, "missing"),
+        "k30": ((2, None), (2, 9.5), "differs"), "k31": ((3, 31 / 3), (3, 9.5), "differs"),
+        "new": (None, (None, None), "missing"), "rep": ((1, 1.0), None, "missing"),
+        "even": (None, (3, 3.0), "missing"),
+    }
+    assert differences(left, left.repartition(5), ["k"], ["a", "b"]).collect() == []
+    assert differences(left.limit(0), left.limit(0), ["k"], ["a", "b"]).collect() == []
+
+
+def test_only_differing_leaves_are_compared(spark):
+    rows = spark.range(20_000).select("id", (F.col("id") * 2).alias("v"))
+    signed = rows.withColumn("sign", F.lit(1).cast("bigint")).union(
+        rows.select("id", F.when(F.col("id") == 5, 0).otherwise(F.col("v")), F.lit(-1).cast("bigint"))
+    )
+    assert differing_leaves(signed, ["id"], ["v"]).count() == 1
+    assert differing_leaves(signed.filter("id <> 5"), ["id"], ["v"]).count() == 0
+
+
 def test_membership_in_several_groups(spark):
     entities = spark.createDataFrame([("Egypt",), ("Chad",), ("Fiji",)], "c string")
     bridge = spark.createDataFrame(
