@@ -16,6 +16,7 @@ import time
 
 from millrace.catalog import REGISTRY
 from millrace.session import local_session
+from millrace.storage import scope
 
 HEADLINE = [
     # trips: scan, joins in two roles, day dimension, categories, aggregates
@@ -50,10 +51,11 @@ def main() -> None:
     for name in names:
         runs = []
         for _ in range(4):
-            start = time.perf_counter()
-            df = REGISTRY[name].run(spark, folder)
-            df.write.format("noop").mode("overwrite").save()
-            runs.append(time.perf_counter() - start)
+            with scope(spark):
+                start = time.perf_counter()
+                df = REGISTRY[name].run(spark, folder)
+                df.write.format("noop").mode("overwrite").save()
+                runs.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(runs[1:]), 4)
     spark.stop()
     print(

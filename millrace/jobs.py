@@ -22,7 +22,7 @@ from millrace.operators.planning import Terms
 from millrace.plans import economies, fares, keywords, procurement, trips
 from millrace.session import configure
 from millrace.sources import readers, sinks
-from millrace.storage import materialize
+from millrace.storage import materialize, scope
 from millrace.streaming import line_jobs
 
 # Columns of the public files, and the default purchase.
@@ -187,7 +187,9 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = parser().parse_args(argv)
     spark = configure(spark or SparkSession.builder.appName(f"millrace-{args.name}").getOrCreate())
-    args.run(spark, args)
+    # Results are written by the job, so what it wrote on the way can go.
+    with scope(spark):
+        args.run(spark, args)
 
 
 if __name__ == "__main__":

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,9 +29,48 @@ def shared_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir().rstrip("/")
 
 
+# Paths made since the innermost open scope began; None outside of any.
+_SCOPE: ContextVar[list[str] | None] = ContextVar("scope", default=None)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder where Spark's file system finds it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[list[str]]:
+    """Intermediates written inside are removed at the end, also after an error.
+
+    A query's result is lazy and reads what its builder wrote, so the result is
+    to be written (or collected) inside too::
+
+        with scope(spark):
+            query(spark, folder).write.parquet(target)
+
+    Until the end the files lie in the shared folder, where every executor finds
+    them again when another one is lost.  Scopes nest: a path belongs to the
+    innermost one, and taking it out of the list that the scope gives keeps it.
+    Nothing is cached in memory, so nothing has to be unpersisted.
+    """
+    paths: list[str] = []
+    token = _SCOPE.set(paths)
+    try:
+        yield paths
+    finally:
+        _SCOPE.reset(token)
+        for path in paths:
+            remove(spark, path)
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """Unused path below the shared folder."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """Unused path below the shared folder; it belongs to the open scope, if any."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    paths = _SCOPE.get()
+    if paths is not None:
+        paths.append(path)
+    return path
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -313,3 +313,43 @@ def test_line_jobs_on_a_stream(spark, tmp_path):
         assert values(spark.table("ratings_stream")) == [("1", 2, 3.5), ("2", 1, 5.0)]
     finally:
         query.stop()
+
+
+def made_files(spark):
+    return {f for f in os.listdir(storage.shared_dir(spark).removeprefix("file:")) if "scoped" in f}
+
+
+def test_intermediates_end_with_their_scope(spark, tmp_path):
+    def build(n):
+        return storage.materialize(spark.range(n).withColumn("x", F.col("id") * 2), "scoped")
+
+    with storage.scope(spark):
+        df = build(10).join(build(5).select("id"), "id")
+        assert len(made_files(spark)) == 2
+        df.write.parquet(f"{tmp_path}/out")
+    assert made_files(spark) == set() and spark.read.parquet(f"{tmp_path}/out").count() == 5
+    with storage.scope(spark) as outer:
+        kept = build(3)
+        with storage.scope(spark):
+            assert build(4).select("id").join(kept, "id").count() == 3
+        assert kept.count() == 3 and len(made_files(spark)) == 1
+        place = outer.pop()
+    assert kept.count() == 3
+    storage.remove(spark, place)
+    with pytest.raises(ZeroDivisionError), storage.scope(spark):
+        build(2)
+        raise ZeroDivisionError
+    assert made_files(spark) == set()
+    # Outside of any scope files stay: the result that reads them is still to come.
+    assert build(2).count() == 2 and len(made_files(spark)) == 1
+
+
+def test_a_written_query_leaves_nothing(spark, folder, tmp_path):
+    from millrace.catalog import REGISTRY
+
+    top = storage.shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(top))
+    for name in ("tfidf_top_terms", "json_array_splits"):
+        with storage.scope(spark):
+            REGISTRY[name].run(spark, folder).write.parquet(f"{tmp_path}/{name}")
+    assert set(os.listdir(top)) == before
