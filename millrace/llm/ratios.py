@@ -29,9 +29,9 @@ def repeated_words(each: Column) -> Column:
     """Words inside 3-word windows that a word array holds twice or more.
 
     A window's 64-bit hash gives its low bits to the window's position, so one
-    sort of plain numbers puts equal windows side by side.  The hash keeps more
-    than 64 - 2 log2(n) bits beyond the number of pairs: a false match in a
-    text of 20,000 words has odds of about one in ten million.
+    sort of plain numbers puts equal windows side by side.  Windows of equal
+    hash are compared word by word; only where two different ones share the
+    hash, one in billions, all others of it are looked at.
     """
 
     def covered(x: Column) -> Column:
@@ -40,11 +40,24 @@ def repeated_words(each: Column) -> Column:
         def key(w: Column) -> Column:
             return w - F.pmod(w, unit)
 
-        twice = F.filter(
-            sorted_windows,
-            lambda w, k: ((k > 0) & (key(w) == key(F.get(sorted_windows, k - 1))))
-            | ((k < n - 3) & (key(w) == key(F.get(sorted_windows, k + 1)))),
-        )
+        def word(w: Column, k: int) -> Column:
+            return F.get(x["each"], (F.pmod(w, unit) + k).cast("int"))
+
+        def same(v: Column, w: Column) -> Column:
+            return (word(v, 0) == word(w, 0)) & (word(v, 1) == word(w, 1)) & (word(v, 2) == word(w, 2))
+
+        def repeated(w: Column, k: Column) -> Column:
+            left = (k > 0) & (key(w) == key(F.get(sorted_windows, k - 1)))
+            right = (k < n - 3) & (key(w) == key(F.get(sorted_windows, k + 1)))
+            return (left | right) & (
+                (left & same(w, F.get(sorted_windows, k - 1)))
+                | (right & same(w, F.get(sorted_windows, k + 1)))
+                | F.exists(
+                    sorted_windows, lambda v: (v != w) & (key(v) == key(w)) & same(v, w)
+                )
+            )
+
+        twice = F.filter(sorted_windows, repeated)
         places = F.flatten(
             F.transform(
                 F.transform(twice, lambda w: F.pmod(w, unit)), lambda p: F.array(p, p + 1, p + 2)
@@ -64,7 +77,10 @@ def repeated_words(each: Column) -> Column:
         packed = F.transform(hashes, lambda h, i: h - F.pmod(h, x["unit"]) + i)
         return let(
             F.struct(
-                x["n"].alias("n"), x["unit"].alias("unit"), F.sort_array(packed).alias("windows")
+                x["each"].alias("each"),
+                x["n"].alias("n"),
+                x["unit"].alias("unit"),
+                F.sort_array(packed).alias("windows"),
             ),
             covered,
         )
