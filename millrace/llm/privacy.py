@@ -118,7 +118,8 @@ def find_disclosures(
 
     Returns ``doc_id, text_key, base, marks``, one row per row of ``docs``;
     ``base`` and ``marks`` hold ``start, rank, end, kind``, ``base`` also the
-    value.  ``text_key`` is null where there is no personal data; such rows
+    value, ``marks`` the band of the term: 0 for a word of 1 to 9 documents, 1 for 10
+    to 99, and so on.  ``text_key`` is null where there is no personal data; such rows
     are not joined with anything.  Marks are found per text and joined by its
     digest, so copies are judged once and repeated or null doc_ids are safe.
     The texts are read twice; only those with personal data are shuffled, one
@@ -224,12 +225,14 @@ def find_disclosures(
         .filter(F.col("share") >= generalise_at)
         .select("entity", "term", "share")
     )
+    # A generalised term is shown as the class of words that are about as frequent.
+    band = F.floor(F.log10(F.max("n_term"))).cast("int")
     # Every place of a revealing term in the texts of its entity.
     told = materialize(
-        pairs.select("text_key", "entity", "term")
+        pairs.select("text_key", "entity", "term", "n_term")
         .join(revealing, ["entity", "term"])
         .groupBy("text_key", "term")
-        .agg(F.max("share").alias("share")),
+        .agg(F.max("share").alias("share"), band.alias("band")),
         "private-told",
     )
     strongest = (
@@ -237,7 +240,7 @@ def find_disclosures(
         .select("text_key", F.explode(matches(F.col("outside"), TERM)).alias("m"))
         .select("text_key", "m.start", "m.end", F.lower("m.value").alias("term"))
         .join(told, ["text_key", "term"])
-        .select("text_key", "start", "end", "share")
+        .select("text_key", "start", "end", "share", "band")
     )
     kind = F.when(F.col("share") >= remove_at, "remove").otherwise("generalise")
     rank = F.when(F.col("share") >= remove_at, KINDS.index("remove")).otherwise(
@@ -246,11 +249,11 @@ def find_disclosures(
     marks = strongest.groupBy("text_key").agg(
         F.array_sort(
             F.collect_list(
-                F.struct("start", rank.alias("rank"), "end", kind.alias("kind"))
+                F.struct("start", rank.alias("rank"), "end", kind.alias("kind"), "band")
             )
         ).alias("marks")
     )
-    shape = "array<struct<start:bigint,rank:int,end:bigint,kind:string>>"
+    shape = "array<struct<start:bigint,rank:int,end:bigint,kind:string,band:int>>"
     unmarked = F.array().cast(shape)
     out = ["doc_id", "text_key", "base", "marks"]
     judged = flagged.join(marks, "text_key", "left").withColumn(
@@ -260,13 +263,15 @@ def find_disclosures(
     return judged.select(*out).unionByName(bare.select(*out))
 
 
-def _places(spans: Column) -> Column:
-    return F.transform(spans, lambda s: F.struct(s["start"], s["rank"], s["end"], s["kind"]))
-
-
 def all_spans() -> Column:
     """Base and added spans of a row of ``find_disclosures`` by start, then kind."""
-    return F.array_sort(F.concat(_places(F.col("base")), F.col("marks")))
+    base = F.transform(
+        "base",
+        lambda s: F.struct(
+            s["start"], s["rank"], s["end"], s["kind"], F.lit(None).cast("int").alias("band")
+        ),
+    )
+    return F.array_sort(F.concat(base, F.col("marks")))
 
 
 def digest(found: DataFrame) -> DataFrame:
@@ -286,7 +291,9 @@ def digest(found: DataFrame) -> DataFrame:
 def sanitise(docs: DataFrame, *, doc_id="doc_id", text="text", **limits) -> DataFrame:
     """``docs`` with personal data replaced by its kind and terms treated.
 
-    A removed term becomes ``<removed>``, a generalised one ``<word>``.  Keeps
+    A removed term becomes ``<removed>``.  A generalised one becomes the class of
+    the corpus's words that are about as frequent: ``<word:10+>`` stands for any
+    word of 10 to 99 documents.  Keeps
     all rows and columns, whatever their names; texts without personal data,
     null and empty ones among them, are untouched.
     """
@@ -304,15 +311,16 @@ def sanitise(docs: DataFrame, *, doc_id="doc_id", text="text", **limits) -> Data
         body.contains("@") | body.rlike(IP) | body.rlike(CARD) | body.rlike(PHONE), F.lit(False)
     )
     hit = docs.filter(suspect).join(cuts, F.md5(body) == F.col(key), "left")
-    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string>>")
+    none = F.array().cast("array<struct<start:bigint,rank:int,end:bigint,kind:string,band:int>>")
     hit = hit.withColumn(places, F.coalesce(places, none))
-    label = {"remove": "<removed>", "generalise": "<word>"}
 
     def mask(span: Column) -> Column:
-        out = F.concat(F.lit("<"), span["kind"], F.lit(">"))
-        for kind, shown in label.items():
-            out = F.when(span["kind"] == kind, shown).otherwise(out)
-        return out
+        least = F.pow(F.lit(10.0), span["band"].cast("double")).cast("bigint").cast("string")
+        return (
+            F.when(span["kind"] == "remove", "<removed>")
+            .when(span["kind"] == "generalise", F.concat(F.lit("<word:"), least, F.lit("+>")))
+            .otherwise(F.concat(F.lit("<"), span["kind"], F.lit(">")))
+        )
 
     fixed = hit.withColumn(text, masked(body, F.col(places), mask))
     return fixed.select(*docs.columns).unionByName(docs.filter(~suspect))

@@ -1,7 +1,10 @@
 """Secrets and personal data against plain regular expressions on whole texts."""
 
 import hashlib
+import math
+import random
 import re
+from collections import Counter
 
 from millrace.llm import credentials, mixing, ngram_join, privacy
 from millrace.llm.texts import blanked, masked, matches
@@ -222,6 +225,72 @@ def test_disclosing_terms_far_away(make):
     assert clean[1] == f"<removed>{far} <email>{far} <removed>"
 
 
+def disclosed(rows):
+    """Plain co-occurrence over ``(doc_id, text)``: marks per text, with the band."""
+    values = {text: [(a, b, k, text[a:b]) for a, k, b in private_spans(text)] for _, text in rows}
+    terms = lambda t: {w.lower() for w in re.findall(r"[^\W\d_]{3,}", t)}
+    outside = {}
+    for text, spans in values.items():
+        plain = list(text)
+        for a, b, _, _ in spans:
+            plain[a:b] = " " * (b - a)
+        outside[text] = "".join(plain)
+    copies = Counter(text for _, text in rows)
+    entity, entity_texts, term, both, both_texts = (Counter() for _ in range(5))
+    held = {}
+    for text, spans in values.items():
+        held[text] = {(k, v) for _, _, k, v in spans}
+        for e in held[text]:
+            entity[e] += copies[text]
+            entity_texts[e] += 1
+        # A document that has the term only inside personal data does not count.
+        for w in terms(outside[text]):
+            term[w] += copies[text]
+            for e in held[text]:
+                both[e, w] += copies[text]
+                both_texts[e, w] += 1
+    n = len(rows)
+    marks = {}
+    for text in values:
+        found = []
+        for m in re.finditer(r"[^\W\d_]{3,}", outside[text]):
+            w = m.group().lower()
+            shares = [0.0]
+            for e in held[text]:
+                if both_texts[e, w] >= 2 and entity[e] < n:
+                    information = math.log2(n / entity[e])
+                    shares.append(math.log2(n * both[e, w] / (entity[e] * term[w])) / information)
+            if max(shares) >= 0.6:
+                kind = "remove" if max(shares) >= 0.9 else "generalise"
+                found.append((m.start(), m.end(), kind, len(str(term[w])) - 1))
+        marks[text] = found
+    return marks
+
+
+def test_disclosures_against_brute_force(make, texts):
+    """Terms of the given documents, and of some where many words tell much."""
+    rng = random.Random(7)
+    names = [f"{x}{y}" for x in "abcdefgh" for y in ("lix", "mon", "rud")]
+    rows = [(i, t) for i, t in texts.items()]
+    for i in range(160):
+        who = rng.randrange(12)
+        words = rng.choices(names, k=6) + [f"only{'abcdefghijkl'[who]}"] * rng.randrange(3)
+        if rng.random() < 0.6:  # told by others too: no proof any more
+            words.append(f"only{rng.choice('abcdefghijkl')}")
+        rows.append((1000 + i, " ".join(rng.sample(words, len(words))) + f" p{who}@mail.example.com"))
+    rows += [(2000 + i, rows[-1 - i % 3][1]) for i in range(5)]
+    want = disclosed(rows)
+    assert sum(k[2] == "generalise" for m in want.values() for k in m) > 20
+    docs = make([(i, t, "s") for i, t in rows])
+    for r in privacy.find_disclosures(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
+        got = [(m["start"], m["end"], m["kind"], m["band"]) for m in r["marks"]]
+        assert got == want[r["text"]], r["text"]
+    text, clean = rows[-1][1], privacy.sanitise(docs).filter("doc_id = 2004").first()["text"]
+    for a, b, kind, band in reversed(want[text]):
+        text = text[:a] + ("<removed>" if kind == "remove" else f"<word:{10**band}+>") + text[b:]
+    assert clean == re.sub(r"p\d+@mail.example.com", "<email>", text)
+
+
 def test_many_spans_and_masks(spark):
     text = "é " + "ab1 " * 2_000 + "🙂"
     df = spark.createDataFrame([(text,), (None,), ("",)], "t string")
