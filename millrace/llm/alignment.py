@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import itertools
 import os
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 from typing import Any
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.pieces import MARK
 from millrace.llm.shipping import ship
-from millrace.llm.token_counts import byte_alphabet
+from millrace.llm.token_counts import PATTERN, MergeTable, byte_alphabet
 from millrace.storage import materialize
 
 # Characters of texts that are encoded and aligned at a time.
@@ -31,6 +32,8 @@ _HEAVY = 1_000
 # Links of one group that are listed before equal pairs are counted.
 _MOST_LISTED = 1 << 16
 
+_LONG_RUN = re.compile(r"(?<!\S)\S{1000}|(?<!\s)\s{1000}")
+
 _MEASURES = ("n_a", "n_b", "n_groups", "n_links")
 
 
@@ -41,6 +44,10 @@ class Model:
     kind: str
     content: bytes
     token_bytes: list[bytes]
+    # Characters that the two byte-level encoders may split differently.
+    unknown: frozenset[str] = frozenset()
+    # Ids ascend as the merges do, so that they are ranks.
+    ranked: bool = False
 
     @classmethod
     def load(cls, path: str) -> Model:
@@ -48,9 +55,15 @@ class Model:
         with open(path, "rb") as file:
             content = file.read()
         kind = os.path.splitext(path)[1]
+        unknown, ranked = frozenset(), False
         if kind == ".json":
             from tokenizers import Tokenizer
 
+            merges = MergeTable.load(path)
+            unknown = merges.unknown
+            ranked = bool(
+                (np.diff(merges.merged) > 0).all() and merges.byte_ids.max() < merges.merged.min()
+            )
             coder = Tokenizer.from_str(content.decode())
             value = {c: b for b, c in enumerate(byte_alphabet())}
             tokens = map(coder.id_to_token, range(coder.get_vocab_size()))
@@ -73,7 +86,7 @@ class Model:
                     table.append(piece.replace(MARK, " ").encode())
         else:
             raise ValueError(f"unknown kind of vocabulary file: {path}")
-        return cls(kind, content, table)
+        return cls(kind, content, table, unknown, ranked)
 
     def encoder(self):
         """Function from texts to id lists; special strings are plain text.
@@ -82,23 +95,57 @@ class Model:
         vocabulary adds its own.
         """
         if self.kind == ".json":
-            from tokenizers import Tokenizer
-
-            os.environ["TOKENIZERS_PARALLELISM"] = "false"
-            coder = Tokenizer.from_str(self.content.decode())
-            coder.encode_special_tokens = True
-
-            def encode(texts: list[str]) -> list[list[int]]:
-                spaced = [" " + t for t in texts]
-                return [e.ids for e in coder.encode_batch_fast(spaced, add_special_tokens=False)]
-
-            return encode
+            return _ByteEncoder(self)
         import sentencepiece
 
         piece = sentencepiece.SentencePieceProcessor(model_proto=self.content)
         return lambda texts: piece.encode(texts, num_threads=1)
 
 
+class _ByteEncoder:
+    """Ids of a byte-level vocabulary for texts with a space in front.
+
+    The vocabulary's own library is slow on words it has not seen, so texts are
+    encoded by ranks, which gives the same ids; the library gets those with
+    characters only one of the two knows as a letter or number, and with runs
+    that are too long for merging by ranks.
+    """
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.library = None
+        self.by_rank = None
+        if model.ranked:
+            import tiktoken
+
+            self.by_rank = tiktoken.Encoding(
+                "ranks",
+                pat_str=PATTERN,
+                mergeable_ranks={t: i for i, t in enumerate(model.token_bytes) if t},
+                special_tokens={},
+            ).encode_ordinary
+
+    def _by_library(self, text: str) -> list[int]:
+        if self.library is None:
+            from tokenizers import Tokenizer
+
+            os.environ["TOKENIZERS_PARALLELISM"] = "false"
+            self.library = Tokenizer.from_str(self.model.content.decode())
+            self.library.encode_special_tokens = True
+        return self.library.encode(text, add_special_tokens=False).ids
+
+    def __call__(self, texts: list[str]) -> list[list[int]]:
+        odd = not self.model.unknown.isdisjoint(set().union(*texts))
+        return [
+            self._by_library(" " + t)
+            if self.by_rank is None
+            or _LONG_RUN.search(t)
+            or (odd and not self.model.unknown.isdisjoint(t))
+            else self.by_rank(" " + t)
+            for t in texts
+        ]
+
+
 class Aligner:
     """Aligns the two encodings of texts at the byte offsets where both end a token."""
 

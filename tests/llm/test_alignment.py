@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 import public_tokenizers
 import pytest
+import regex
 import sentencepiece
 from tokenizers import Tokenizer
 
@@ -118,6 +119,22 @@ def test_empty(make, models):
     assert sorted(map(tuple, nothing)) == [(i, 0, 0, 0, 0, 0, 0, "") for i in (1, 2)]
 
 
+def test_ids_of_the_library(models, texts):
+    """Every letter and number of either library, runs too long for ranks, odd texts."""
+    coder = Tokenizer.from_file(public_tokenizers.path(BYTE_MODEL))
+    coder.encode_special_tokens = True
+    every = "".join(chr(c) for c in range(128, 0x110000) if not 0xD800 <= c < 0xE000)
+    named = regex.findall(r"[\p{L}\p{N}]", every)
+    known = "".join("!" + c for c in named if c not in models[0].unknown)
+    other = "".join("a" + c for c in regex.findall(r"[^\p{L}\p{N}\p{Cn}\p{Co}]", every))
+    new = sorted(models[0].unknown)[:40]
+    some = [known, other, "x" + "!".join(new), "z" * 5000, "q" + " " * 3000 + "q", *ODD, *texts.values()]
+    encode = models[0].encoder()
+    for text, ids in zip(some, encode(some)):
+        assert ids == coder.encode(" " + text, add_special_tokens=False).ids
+    assert models[0].ranked and encode.library is not None
+
+
 def test_unknown_file(tmp_path):
     path = tmp_path / "x.txt"
     path.write_text("")
