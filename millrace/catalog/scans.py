@@ -1,5 +1,6 @@
 """Sources and sinks: what is written is read back and returned."""
 
+import uuid
 from datetime import date
 
 from pyspark.sql import Window
@@ -9,7 +10,7 @@ from millrace.catalog.registry import Tables, query
 from millrace.catalog.sqlparts import WORD, mean_round
 from millrace.functions.numbers import exact_sum
 from millrace.sources import html, json_arrays, readers, sinks
-from millrace.storage import fresh_path
+from millrace.storage import fresh_path, materialize
 from millrace.streaming import line_jobs
 
 
@@ -53,8 +54,9 @@ def csv_glob(t: Tables):
     """Two CSV folders read through one pattern."""
     path = fresh_path(t.spark, "csv")
     rows = t.customer.select("c_custkey", "c_nationkey", "c_acctbal")
-    sinks.write_csv(rows.filter("c_acctbal < 0"), f"{path}/debit")
-    sinks.write_csv(rows.filter("c_acctbal >= 0"), f"{path}/credit")
+    owes = F.coalesce(F.col("c_acctbal") < 0, F.lit(False))
+    sinks.write_csv(rows.filter(owes), f"{path}/debit")
+    sinks.write_csv(rows.filter(~owes), f"{path}/credit")
     return readers.read_csv(t.spark, f"{path}/*", rows.schema)
 
 
@@ -375,6 +377,11 @@ def sink_tsv(t: Tables):
 
 @query("S17", "SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def sink_table(t: Tables):
-    """Catalog table, replaced when it exists."""
-    sinks.write_table(t.supplier, "millrace_supplier", fresh_path(t.spark, "table"))
-    return t.spark.table("millrace_supplier")
+    """Catalog table, replaced when it exists; a name of its own, dropped after it is read."""
+    name = f"millrace_supplier_{uuid.uuid4().hex}"
+    for _ in range(2):
+        sinks.write_table(t.supplier, name, fresh_path(t.spark, "table"))
+    try:
+        return materialize(t.spark.table(name), "table-rows")
+    finally:
+        t.spark.sql(f"DROP TABLE {name}")
