@@ -3,7 +3,7 @@
 from datetime import datetime as T
 
 import pytest
-from conftest import values
+from conftest import final_plan, values
 from pyspark.sql import functions as F
 
 from millrace.plans import fares, trips
@@ -167,3 +167,13 @@ def test_daily_figures_equal_the_pairwise_reduction(tables):
     )
     mine = [tuple(r) for r in fares.daily_metrics(orders, 1997).collect()]
     assert mine == [(d, n, cents / 100) for d, (n, cents) in daily]
+
+
+def test_day_conditions_stay_off_the_order_lines(tables):
+    """The weather's day parts are made once a day, not for each line."""
+    from millrace.catalog import workloads
+
+    plan = final_plan(workloads.trip_detail(tables))
+    assert "lineitem" in plan and "weather-days" in plan
+    made = [line for line in plan.splitlines() if "format_string" in line]
+    assert "date_format" not in plan and made and not any("l_" in line for line in made)
