@@ -100,10 +100,10 @@ def label_count(t: Tables):
     """,
 )
 def tokens_clean(t: Tables):
-    """Stop words removed by an anti join with a table."""
+    """Stop words removed by an anti join with a table, which sees every term once."""
     stop = t.spark.createDataFrame([(w,) for w in _STOP], "word string")
     terms = ops.explode_tokens(t.documents, fn.split_words(fn.clean_social("text")), [], 3)
-    return ops.term_counts(ops.without_stop_words(terms, stop))
+    return ops.without_stop_words(ops.term_counts(terms), stop)
 
 
 @query(
