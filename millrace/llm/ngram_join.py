@@ -27,28 +27,36 @@ BLOCK = 256
 ROUNDS = 4
 # Groups of more sets are joined in blocks before their pairs are looked at.
 LARGE_GROUP = 64
-_MOST_BINS = 1 << 16
+_MOST_BINS = 1 << 18
 # Size of the bitmap of wanted texts, 4 MiB; a power of two.
 _BITMAP_BITS = 1 << 25
 _CELL = np.uint64(0xFFFFFF)
 _FLUSH = 1_500_000
+# Shingles of a bucket at most, on average; it has 2**24 cells.
+_BUCKET_SHINGLES = 1 << 22
 
 
 def sketch(shingles: np.ndarray) -> bytes:
-    """Elements per hash bin, about eight to a bin: bounds the overlap of two sets."""
+    """Elements per hash bin, about two to a bin: bounds the overlap of two sets.
+
+    One byte each; a bin of 255 or more elements says nothing.
+    """
     bins = 64
-    while bins < _MOST_BINS and bins * 8 < len(shingles):
+    while bins < _MOST_BINS and bins * 2 < len(shingles):
         bins *= 2
     place = (shingles & np.uint64(bins - 1)).astype(np.int64)
-    return np.bincount(place, minlength=bins).astype(np.uint32).tobytes()
+    return np.minimum(np.bincount(place, minlength=bins), 255).astype(np.uint8).tobytes()
 
 
 def most_overlap(a: bytes, b: bytes) -> int:
     """No two sets with these sketches share more elements."""
-    x, y = np.frombuffer(a, np.uint32), np.frombuffer(b, np.uint32)
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    if x.max() == 255 or y.max() == 255:
+        return 1 << 40
     n = min(len(x), len(y))
-    x, y = x.reshape(-1, n).sum(axis=0), y.reshape(-1, n).sum(axis=0)
-    return int(np.minimum(x, y).sum())
+    if len(x) != len(y):
+        x, y = (v.reshape(-1, n).sum(axis=0, dtype=np.int64) for v in (x, y))
+    return int(np.minimum(x, y).sum(dtype=np.int64))
 
 
 def describe_sets(docs: DataFrame, *, doc_id="doc_id", text="text", width: int = WIDTH):
@@ -323,14 +331,148 @@ def _possible(pairs: DataFrame, chosen: DataFrame, percent: int) -> DataFrame:
                 ["a", "a_label", "b", "b_label"]
             )
 
+    open_pairs = (
+        pairs.filter("a_label <> b_label")
+        .filter(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
+        .select(
+            F.col("a_sid").alias("a"), "a_n", "a_label", F.col("b_sid").alias("b"), "b_n", "b_label"
+        )
+        .distinct()
+    )
     a = chosen.select(F.col("sid").alias("a"), F.col("sketch").alias("a_sketch"))
     b = chosen.select(F.col("sid").alias("b"), F.col("sketch").alias("b_sketch"))
-    both = pairs.join(a, "a").join(b, "b")
+    both = open_pairs.join(a, "a").join(b, "b")
     return both.mapInArrow(rows, "a long, a_label long, b long, b_label long")
 
 
+def possible_in_cell(
+    table: pa.Table, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Rows ``a, b`` of a cell that may be similar and are in different components.
+
+    ``i, j, part, n, label, sketch``: in a cell of two parts only pairs across
+    them are looked at.  Of the sketches the first 64 bins rule most pairs out
+    for one row at once.
+    """
+    n = table["n"].to_numpy()
+    label = table["label"].to_numpy()
+    part = table["part"].to_numpy()
+    sketches = table["sketch"].to_pylist()
+    across = table["i"][0].as_py() != table["j"][0].as_py()
+    fine = [np.frombuffer(x, np.uint8) for x in sketches]
+    # A bin that is full bounds nothing.
+    coarse = np.array(
+        [
+            np.full(64, 1 << 32) if x.max() == 255 else x.reshape(-1, 64).sum(axis=0, dtype=np.int64)
+            for x in fine
+        ],
+        np.int64,
+    )
+    found: list[tuple[int, int]] = []
+    for row in range(len(n) - 1):
+        later = slice(row + 1, None)
+        fits = label[later] != label[row]
+        if across:
+            fits &= part[later] != part[row]
+        fits &= 100 * np.minimum(n[later], n[row]) >= percent * np.maximum(n[later], n[row])
+        at = row + 1 + np.flatnonzero(fits)
+        if not len(at):
+            continue
+        overlap = np.minimum(coarse[at], coarse[row]).sum(axis=1)
+        # 100 * overlap >= percent * (sum of sizes - overlap), as in ``similar``.
+        at = at[(100 + percent) * overlap >= percent * (n[at] + n[row])]
+        found += [
+            (row, k)
+            for k in at.tolist()
+            if similar(most_overlap(sketches[row], sketches[k]), int(n[row]), int(n[k]), percent)
+        ]
+    both = np.array(found, np.int64).reshape(-1, 2)
+    return both[:, 0], both[:, 1]
+
+
+def _possible_in_groups(
+    groups: DataFrame, labels: DataFrame, chosen: DataFrame, percent: int, block: int
+) -> DataFrame:
+    """Pairs of open groups whose sketches leave room for the threshold.
+
+    The members of a group meet in one place, so what is shuffled grows with
+    the members and not with their pairs; a larger group is dealt into parts of
+    about ``block`` members, and each two parts are a cell of their own.
+    """
+    placed = groups.join(labels, "sid")
+    unsettled = (
+        placed.groupBy("g")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("m"))
+        .filter("low <> high")
+        .select("g", F.ceil(F.col("m") / block).alias("parts"))
+    )
+    # Written: the size of the cells is known before they are dealt.
+    open_sets = materialize(placed.join(unsettled, "g"), "ngram-open")
+    sketches = chosen.select("sid", "sketch")
+    dealt = open_sets.join(sketches, "sid").withColumn("part", F.pmod(F.xxhash64("sid"), "parts"))
+    cells = dealt.withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    ).select(
+        "g",
+        F.least("part", "other").alias("i"),
+        F.greatest("part", "other").alias("j"),
+        "part",
+        "sid",
+        "n",
+        "label",
+        "sketch",
+    )
+    names = ["a", "a_label", "b", "b_label"]
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # Rows come sorted by cell; the last cell of a batch may go on in the next.
+        held: list[pa.RecordBatch] = []
+
+        def pairs(table: pa.Table) -> pa.RecordBatch:
+            keys = np.stack([table[k].to_numpy() for k in ("g", "i", "j")])
+            starts = np.flatnonzero(np.append(True, (keys[:, 1:] != keys[:, :-1]).any(axis=0)))
+            sid, label = table["sid"].to_numpy(), table["label"].to_numpy()
+            left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for low, high in zip(starts, np.append(starts[1:], table.num_rows)):
+                if high - low > 1:
+                    a, b = possible_in_cell(table.slice(low, high - low), percent)
+                    left.append(a + low)
+                    right.append(b + low)
+            a, b = np.concatenate(left), np.concatenate(right)
+            # The smaller id first, so that groups that share a pair agree.
+            a, b = np.where(sid[a] < sid[b], a, b), np.where(sid[a] < sid[b], b, a)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (sid[a], label[a], sid[b], label[b])], names
+            )
+
+        for batch in batches:
+            if not len(batch):
+                continue
+            keys = np.stack([batch.column(k).to_numpy() for k in range(3)])
+            cut = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0))
+            last = int(cut[-1]) + 1 if len(cut) else 0
+            if held:
+                first = held[-1]
+                goes_on = all(first.column(k)[-1] == batch.column(k)[0] for k in range(3))
+                if not goes_on or last:
+                    done = [*held, batch.slice(0, last)] if goes_on else held
+                    yield pairs(pa.Table.from_batches(done))
+                    held = []
+                    if goes_on:
+                        batch, last = batch.slice(last), 0
+            if last:
+                yield pairs(pa.Table.from_batches([batch.slice(0, last)]))
+                batch = batch.slice(last)
+            held.append(batch)
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    spread = cells.repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    return spread.mapInArrow(rows, "a long, a_label long, b long, b_label long").distinct()
+
+
 def _settle(
-    pairs: DataFrame,
+    possible: DataFrame,
     labels: DataFrame,
     chosen: DataFrame,
     texts: DataFrame,
@@ -338,16 +480,8 @@ def _settle(
     width: int,
     block: int,
 ) -> DataFrame:
-    """Labels after the pairs between different components are compared."""
-    open_pairs = (
-        pairs.filter("a_label <> b_label")
-        .filter(f"100 * least(a_n, b_n) >= {percent} * greatest(a_n, b_n)")
-        .select(
-            F.col("a_sid").alias("a"), "a_n", "a_label", F.col("b_sid").alias("b"), "b_n", "b_label"
-        )
-        .distinct()
-    )
-    left = materialize(_possible(open_pairs, chosen, percent), "ngram-pairs")
+    """Labels after the possible pairs between different components are compared."""
+    left = materialize(possible, "ngram-pairs")
     many = left.groupBy("a", "a_label").agg(F.ceil(F.count("*") / block).alias("parts"))
     spread = left.join(many.select("a", "parts"), "a").select(
         F.col("a").alias("block"),
@@ -401,20 +535,25 @@ def join_documents(
        joined by a local prefix tree.  Connected sets are not compared again,
        so a cluster of thousands of near copies costs a few blocks, not its
        pairs.
-    4. Each set is paired with one set of each of its groups, then with all that
-       still share a group but no component.  Of these pairs those whose
-       sketches leave room for the threshold are joined by a prefix tree around
-       one of the two: exact, whatever the rounds left.
+    4. Each set is paired with one set of each of its groups.  Then the members
+       of groups that still hold several components meet in cells of bounded
+       size, where sketches rule out pairs before any of them is a row.  The
+       pairs whose sketches leave room for the threshold are joined by a prefix
+       tree around one of the two: exact, whatever the rounds left.
 
     Links between sets are complete as far as components go; pairs inside a
     component are not listed.
     """
     spark = docs.sparkSession
     ship(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     described = materialize(
         describe_sets(docs, doc_id=doc_id, text=text, width=width), "ngram-sets"
     )
+    # A bucket is one group of a task: as many as keep it small, whatever the session says.
+    total = described.agg(F.sum("n")).first()[0] or 0
+    buckets = max(
+        int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // _BUCKET_SHINGLES)
+    )
     frequent = frequent_shingles(docs, buckets, text=text, width=width)
     groups = materialize(
         postings(docs, frequent, buckets, percent, text=text, width=width), "ngram-groups"
@@ -477,14 +616,11 @@ def join_documents(
         *[F.col(f"first.{c}").alias(f"a_{c}") for c in ("sid", "n", "label")],
         *[F.col(c).alias(f"b_{c}") for c in ("sid", "n", "label")],
     )
-    labels = _settle(one, labels, chosen, texts, percent, width, block)
+    possible = _possible(one, chosen, percent)
+    labels = _settle(possible, labels, chosen, texts, percent, width, block)
     # Then whatever still shares a group but no component.
-    placed = groups.join(labels, "sid")
-    a, b = placed.alias("a"), placed.alias("b")
-    rest = a.join(b, (F.col("a.g") == F.col("b.g")) & (F.col("a.sid") < F.col("b.sid"))).select(
-        *[F.col(f"{x}.{c}").alias(f"{x}_{c}") for x in "ab" for c in ("sid", "n", "label")]
-    )
-    labels = _settle(rest, labels, chosen, texts, percent, width, block)
+    possible = _possible_in_groups(groups, labels, chosen, percent, block)
+    labels = _settle(possible, labels, chosen, texts, percent, width, block)
     # Documents to sets to components to smallest ids; sets in no group are alone.
     filled = described.filter("n > 0").join(labels, "sid", "left")
     filled = filled.select("doc_id", "n", F.coalesce("label", "sid").alias("label"))
