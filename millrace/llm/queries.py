@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import functions as F
 
 from millrace.llm import (
@@ -25,7 +24,7 @@ from millrace.storage import materialize
 
 __all__ = ["QUERIES", "SQL"]
 
-# A public vocabulary; another one is a parameter of the operator.
+# Public vocabularies; other ones are parameters of the operators.
 PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BYTE_MODEL = "byte_bpe_50k.json"
 
@@ -321,11 +320,18 @@ def op10(spark, folder):
     )
 
 
+def vocabulary(name):
+    """Place of a public vocabulary file; only the queries that need one look for it."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 @query("op11_ragged_counts")
 def op11(spark, folder):
     """Bytes and tokens of each text."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    merges = token_counts.MergeTable.load(public_tokenizers.path(BYTE_MODEL))
+    merges = token_counts.MergeTable.load(vocabulary(BYTE_MODEL))
     return token_counts.count_tokens(docs, merges)
 
 
@@ -367,6 +373,6 @@ def op12(spark, folder):
 @query("op13_aligned_tokenizers")
 def op13(spark, folder):
     """Links between the tokens of two vocabularies, by text and over the corpus."""
-    a = alignment.Model.load(public_tokenizers.path(BYTE_MODEL))
+    a = alignment.Model.load(vocabulary(BYTE_MODEL))
     b = alignment.Model.load(PIECE_MODEL)
     return alignment.align_documents(table(spark, folder, "documents"), a, b)
