@@ -63,8 +63,11 @@ def sums_of_any_size(t: Tables):
     """Exact sums of values from 1e-9 to 1e13, of which the large ones cancel out."""
     size = F.pow(F.lit(2.0), ((F.col("l_linenumber") - 1) * 10 - 40).cast("double"))
     value = F.round(F.col("l_extendedprice") * 100) * size
-    both = F.when(F.col("l_linenumber") < 4, F.array(value)).otherwise(F.array(value, -value))
-    rows = t.lineitem.select("l_returnflag", "l_linenumber", F.explode(both).alias("value"))
+    lines = t.lineitem.select("l_returnflag", "l_linenumber", value.alias("value"))
+    both = F.when(F.col("l_linenumber") < 4, F.array("value")).otherwise(
+        F.array(F.col("value"), -F.col("value"))
+    )
+    rows = lines.select("l_returnflag", "l_linenumber", F.explode(both).alias("value"))
     kept = F.when(F.col("l_linenumber") < 4, F.lit(1.0))
     sums = exact_sums(rows, ["l_returnflag"], {"total": "value", "n": kept})
     return sums.withColumn("n", F.col("n").cast("bigint"))

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from millrace.functions.arrays import let
 
 # A limb holds so many bits.  The limbs of a double begin at a multiple of it;
-# five hold all its bits wherever they lie, and 2**38 rows fit in a long sum.
+# four hold all its bits wherever they lie, and 2**38 rows fit in a long sum.
 _BITS = 24
 _BASE = 1 << _BITS
-_LIMBS = 5
+_LIMBS = 4
 # Limb numbers that a double and a sum of 2**38 of them can have.
 _FIRST, _LAST = -50, 50
 # Bits of a double's whole number part that are worth the name.
@@ -26,26 +26,31 @@ def _scaled(x: Column, limbs: Column) -> Column:
     return x * half * half
 
 
-def _limbs(x: Column) -> Column:
-    """``(at, parts)``: x is the sum of ``parts[i] * 2**(24 * (at + i))``, all whole numbers.
+def _split(rows: DataFrame, x: str) -> DataFrame:
+    """Adds ``at`` and ``p0`` to ``p3``: x is the sum of ``p[i] * 2**(24 * (at + i))``.
 
-    The logarithm may be off by one; a spare bit at either end allows for it.
+    All are whole numbers, null where x is null, 0 or not finite.  The logarithm
+    may be off by one; a spare bit at either end allows for it.  Every step is a
+    column of its own, so none is computed again by the next one.
     """
-    lowest = F.floor(F.log2(F.abs(x))) - (_MANTISSA + 1)
-    at = F.greatest(F.floor(lowest / _BITS), F.lit(_FIRST))
-
-    def split(y: Column) -> Column:
-        # From the top: what a limb takes away is exact, as is what stays.
-        parts, rest = [], y["whole"]
-        for i in reversed(range(_LIMBS)):
-            unit = float(_BASE**i)
-            part = F.signum(rest) * F.floor(F.abs(rest) / unit)
-            parts.insert(0, part.cast("bigint"))
-            rest = rest - part * unit
-        return F.struct(y["at"].alias("at"), F.array(*parts).alias("parts"))
-
-    given = F.struct(at.cast("int").alias("at"), _scaled(x, -at).alias("whole"))
-    return let(given, split)
+    value, pair = F.col(x), float(_BASE**2)
+    mask = F.lit(_BASE - 1).cast("bigint")
+    lowest = F.floor(F.log2(F.abs(value))) - (_MANTISSA + 1)
+    at = F.greatest(F.floor(lowest / _BITS), F.lit(_FIRST)).cast("int")
+    finite = ~F.isnan(value) & (F.abs(value) != float("inf")) & (value != 0)
+    placed = rows.withColumn("at", F.when(finite, at))
+    whole = placed.withColumn("_whole", F.when(F.col("at").isNotNull(), _scaled(value, -F.col("at"))))
+    # What the upper two limbs take away is exact, as is what stays.
+    upper = whole.withColumn("_upper", (F.col("_whole") / pair).cast("bigint"))
+    both = upper.withColumn("_lower", (F.col("_whole") - F.col("_upper") * pair).cast("bigint"))
+    return both.withColumns(
+        {
+            "p0": F.col("_lower").bitwiseAND(mask),
+            "p1": F.shiftright("_lower", _BITS),
+            "p2": F.col("_upper").bitwiseAND(mask),
+            "p3": F.shiftright("_upper", _BITS),
+        }
+    ).drop("_whole", "_upper", "_lower")
 
 
 def _carried(limbs: Column) -> Column:
@@ -131,26 +136,19 @@ def exact_sums(
     leave a task, whatever the number of rows.  A group may have 2**38 rows.
     """
     names = list(values)
-    parts = []
-    for i, name in enumerate(names):
-        c = values[name]
-        x = (F.col(c) if isinstance(c, str) else c).cast("double")
-        plain = ~F.isnan(x) & (F.abs(x) != float("inf"))
-        split = F.when(plain & (x != 0), _limbs(x))
-        parts.append(
-            F.struct(
-                F.lit(i).alias("name"),
-                x.isNotNull().alias("known"),
-                F.when(~plain, x).alias("odd"),
-                split["at"].alias("at"),
-                split["parts"].alias("parts"),
-            )
+    given = [
+        F.struct(
+            F.lit(i).alias("name"),
+            (F.col(c) if isinstance(c, str) else c).cast("double").alias("_x"),
         )
-    rows = df.select(*keys, F.explode(F.array(*parts)).alias("_v")).select(*keys, "_v.*")
-    sums = rows.groupBy(*keys, "name", "at").agg(
-        F.count_if("known").alias("known"),
-        F.sum("odd").alias("odd"),
-        *[F.sum(F.get("parts", F.lit(k))).alias(f"p{k}") for k in range(_LIMBS)],
+        for i, c in enumerate(values.values())
+    ]
+    rows = df.select(*keys, F.explode(F.array(*given)).alias("_v")).select(*keys, "_v.*")
+    plain = ~F.isnan("_x") & (F.abs("_x") != float("inf"))
+    sums = _split(rows, "_x").groupBy(*keys, "name", "at").agg(
+        F.count("_x").alias("known"),
+        F.sum(F.when(~plain, F.col("_x"))).alias("odd"),
+        *[F.sum(f"p{k}").alias(f"p{k}") for k in range(_LIMBS)],
     )
     one = F.struct("at", F.array(*[f"p{k}" for k in range(_LIMBS)]).alias("parts"))
     joined = sums.groupBy(*keys, "name").agg(
@@ -158,7 +156,7 @@ def exact_sums(
         F.sum("odd").alias("odd"),
         F.collect_list(F.when(F.col("at").isNotNull(), one)).alias("blocks"),
     )
-    # Limb by limb; a block adds to five of them, and there are few blocks.
+    # Limb by limb; a block adds to four of them, and there are few blocks.
     limbs = F.transform(
         F.sequence(F.lit(_FIRST), F.lit(_LAST)),
         lambda place: F.aggregate(

@@ -183,3 +183,11 @@ def test_odd_sums(spark):
     got = {r["g"]: str(r["x"]) for r in exact_sums(df, ["g"], {"x": "x"}).collect()}
     assert got == {1: "nan", 2: "inf", 3: "None", 4: "0.0", 5: "nan", None: "1.5"}
     assert exact_sums(df.limit(0), ["g"], {"x": "x"}).collect() == []
+
+
+def test_sums_split_their_rows_without_lambdas(spark):
+    """Lambdas are interpreted per row: before the first aggregate only columns of plain code."""
+    sums = exact_sums(spark.range(3).selectExpr("id % 2 AS g", "id * 0.1D AS x"), ["g"], {"x": "x"})
+    plan = sums._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [" in plan
+    assert "lambda" not in plan.rsplit("Aggregate [", 1)[1].split("\n", 1)[1]
