@@ -8,6 +8,7 @@ from millrace.catalog.sqlparts import half_up, mean_round as mean_round_sql
 from millrace.functions.numbers import mean_round, round_half_up
 from millrace.operators import planning as ops
 from millrace.operators.joins import lookup
+from millrace.operators.windows import spread
 from millrace.plans import procurement
 from millrace.storage import materialize
 
@@ -17,7 +18,12 @@ TARGET = 10
 def schedule(t: Tables) -> DataFrame:
     """Lines per part and month as supply, the retail price as base price."""
     month = (F.year("l_shipdate") * 12 + F.month("l_shipdate")).alias("idx")
-    monthly = t.lineitem.groupBy(F.col("l_partkey").alias("scenario"), month).agg(
+    lines = t.lineitem.select(
+        F.col("l_partkey").alias("scenario"), month, "l_tax", "l_returnflag"
+    )
+    # A part and month have few lines: adding them up before the shuffle only
+    # fills the memory of its tasks.
+    monthly = spread(lines, t.lineitem.count(), "scenario").groupBy("scenario", "idx").agg(
         F.count(F.lit(1)).alias("supply"),
         (mean_round("l_tax", 4) - 0.04).alias("noise"),
         F.count_if(F.col("l_returnflag") == "R").alias("returned"),

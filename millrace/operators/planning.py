@@ -17,7 +17,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.numbers import ratio_or_zero, round_half_up
-from millrace.operators.windows import running_total
+from millrace.operators.windows import running_total, spread
+from millrace.storage import materialize
 
 
 @dataclass(frozen=True)
@@ -168,13 +169,15 @@ def with_actuals(schedule: DataFrame, actuals: DataFrame) -> DataFrame:
 
     Entries outside 0..supply are rejected, which also leaves 0.
     """
+    rows = schedule.count()
     side = actuals.select(
         F.col("scenario").alias("_s"), F.col("idx").alias("_i"), F.col("bought").alias("_b")
     )
     on = (F.col("scenario") == F.col("_s")) & (F.col("idx") == F.col("_i"))
     valid = F.when(F.col("_b").between(F.lit(0), F.col("supply")), F.col("_b"))
     return (
-        schedule.join(side, on, "left")
+        spread(schedule, rows, "scenario", "idx")
+        .join(spread(side, rows, "_s", "_i"), on, "left")
         .withColumn("bought", F.coalesce(valid, F.lit(0)).cast("bigint"))
         .drop("_s", "_i", "_b")
     )
@@ -236,6 +239,10 @@ def _cheaper_beyond(state: DataFrame, terms: Terms) -> DataFrame:
     price serves a whole half.  Rows: runs times periods times halvings.
     """
     long = state.filter(F.col("_periods") > _BLOCK)
+    # At most so many rows are sorted below: runs times periods times halvings.
+    each = long.groupBy("scenario", "_periods").agg(F.countDistinct("peak_supply").alias("runs"))
+    levels = F.ceil(F.log2(F.col("_periods"))) - _BLOCK_BITS + 1
+    rows = each.agg(F.sum(F.col("runs") * F.col("_periods") * levels)).first()[0] or 0
     runs = long.groupBy(F.col("scenario").alias("_s"), F.col("peak_supply").alias("_run")).agg(
         F.min("_pos").alias("_first"), F.max("_pos").alias("_end")
     )
@@ -261,6 +268,7 @@ def _cheaper_beyond(state: DataFrame, terms: Terms) -> DataFrame:
     starts = block * F.pow(F.lit(2.0), F.col("_bit") + 1)
     useful = (answers & (starts <= F.col("_end"))) | (~answers & (F.col("_pos") <= F.col("_end")))
     halves = halvings.filter(useful).withColumns({"_half": block, "_answers": answers})
+    halves = spread(halves, rows, "scenario", "_run", "_bit", "_half")
     below = (
         Window.partitionBy("scenario", "_run", "_bit", "_half")
         .orderBy("_tenths")
@@ -278,12 +286,16 @@ def rolling_replan(schedule: DataFrame, terms: Terms = DEFAULT_TERMS) -> DataFra
     of the remaining schedule; the planned purchase of the period is what the
     cheapest-first rule leaves for it once all cheaper later periods are used.
     Inside a block of a few periods the later ones are looked at in the row;
-    those of later blocks come from running sums by price.
+    those of later blocks, where a scenario has any, come from running sums by
+    price.  Rows are counted first and spread by their number over the tasks.
     """
     whole = Window.partitionBy("scenario")
+    known = schedule.groupBy("scenario").agg(F.count(F.lit(1)).alias("n"))
+    rows, longest = known.agg(F.sum("n"), F.max("n")).first()
+    rows = rows or 0
     # The logarithms are taken once per period, not once per pair of periods.
     scaled = schedule.withColumn("_scaled", F.log(1 + F.col("supply")))
-    placed = remaining(scaled).withColumns(
+    placed = remaining(spread(scaled, rows, "scenario")).withColumns(
         {
             "_pos": F.row_number().over(whole.orderBy("idx")) - 1,
             "_periods": F.count(F.lit(1)).over(whole),
@@ -291,10 +303,17 @@ def rolling_replan(schedule: DataFrame, terms: Terms = DEFAULT_TERMS) -> DataFra
         }
     )
     state = placed.withColumn("_block", F.floor(F.col("_pos") / _BLOCK))
+    if (longest or 0) > _BLOCK:
+        # Read three times below; the windows run once.
+        state = spread(materialize(state, "replan-state"), rows, "scenario")
     today = _price(F.col("base_price"), F.col("_scaled"), F.col("_peak"), F.col("noise"), terms)
     now = state.withColumn("exp_price", today)
     now = now.withColumn("_nearby", _cheaper_nearby(now, terms))
-    now = now.join(_cheaper_beyond(state, terms), ["scenario", "idx"], "left")
+    if (longest or 0) > _BLOCK:
+        beyond = spread(_cheaper_beyond(state, terms), rows, "scenario", "idx")
+        now = spread(now, rows, "scenario", "idx").join(beyond, ["scenario", "idx"], "left")
+    else:
+        now = now.withColumn("_beyond", F.lit(None).cast("bigint"))
     cheaper = F.col("_nearby") + F.coalesce("_beyond", F.lit(0))
     ratio = F.col("remaining_target") / F.greatest(F.lit(1), F.col("remaining_supply"))
     return (

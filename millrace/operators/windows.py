@@ -9,6 +9,18 @@ from pyspark.sql import functions as F
 
 from millrace.storage import materialize
 
+# Rows that a task sorts, on average: what it holds does not grow with the table.
+_TASK_ROWS = 1 << 18
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` by ``keys`` in as many partitions as its number of ``rows`` asks for.
+
+    The session's number of partitions is fixed, so that theirs would grow.
+    """
+    least = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(max(least, -(-rows // _TASK_ROWS)), *keys)
+
 
 def top_n(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int) -> DataFrame:
     """First ``n`` rows per group.

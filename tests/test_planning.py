@@ -188,3 +188,19 @@ def test_long_schedules(spark, shape):
         assert got[i]["planned"] == fill(offers, left)[i]
         assert (got[i]["remaining_supply"], got[i]["days_left"]) == (sum(supply[i:]), n - i)
         left = max(0, left - bought)
+
+
+def test_replan_spreads_its_rows_by_their_number(spark, monkeypatch):
+    """Tasks hold so many rows, not a fixed share of the table; results stay."""
+    from millrace.operators import windows
+
+    rows = [(s, i, 1 + (s * 7 + i * 5) % 9, 1000.0 + i, 10, 0.0, s % 2) for s in range(40) for i in range(s + 45)]
+    kind = "scenario long, idx int, supply long, base_price double, target long, noise double, bought long"
+    df = spark.createDataFrame(rows, kind)
+    want = sorted(map(tuple, ops.rolling_replan(df).collect()))
+    monkeypatch.setattr(windows, "_TASK_ROWS", 32)
+    many = ops.rolling_replan(df)
+    assert many.rdd.getNumPartitions() >= len(rows) // 32
+    assert sorted(map(tuple, many.collect())) == want
+    short = df.filter("idx < 40")
+    assert ops.rolling_replan(short).rdd.getNumPartitions() >= short.count() // 32
