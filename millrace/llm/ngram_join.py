@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.llm.components import components
@@ -279,24 +279,33 @@ def _join_blocks(blocks: DataFrame, percent: int, width: int) -> DataFrame:
     return slim.groupBy("block", "salt").applyInArrow(links, "a long, b long")
 
 
-def _with_texts(sids: DataFrame, chosen: DataFrame, texts: DataFrame) -> DataFrame:
-    """``sid, text`` of one text per set; other texts do not leave their task.
+def _place(*columns: str) -> Column:
+    return F.pmod(F.xxhash64(*columns), F.lit(_BITMAP_BITS))
 
-    A bitmap of fixed size says which digests may be wanted; only such texts
-    reach the exact join.  If very many are wanted it lets more pass, never
-    less.
-    """
-    keys = materialize(sids.join(chosen, "sid").select("sid", "text_key"), "ngram-keys")
-    word = F.shiftright(F.pmod(F.xxhash64("text_key"), F.lit(_BITMAP_BITS)), 6)
+
+def _bitmap(keys: DataFrame, *columns: str) -> np.ndarray:
+    """Bits at the places of the keys: what lies elsewhere is surely not one of them."""
+    word = F.shiftright(_place(*columns), 6)
     bit = F.call_function(
-        "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64("text_key"), F.lit(64)).cast("int")
+        "shiftleft", F.lit(1).cast("bigint"), F.pmod(F.xxhash64(*columns), F.lit(64)).cast("int")
     )
     words = keys.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
     # At most _BITMAP_BITS / 64 rows of two numbers.
     found = words.toPandas()
     bitmap = np.zeros(_BITMAP_BITS // 64, np.int64)
     bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
-    shared = texts.sparkSession.sparkContext.broadcast(bitmap)
+    return bitmap
+
+
+def _with_texts(sids: DataFrame, chosen: DataFrame, texts: DataFrame) -> DataFrame:
+    """``sid, text`` of one text per set; other texts do not leave their task.
+
+    A bitmap of fixed size says which digests may be wanted; only such texts
+    reach the exact join.  If very many are wanted it lets more pass, never
+    less.
+    """
+    keys = materialize(sids.join(chosen, "sid").select("sid", "text_key"), "ngram-keys")
+    shared = texts.sparkSession.sparkContext.broadcast(_bitmap(keys, "text_key"))
 
     def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -305,7 +314,7 @@ def _with_texts(sids: DataFrame, chosen: DataFrame, texts: DataFrame) -> DataFra
             if hit.any():
                 yield batch.filter(pa.array(hit))
 
-    place = F.pmod(F.xxhash64("text_key"), F.lit(_BITMAP_BITS)).alias("place")
+    place = _place("text_key").alias("place")
     passed = (
         texts.filter("text_key IS NOT NULL")
         .select(place, "text_key", "text")
@@ -666,9 +675,22 @@ def keep_one(docs: DataFrame, *, doc_id="doc_id", text="text", **options) -> Dat
         .select(F.col("doc_id.id").alias(own), F.col("doc_id.digest").alias(body), "first"),
         "ngram-gone",
     )
-    same = docs[doc_id].eqNullSafe(cut[own]) & (digest == cut[body])
-    kept = docs.join(cut, same, "left_anti")
-    again = docs.join(cut.filter("first").drop("first"), same).groupBy(own, body)
+    # Rows that are surely none of them stay where they are: texts are not moved.
+    shared = docs.sparkSession.sparkContext.broadcast(_bitmap(cut, own, body))
+
+    @F.pandas_udf("boolean")
+    def maybe(place: pd.Series) -> pd.Series:
+        at = place.to_numpy()
+        return pd.Series((shared.value[at >> 6] >> (at & 63)) & 1 == 1)
+
+    flag = spare(docs, "may_go")
+    place = F.pmod(F.xxhash64(F.col(doc_id), digest), F.lit(_BITMAP_BITS))
+    flagged = docs.withColumn(flag, maybe(place))
+    stay = flagged.filter(~F.col(flag)).drop(flag)
+    some = flagged.filter(flag).drop(flag)
+    same = some[doc_id].eqNullSafe(cut[own]) & (digest == cut[body])
+    kept = stay.unionByName(some.join(cut, same, "left_anti"))
+    again = some.join(cut.filter("first").drop("first"), same).groupBy(own, body)
     one = again.agg(
         F.min_by(F.struct(*docs.columns), F.xxhash64(*docs.columns)).alias("row")
     )

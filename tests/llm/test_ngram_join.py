@@ -118,6 +118,14 @@ def test_keep_one(make, family):
     assert keep_one(make([])).collect() == []
 
 
+def test_keep_one_leaves_other_texts_in_place(make, family):
+    """Rows that no component drops are not joined with anything."""
+    kept = keep_one(make([(i, t, "s") for i, t in enumerate(family + ODD)]))
+    plan = kept._jdf.queryExecution().optimizedPlan()
+    assert plan.nodeName() == "Union"
+    assert "Join" not in plan.children().apply(0).toString()
+
+
 def test_keep_one_of_repeated_and_null_ids(make):
     """A doc_id on several rows, and none, with equal and different texts."""
     x, y, z = ("{} one two three four five six seven eight".format(w) for w in ("x", "y", "z"))
