@@ -33,22 +33,30 @@ def parse(text: str, start: int, limit: int, seen: set[str]) -> list[int]:
     which it is added.  All prefixes of a phrase are phrases, so the search
     may begin at the length of the last one and move either way.
     """
-    ends = []
+    ends: list[int] = []
+    add, append = seen.add, ends.append
     length = 1
     while start < limit:
-        length = min(length, limit - start)
-        if text[start : start + length] in seen:
-            length += 1
-            while start + length <= limit and text[start : start + length] in seen:
-                length += 1
-            if start + length > limit:
+        end = start + length
+        if end > limit:
+            end = limit
+        piece = text[start:end]
+        if piece in seen:
+            while piece in seen and end < limit:
+                end += 1
+                piece = text[start:end]
+            if piece in seen:
                 break  # the rest is a known phrase, or its end depends on what follows
         else:
-            while length > 1 and text[start : start + length - 1] not in seen:
-                length -= 1
-        end = start + length
-        seen.add(text[start:end])
-        ends.append(end)
+            while end - start > 1:
+                shorter = text[start : end - 1]
+                if shorter in seen:
+                    break
+                piece = shorter
+                end -= 1
+        add(piece)
+        append(end)
+        length = end - start
         start = end
     return ends
 

@@ -90,3 +90,21 @@ def test_given_documents(documents):
     check(documents, 50)
     out = fingerprint_documents(documents).toPandas()
     assert (out.near_edited > out.near_next).mean() > 0.95
+
+
+def test_parse_cuts_few_pieces():
+    """A phrase is cut out of the text when it is looked up, not once more to be kept."""
+
+    class Counted(str):
+        cuts = 0
+
+        def __getitem__(self, key):
+            Counted.cuts += 1
+            return str.__getitem__(self, key)
+
+    rng = np.random.default_rng(3)
+    text = Counted("".join("abcd "[k] for k in rng.integers(0, 5, 5000)))
+    seen = set()
+    ends = parse(text, 0, len(text), seen)
+    assert Counted.cuts < 3 * len(ends)
+    assert seen == dictionary(str(text))
