@@ -23,8 +23,6 @@ MARK = "▁"
 _BATCH_CHARS = 1_000_000
 _INDEX_CHARS = 400_000
 _MOST_WORDS = 300_000
-# Pairs of pieces whose answers tasks of one worker hand on.
-_MOST_PAIRS = 1 << 19
 _UNKNOWN = 1 << 22  # added to the code point of a character without a piece
 _UNSET, _START = -2, -1
 
@@ -38,9 +36,6 @@ class Vocabulary:
     normal: list[bool]
     byte_ids: list[int]
     ids: dict[str, int] = field(default_factory=dict)
-    # Which pieces may follow which, as far as asked: it depends on nothing else.
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    fits: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -74,36 +69,33 @@ class Vocabulary:
         grows little faster than the text.
         """
         parts: list[str] = list(text)
-        size = len(parts)
-        after = list(range(1, size + 1))
-        before = list(range(-1, size - 1))
-        find, scores, push, pop = self.ids.get, self.scores, heapq.heappush, heapq.heappop
+        after = list(range(1, len(parts) + 1))
+        before = list(range(-1, len(parts) - 1))
         heap: list[tuple[float, int, str, str]] = []
-        for i in range(size - 1):
-            piece = find(parts[i] + parts[i + 1])
-            if piece is not None:
-                heap.append((-scores[piece], i, parts[i], parts[i + 1]))
-        heapq.heapify(heap)
+
+        def offer(i: int) -> None:
+            j = after[i]
+            if j < len(parts):
+                piece = self.ids.get(parts[i] + parts[j])
+                if piece is not None:
+                    heapq.heappush(heap, (-self.scores[piece], i, parts[i], parts[j]))
+
+        for i in range(len(parts)):
+            offer(i)
         while heap:
-            _, i, left, right = pop(heap)
+            _, i, left, right = heapq.heappop(heap)
             j = after[i]
             # A part that was merged away is empty.
-            if parts[i] != left or j >= size or parts[j] != right:
+            if parts[i] != left or j >= len(parts) or parts[j] != right:
                 continue
-            whole = parts[i] = left + right
-            parts[j] = ""
-            j = after[i] = after[j]
-            if j < size:
-                before[j] = i
-                piece = find(whole + parts[j])
-                if piece is not None:
-                    push(heap, (-scores[piece], i, whole, parts[j]))
-            h = before[i]
-            if h >= 0:
-                piece = find(parts[h] + whole)
-                if piece is not None:
-                    push(heap, (-scores[piece], h, parts[h], whole))
-        return [find(p, _UNKNOWN + ord(p[0])) for p in parts if p]
+            parts[i], parts[j] = left + right, ""
+            after[i] = after[j]
+            if after[j] < len(parts):
+                before[after[j]] = i
+            offer(i)
+            if before[i] >= 0:
+                offer(before[i])
+        return [self.ids.get(p, _UNKNOWN + ord(p[0])) for p in parts if p]
 
 
 class _Numbering(dict):
@@ -126,8 +118,8 @@ class Matcher:
         for row, i in enumerate(self.normal):
             self.codes[row, : len(v.pieces[i])] = [ord(c) for c in v.pieces[i]]
         # Known answers: sorted keys of (previous, piece) and whether they may follow.
-        # Those of earlier tasks are taken over with the worker's vocabulary.
-        self.keys, self.fits = v.keys, v.fits
+        self.keys = np.zeros(0, np.int64)
+        self.fits = np.zeros(0, bool)
         self.whole = v.splits_at_blanks
         self._forget()
 
@@ -241,8 +233,6 @@ class Matcher:
             place = np.searchsorted(self.keys, new)
             self.keys = np.insert(self.keys, place, new)
             self.fits = np.insert(self.fits, place, answers)
-            if len(self.keys) <= _MOST_PAIRS:
-                self.v.keys, self.v.fits = self.keys, self.fits
         return self.fits[np.searchsorted(self.keys, unique)][inverse]
 
     def encode(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -387,8 +377,7 @@ def encode_documents(docs: DataFrame, vocabulary: Vocabulary, *, text="text") ->
     without a piece become bytes.  Null and empty texts have no ids.  A column
     called ``ids`` is replaced.  No shuffle.  A task holds one Arrow batch, the
     words it remembers and the index of new words of about 400,000 characters,
-    or of one longer word; when it ends, only which pieces may follow each other
-    is kept, for the worker's next task and at most about 500,000 pairs.
+    or of one longer word; nothing is kept when it ends.
     """
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
